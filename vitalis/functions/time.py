@@ -9,10 +9,16 @@ inside whole-stage codegen.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _epoch():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -78,11 +84,12 @@ def hour_of_time_text(t) -> Column:
     return F.substring(_c(t), 1, 2).cast("int")
 
 
+def from_epoch_micros(us) -> Column:
+    """Inverse of ``micros_between(epoch, ts)``: a zone-free NTZ timestamp."""
+    return _epoch() + F.lit(timedelta(microseconds=1)) * _c(us)
+
+
 def round_ms(ts) -> Column:
     """``::timestamp(3)``: round (not truncate) to milliseconds, half up as PostgreSQL."""
-    ts = _c(ts)
-    micros = micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-    rounded = F.floor((micros + F.lit(500)) / F.lit(1000)) * F.lit(1000)
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (rounded / F.lit(1_000_000)).cast("decimal(18,6)")
-    )
+    micros = micros_between(_epoch(), _c(ts))
+    return from_epoch_micros(F.floor((micros + F.lit(500)) / F.lit(1000)) * F.lit(1000))

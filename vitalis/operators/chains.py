@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from vitalis.functions.time import micros_between, shift, trunc_hour, trunc_minute
 from vitalis.operators.joins import interval_join
 
-_EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+def _epoch():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def spike_chain(
@@ -44,7 +46,7 @@ def spike_chain(
     bins = high.groupBy("patientid", trunc_hour("date_time").alias("hour")).agg(
         F.count(F.lit(1)).cast("double").alias("c"), F.sum("glucosevalue").cast("double").alias("s")
     )
-    hidx = F.floor(micros_between(_EPOCH, F.col("hour")) / F.lit(3_600_000_000))
+    hidx = F.floor(micros_between(_epoch(), F.col("hour")) / F.lit(3_600_000_000))
     # islands of consecutive hours: hour index minus row number is constant within an island
     bins = bins.withColumn("isl", hidx - F.row_number().over(Window.partitionBy("patientid").orderBy("hour")))
     l1 = l1.withColumn("start", shift(trunc_hour(shift("time_begin", hours=1)), hours=1))

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 
 from vitalis.functions.time import micros_between, trunc_hour
 
-_EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+def _epoch():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def epoch_micros(ts) -> Column:
-    return micros_between(_EPOCH, F.col(ts) if isinstance(ts, str) else ts)
+    return micros_between(_epoch(), F.col(ts) if isinstance(ts, str) else ts)
 
 
 def _us(d: timedelta) -> int:
