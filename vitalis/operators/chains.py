@@ -87,6 +87,7 @@ def food_chain(
     lookback: timedelta = timedelta(hours=2),
     checkpoint: bool = True,
     max_steps: int | None = None,
+    anchor_key: tuple[str, ...] = ("food_time",),
 ) -> DataFrame:
     """O71 / a13: for each spike reading, the meal in the look-back window
     (one anchor per meal time, as DISTINCT ON (time_begin) does; the earliest
@@ -111,7 +112,8 @@ def food_chain(
     pairs = interval_join(spikes, food, "patientid", "spike_at", "food_time", -lookback, timedelta(0), closed="left")
     order = F.struct("spike_at", "patientid", "logged_food", "calorie", "sugar", "dietary_fiber")
     row = F.struct("patientid", "spike_at", "logged_food", "calorie", "sugar", "dietary_fiber")
-    anchors = pairs.groupBy("food_time").agg(F.min_by(row, order).alias("r")).select(
+    # as written the anchor is DISTINCT ON (time_begin) alone; ("patientid", "food_time") is the intended key
+    anchors = pairs.groupBy(*anchor_key).agg(F.min_by(row, order).alias("r")).select(
         F.col("r.patientid").alias("patientid"),
         trunc_minute(F.col("r.spike_at")).alias("spike_time"),
         "food_time",

@@ -81,7 +81,7 @@ def _sql_raw(table: str) -> str:
     return f"{base} UNION ALL SELECT * FROM ({base}) WHERE {rule}"
 
 
-def _sql_clean(table: str) -> str:
+def _sql_clean(table: str, dedup=None) -> str:
     typed = schemas.TYPED[table]
     ms = RECIPES[table].get("ms", [])
     exprs = []
@@ -98,7 +98,7 @@ def _sql_clean(table: str) -> str:
     keys = schemas.DEDUP_KEYS[table]
     others = [c for c in names if c not in keys]
     order = ", ".join(f"{c} ASC NULLS LAST" for c in (others or keys))
-    mode = RECIPES[table]["dedup"]
+    mode = dedup if dedup is not None else RECIPES[table]["dedup"]
     body = f", raw_{table} AS ({_sql_raw(table)}), typed AS ({typed_sql})"
     if mode is None:
         return body + f" SELECT {', '.join(names)} FROM typed"

@@ -1 +1,255 @@
-"""placeholder"""
+"""Second readings of the catalogue.
+
+* ``i11_naive_daily_join``: the reference's first, cancelled form of i11
+  (every glucose reading x every HR reading of the same patient-day).  The
+  product is never built: both sides are reduced to per-(patient, day) counts
+  and sums and the product's averages follow algebraically.
+* ``*_intended``: where the reference's own title or comment says something
+  other than what the code computes, the plain reading as a separate key;
+  the un-suffixed key stays as written.
+"""
+
+from __future__ import annotations
+
+from datetime import timedelta
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from vitalis.functions import labels as L
+from vitalis.functions.stats import count_if, pct, round_half_up
+from vitalis.operators.bins import day_bin_agg
+from vitalis.operators.chains import food_chain
+from vitalis.operators.joins import interval_join
+from vitalis.operators.windows import shift_over_time, top_n_per_group
+from vitalis.plans import advanced as A
+from vitalis.plans import beginner as B
+from vitalis.plans import cleaning as C
+from vitalis.plans.registry import query
+from vitalis.plans.sqlhelp import R
+from vitalis.sources.etl import clean_table
+
+ASC = lambda c: F.col(c).asc_nulls_last()
+DESC = lambda c: F.col(c).desc_nulls_first()
+
+
+@query("i11_naive_daily_join", f"""
+, gh AS (SELECT dx.patientid, COUNT(DISTINCT day(dx.date_time)) AS total_days, {R('AVG(dx.glucosevalue)', 2)} AS avg_glucose,
+                {R('AVG(h.hr)', 8)} AS avg_hr
+         FROM dexcom dx JOIN heartrate h ON dx.patientid = h.patientid AND CAST(dx.date_time AS DATE) = CAST(h.date_time AS DATE)
+         GROUP BY dx.patientid)
+SELECT patientid, total_days, avg_glucose, avg_hr,
+       CASE WHEN avg_hr < 60 THEN 'Bradycardia' WHEN avg_hr BETWEEN 60 AND 100 THEN 'Normal' ELSE 'Tachycardia' END AS hr_status
+FROM gh
+""")
+def i11_naive_daily_join(t):
+    g = day_bin_agg(t.dexcom, "patientid", "date_time", [F.count(F.lit(1)).alias("nd"), F.sum("glucosevalue").cast("double").alias("sg")])
+    h = day_bin_agg(t.heartrate, "patientid", "date_time", [F.count(F.lit(1)).alias("nh"), F.sum("hr").alias("sh")])
+    j = g.join(h, ["patientid", "day"])
+    pairs = F.sum(F.col("nd") * F.col("nh"))
+    r = j.groupBy("patientid").agg(
+        F.count_distinct(F.dayofmonth("day")).alias("total_days"),
+        round_half_up(F.sum(F.col("sg") * F.col("nh")) / pairs, 2).alias("avg_glucose"),
+        (F.sum(F.col("sh") * F.col("nd")) / pairs).alias("_hr"),
+    )
+    return r.select(
+        "patientid", "total_days", "avg_glucose", round_half_up(F.col("_hr"), 8).alias("avg_hr"),
+        L.label_bands(F.col("_hr"), [("Bradycardia", L.lt(60)), ("Normal", L.between(60, 100))], "Tachycardia").alias("hr_status"),
+    ).orderBy(ASC("patientid"))
+
+
+@query("b01_hba1c_status_by_gender_intended", f"""
+, g AS (SELECT gender, CASE WHEN hba1c < 5.7 THEN 'Normal' WHEN hba1c < 6.5 THEN 'Prediabetic' ELSE 'Diabetic' END AS hba1c_status,
+               COUNT(*) AS category_count FROM demography WHERE hba1c IS NOT NULL GROUP BY 1, 2)
+SELECT gender, hba1c_status, category_count, CAST(SUM(category_count) OVER (PARTITION BY gender) AS BIGINT) AS total_by_gender,
+       {R('100.0 * CAST(category_count AS DOUBLE) / CAST(SUM(category_count) OVER (PARTITION BY gender) AS DOUBLE)', 2)} AS percent_within_gender
+FROM g
+""")
+def b01_hba1c_status_by_gender_intended(t):
+    bands = [("Normal", L.lt(5.7)), ("Prediabetic", L.lt(6.5))]
+    g = t.demography.where(F.col("hba1c").isNotNull()).groupBy(
+        "gender", L.label_bands("hba1c", bands, "Diabetic").alias("hba1c_status")
+    ).agg(F.count(F.lit(1)).alias("category_count"))
+    g = g.withColumn("total_by_gender", F.sum("category_count").over(Window.partitionBy("gender")).cast("bigint"))
+    return g.withColumn("percent_within_gender", round_half_up(pct(F.col("category_count"), F.col("total_by_gender")), 2))
+
+
+@query("b06_sugar_fat_averages_intended", f"""
+SELECT {R("AVG(sugar) FILTER (WHERE searched_food IS NOT NULL)", 2)} AS avg_searched_sugar,
+       {R("AVG(sugar) FILTER (WHERE logged_food IS NOT NULL)", 2)} AS avg_logged_sugar,
+       {R("AVG(total_fat) FILTER (WHERE searched_food IS NOT NULL)", 2)} AS avg_searched_fat,
+       {R("AVG(total_fat) FILTER (WHERE logged_food IS NOT NULL)", 2)} AS avg_logged_fat
+FROM foodlog
+""")
+def b06_sugar_fat_averages_intended(t):
+    s, lg = F.col("searched_food").isNotNull(), F.col("logged_food").isNotNull()
+    return t.foodlog.agg(*[
+        round_half_up(F.avg(F.when(c, F.col(v))), 2).alias(n)
+        for v, c, n in [("sugar", s, "avg_searched_sugar"), ("sugar", lg, "avg_logged_sugar"),
+                        ("total_fat", s, "avg_searched_fat"), ("total_fat", lg, "avg_logged_fat")]
+    ])
+
+
+@query("b11_post_breakfast_by_gender_intended", """
+, r AS (SELECT DISTINCT dx.indexval, dx.patientid, dx.glucosevalue FROM dexcom dx JOIN foodlog fl ON dx.patientid = fl.patientid
+        WHERE hour(fl.time_begin) BETWEEN 5 AND 10 AND dx.date_time > fl.time_begin AND dx.date_time <= fl.time_begin + INTERVAL 2 HOUR)
+SELECT d.gender, AVG(r.glucosevalue) AS avg_post_breakfast_glucose
+FROM r JOIN demography d ON r.patientid = d.patientid AND d.hba1c BETWEEN 5.7 AND 6.4 GROUP BY d.gender
+""")
+def b11_post_breakfast_by_gender_intended(t):
+    meals = t.foodlog.where(F.hour("time_begin").between(5, 10)).select("patientid", "time_begin").distinct()
+    dx = t.dexcom.select("patientid", "indexval", "date_time", "glucosevalue")
+    j = interval_join(meals, dx, "patientid", "time_begin", "date_time", timedelta(0), timedelta(hours=2), closed="right")
+    readings = j.select("indexval", "patientid", "glucosevalue").distinct()  # each reading once
+    d = t.demography.where(F.col("hba1c").between(5.7, 6.4)).select("patientid", "gender")
+    return readings.join(d, "patientid").groupBy("gender").agg(F.avg("glucosevalue").alias("avg_post_breakfast_glucose"))
+
+
+@query("b23_food_and_glucose_intended", """
+, nf AS (SELECT patientid, COUNT(*) AS n FROM foodlog GROUP BY patientid),
+gx AS (SELECT patientid, AVG(glucosevalue) AS a FROM dexcom GROUP BY patientid)
+SELECT nf.patientid FROM nf JOIN gx ON nf.patientid = gx.patientid WHERE nf.n > 5 AND gx.a > 150
+""")
+def b23_food_and_glucose_intended(t, min_rows=5, min_avg=150):
+    nf = t.foodlog.groupBy("patientid").agg(F.count(F.lit(1)).alias("n"))
+    gx = t.dexcom.groupBy("patientid").agg(F.avg("glucosevalue").alias("a"))
+    return nf.join(gx, "patientid").where((F.col("n") > min_rows) & (F.col("a") > min_avg)).select("patientid")
+
+
+@query("i02_high_days_intended", f"""
+, d AS (SELECT patientid, CAST(date_time AS DATE) AS day, {R('AVG(glucosevalue)', 2)} AS a2 FROM dexcom GROUP BY 1, 2)
+SELECT patientid, COUNT(*) AS total_days, COUNT(*) FILTER (WHERE a2 > 140) AS high_glucose_days,
+       arg_max(day, (a2, -epoch(day))) AS highest_day, MAX(a2) AS highest_avg
+FROM d GROUP BY patientid
+""")
+def i02_high_days_intended(t, threshold=140):
+    d = day_bin_agg(t.dexcom, "patientid", "date_time", [round_half_up(F.avg("glucosevalue"), 2).alias("a2")])
+    # highest day: largest average, earliest day on ties
+    return d.groupBy("patientid").agg(
+        F.count(F.lit(1)).alias("total_days"), count_if(F.col("a2") > threshold).alias("high_glucose_days"),
+        F.max_by("day", F.struct("a2", F.datediff(F.lit("1970-01-01").cast("date"), F.col("day")))).alias("highest_day"),
+        F.max("a2").alias("highest_avg"),
+    )
+
+
+@query("i08_glucose_range_intended", f"""
+SELECT patientid, COUNT(DISTINCT CAST(date_time AS DATE)) AS total_days, {R('AVG(glucosevalue)', 2)} AS avg_glucose,
+       CASE WHEN {R('AVG(glucosevalue)', 2)} < 70 THEN 'Hypoglycemia'
+            WHEN {R('AVG(glucosevalue)', 2)} BETWEEN 70 AND 140 THEN 'Normal' ELSE 'Hyperglycemia' END AS glucose_range
+FROM dexcom GROUP BY patientid
+""")
+def i08_glucose_range_intended(t):
+    g = t.dexcom.groupBy("patientid").agg(
+        F.count_distinct(F.to_date("date_time")).alias("total_days"), round_half_up(F.avg("glucosevalue"), 2).alias("avg_glucose")
+    )
+    return g.withColumn("glucose_range", L.label_bands("avg_glucose", L.GLUCOSE_AVG_RANGE_I08, "Hyperglycemia"))
+
+
+@query("i15_hypo_recovery_intended", """
+, n AS (SELECT patientid, date_time, glucosevalue,
+               lead(date_time) OVER (PARTITION BY patientid ORDER BY date_time, glucosevalue) AS next_time,
+               lead(glucosevalue) OVER (PARTITION BY patientid ORDER BY date_time, glucosevalue) AS next_glucose FROM dexcom)
+SELECT patientid, date_time,
+       CASE WHEN next_glucose >= 90 AND (next_time - date_time) < INTERVAL 30 MINUTE THEN 'Fast Recovery' ELSE 'Slow Recovery' END AS recovery_flag
+FROM n WHERE glucosevalue < 70
+""")
+def i15_hypo_recovery_intended(t, hypo=70, recovered=90, within_minutes=30):
+    from vitalis.functions.time import micros_between
+
+    h = shift_over_time(t.dexcom.select("patientid", "date_time", "glucosevalue"), "patientid", "date_time",
+                        ["date_time", "glucosevalue"], "lead")
+    h = h.where(F.col("glucosevalue") < hypo)
+    fast = (F.col("next_glucosevalue") >= recovered) & (micros_between("date_time", "next_date_time") < within_minutes * 60_000_000)
+    return h.select("patientid", "date_time", F.when(fast, "Fast Recovery").otherwise("Slow Recovery").alias("recovery_flag"))
+
+
+@query("i17_calorie_window_top10_intended", f"""
+, d AS (SELECT patientid, CAST(time_begin AS DATE) AS day, SUM(calorie) AS cal FROM foodlog WHERE calorie IS NOT NULL GROUP BY 1, 2),
+w AS (SELECT patientid, day, {R('AVG(cal) OVER (PARTITION BY patientid ORDER BY day RANGE BETWEEN INTERVAL 2 DAY PRECEDING AND CURRENT ROW)', 2)} AS avg_calories FROM d)
+SELECT * FROM w ORDER BY avg_calories DESC NULLS FIRST, patientid, day LIMIT 10
+""")
+def i17_calorie_window_top10_intended(t, k=10):
+    d = day_bin_agg(t.foodlog.where(F.col("calorie").isNotNull()), "patientid", "time_begin", [F.sum("calorie").cast("double").alias("cal")])
+    # calendar 3-day frame over daily totals (a RANGE frame on the day number)
+    w = Window.partitionBy("patientid").orderBy(F.datediff(F.col("day"), F.lit("1970-01-01").cast("date"))).rangeBetween(-2, 0)
+    d = d.select("patientid", "day", round_half_up(F.avg("cal").over(w), 2).alias("avg_calories"))
+    return d.orderBy(DESC("avg_calories"), ASC("patientid"), ASC("day")).limit(k)
+
+
+@query("i21_hr_spikes_intended", f"""
+, l AS (SELECT patientid, date_time, hr, lag(hr) OVER (PARTITION BY patientid ORDER BY date_time, hr) AS previous_hr FROM heartrate)
+SELECT patientid, date_time, hr, previous_hr, {R('hr - previous_hr', 2)} AS spike_diff FROM l WHERE hr > 120
+""")
+def i21_hr_spikes_intended(t, threshold=120):
+    h = shift_over_time(t.heartrate, "patientid", "date_time", ["hr"], "lag", prefix="previous_").where(F.col("hr") > threshold)
+    return h.select("patientid", "date_time", "hr", "previous_hr", round_half_up(F.col("hr") - F.col("previous_hr"), 2).alias("spike_diff"))
+
+
+@query("i30_top3_temp_readings_intended", """
+, r AS (SELECT patientid, date_time, temperature,
+               CAST(ROW_NUMBER() OVER (PARTITION BY patientid ORDER BY temperature DESC NULLS FIRST, date_time ASC) AS INTEGER) AS temp_rank
+        FROM temperature)
+SELECT * FROM r WHERE temp_rank <= 3
+""")
+def i30_top3_temp_readings_intended(t, k=3):
+    r = top_n_per_group(t.temperature, "patientid", [F.col("temperature").desc_nulls_first(), F.col("date_time").asc()], k,
+                        "temp_rank", kind="row_number")
+    return r.select("patientid", "date_time", "temperature", "temp_rank")
+
+
+@query("a01_fasting_alert_intended", A._I06_CTE + """
+SELECT patientid, fasting_day, avg_fasting_glucose,
+       CASE WHEN avg_fasting_glucose > 140 THEN printf('Patient %d has high fasting glucose on %s', patientid, strftime(fasting_day, '%Y-%m-%d')) END AS warning
+FROM daily_fasting_summary
+""")
+def a01_fasting_alert_intended(t, threshold=140):
+    from vitalis.plans.intermediate import i06_fasting_glucose
+
+    s = i06_fasting_glucose(t)
+    msg = F.format_string("Patient %d has high fasting glucose on %s", F.col("patientid"), F.date_format("fasting_day", "yyyy-MM-dd"))
+    return s.select("patientid", "fasting_day", "avg_fasting_glucose", F.when(F.col("avg_fasting_glucose") > threshold, msg).alias("warning"))
+
+
+@query("a07_grouping_sets_spikes_intended", A._a07_sql(37.2))
+def a07_grouping_sets_spikes_intended(t):
+    """Temperature judged on the Celsius scale used elsewhere (37.2)."""
+    return A.a07_rollup(A.multi_spike_summary(t, temp_limit=37.2))
+
+
+@query("a13_food_chain_intended", A._a13_sql("f.patientid, f.time_begin"), recursive=True)
+def a13_food_chain_intended(t):
+    """One anchor per (patient, meal time): two patients eating at the same instant no longer collapse."""
+    return A.a13_food_chain(t, anchor_key=("patientid", "food_time"))
+
+
+@query("a10_nutrient_alerts_intended", """
+, f AS (SELECT patientid, date_trunc('hour', time_begin) AS hour_start, SUM(total_carb) AS c, SUM(dietary_fiber) AS fi, SUM(sugar) AS s,
+               SUM(protein) AS p, SUM(total_fat) AS ft FROM foodlog GROUP BY 1, 2),
+g AS (SELECT patientid, date_trunc('hour', date_time) AS hour_start, MAX(glucosevalue) AS mg FROM dexcom GROUP BY 1, 2)
+SELECT f.patientid, f.hour_start, CAST(c AS DOUBLE) AS total_carb, CAST(fi AS DOUBLE) AS dietary_fiber, CAST(s AS DOUBLE) AS sugar,
+       CAST(p AS DOUBLE) AS protein, CAST(ft AS DOUBLE) AS total_fat, CAST(g.mg AS DOUBLE) AS max_glucose,
+       CASE WHEN g.mg > 180 THEN true ELSE false END AS glucose_spike
+FROM f LEFT JOIN g ON f.patientid = g.patientid AND f.hour_start = g.hour_start
+WHERE c > 60 OR fi > 25 OR s > 30 OR p > 40 OR ft > 20
+""")
+def a10_nutrient_alerts_intended(t):
+    return A.nutrient_alerts(t, as_written=False)
+
+
+@query("a12_temp_stability_intended", """
+SELECT patientid, temperature, date_time,
+       CASE WHEN stddev_pop(temperature) OVER (PARTITION BY patientid, CAST(date_time AS DATE)) > 0.5 THEN 'unstable' ELSE 'stable' END AS status
+FROM temperature
+""")
+def a12_temp_stability_intended(t, limit=0.5):
+    sd = F.stddev_pop("temperature").over(Window.partitionBy("patientid", F.to_date("date_time")))
+    return t.temperature.select("patientid", "temperature", "date_time", F.when(sd > limit, "unstable").otherwise("stable").alias("status"))
+
+
+@query("etl_foodlog_intended", C._sql_clean("foodlog", dedup="all"))
+def etl_foodlog_intended(t):
+    """Every surplus duplicate removed, not just the first one."""
+    return C._typed_out(clean_table(C.raw_table(t, "foodlog"), "foodlog", dedup="all"), "foodlog")
+
+
+__all__ = ["B", "food_chain"]

@@ -137,9 +137,12 @@ RECIPES = {
 }
 
 
-def clean_table(raw: DataFrame, name: str, on_error: str = "fail") -> DataFrame:
-    """The whole cleaning of one raw table as one lazy plan."""
-    r = RECIPES[name]
+def clean_table(raw: DataFrame, name: str, on_error: str = "fail", dedup=None) -> DataFrame:
+    """The whole cleaning of one raw table as one lazy plan.  ``dedup``
+    overrides the recipe: "all", an int limit, or False for none."""
+    r = dict(RECIPES[name])
+    if dedup is not None:
+        r["dedup"] = None if dedup is False else dedup
     df = stage(raw)
     df = drop_columns(df, schemas.RAW_DROPS.get(name, []))
     df = rename(df, schemas.RAW_RENAMES.get(name, {}))
