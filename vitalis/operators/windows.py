@@ -109,7 +109,8 @@ def moving_avg_rows(df: DataFrame, key, order: Sequence, value: str, preceding:
 
 
 def moving_avg_rows_blocked(
-    df: DataFrame, key, ts: str, value: str, preceding: int, name: str, tiebreak: Sequence[str] = ()
+    df: DataFrame, key, ts: str, value: str, preceding: int, name: str, tiebreak: Sequence[str] = (),
+    block: int | None = None,
 ) -> DataFrame:
     """O63 on raw readings without one task per key.
 
@@ -128,7 +129,8 @@ def moving_avg_rows_blocked(
     counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wc), F.lit(0))).drop("_n")
     d = d.join(counts, on=keys + [seg])
     d = d.withColumn("_rn", F.col("_off") + F.row_number().over(Window.partitionBy(*keys, seg).orderBy(*order_cols)) - 1)
-    block = max(preceding * 64, 4096)
+    block = block or max(preceding * 64, 4096)
+    block = max(block, preceding + 1)
     d = d.withColumn("_blk", F.floor(F.col("_rn") / block))
     tail = F.when(F.col("_rn") % block >= block - preceding, F.array(F.col("_blk"), F.col("_blk") + 1)).otherwise(
         F.array(F.col("_blk"))
