@@ -180,3 +180,16 @@ def test_dedup_all_and_limit_one(spark):
     one = deduplicate(df, ["k", "s"], limit=1)
     assert one.count() == 5 and one.where("k = 1").count() == 2
     assert find_duplicates(df, ["k"]).count() == 2
+
+
+@pytest.mark.parametrize("n,segments", [(4, 3), (4, 64), (3, 5)])
+def test_ntile_over_values_equals_window(spark, n, segments):
+    from vitalis.operators.windows import ntile_over_values
+
+    rows = [(p, T0 + timedelta(minutes=i), None if i % 17 == 0 else float((i * 7) % 11)) for p in (1, 2) for i in range(p * 23)]
+    rows += [(3, T0, 1.0)]
+    df = spark.createDataFrame(rows, "pid int, ts timestamp_ntz, v double")
+    got = ntile_over_values(df, "pid", "v", ["ts"], n, "q", segments=segments)
+    w = Window.partitionBy("pid").orderBy(F.col("v").asc_nulls_last(), F.col("ts"))
+    brute = df.withColumn("q", F.ntile(n).over(w))
+    assert sorted(got.collect()) == sorted(brute.select(got.columns).collect())

@@ -161,3 +161,53 @@ def first_per_key(df: DataFrame, key, order: Sequence[Column]) -> DataFrame:
     ordk = F.struct(*order)
     g = df.groupBy(*keys).agg(F.min_by(F.struct(*others), ordk).alias("_r"))
     return g.select(*keys, *[F.col("_r")[c].alias(c) for c in others])
+
+
+def ntile_over_values(
+    df: DataFrame, key, value: str, tiebreak: Sequence[str], n: int, name: str = "ntile", segments: int = 64
+) -> DataFrame:
+    """``NTILE(n) OVER (PARTITION BY key ORDER BY value ASC NULLS LAST, tiebreak)``
+    without sorting a whole key in one task.
+
+    Each key's value range is cut into ``segments`` pieces at approximate
+    quantiles (a partial-aggregating sketch); a row's exact rank is the
+    count of rows in earlier segments of its key (small per-(key, segment)
+    table) plus its row number inside its segment.  Equal values always land
+    in the same segment, so the tie order is exact.  The bucket then follows
+    Spark/PostgreSQL NTILE: the first N mod n buckets hold one extra row.
+    """
+    keys = _keys(key)
+    probs = [i / segments for i in range(1, segments)]
+    bounds = df.groupBy(*keys).agg(F.percentile_approx(value, probs, 1000).alias("_b"))
+    d = df.join(bounds, keys, "left")
+    v = F.col(value)
+    seg = F.when(v.isNull(), F.lit(segments)).otherwise(F.size(F.filter("_b", lambda b: b < v)))
+    d = d.withColumn("_seg", seg).drop("_b")
+    counts = d.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_c"))
+    wk = Window.partitionBy(*keys)
+    counts = counts.select(
+        *keys, "_seg",
+        F.coalesce(F.sum("_c").over(wk.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_c").over(wk).alias("_n"),
+    )
+    d = d.join(counts, keys + ["_seg"])
+    order = [v.asc_nulls_last(), *[F.col(c).asc() for c in tiebreak]]
+    d = d.withColumn("_r", F.col("_off") + F.row_number().over(Window.partitionBy(*keys, "_seg").orderBy(*order)))
+    q, m = (F.col("_n") / n).cast("long"), F.col("_n") % n
+    big = m * (q + 1)
+    bucket = F.when(F.col("_r") <= big, F.floor((F.col("_r") - 1) / (q + 1)) + 1).otherwise(
+        F.floor((F.col("_r") - big - 1) / q) + m + 1
+    )
+    return d.withColumn(name, bucket.cast("int")).drop("_seg", "_off", "_n", "_r")
+
+
+def top_n_rows(df: DataFrame, key, order: Sequence[Column], n: int, segment: Column, name: str = "_rk") -> DataFrame:
+    """O68 for raw rows: ``ROW_NUMBER() OVER (PARTITION BY key ORDER BY order) <= n``
+    in two phases - top n inside each (key, segment), then top n per key over
+    the at most n x segments survivors.  Exact for a total order; no task ever
+    sorts a whole key."""
+    keys = _keys(key)
+    pre = df.withColumn("_seg", segment)
+    pre = pre.withColumn("_r0", F.row_number().over(Window.partitionBy(*keys, "_seg").orderBy(*order))).where(F.col("_r0") <= n)
+    out = pre.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(name) <= n)
+    return out.drop("_seg", "_r0")

@@ -21,7 +21,7 @@ from vitalis.functions.stats import count_if, pct, round_half_up
 from vitalis.operators.bins import day_bin_agg
 from vitalis.operators.chains import food_chain
 from vitalis.operators.joins import interval_join
-from vitalis.operators.windows import shift_over_time, top_n_per_group
+from vitalis.operators.windows import shift_over_time, top_n_rows
 from vitalis.plans import advanced as A
 from vitalis.plans import beginner as B
 from vitalis.plans import cleaning as C
@@ -192,8 +192,9 @@ def i21_hr_spikes_intended(t, threshold=120):
 SELECT * FROM r WHERE temp_rank <= 3
 """)
 def i30_top3_temp_readings_intended(t, k=3):
-    r = top_n_per_group(t.temperature, "patientid", [F.col("temperature").desc_nulls_first(), F.col("date_time").asc()], k,
-                        "temp_rank", kind="row_number")
+    # two-phase top-n: per patient-day first, then per patient over <= k x days rows
+    r = top_n_rows(t.temperature, "patientid", [F.col("temperature").desc_nulls_first(), F.col("date_time").asc()], k,
+                   F.to_date("date_time"), "temp_rank")
     return r.select("patientid", "date_time", "temperature", "temp_rank")
 
 
