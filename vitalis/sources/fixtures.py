@@ -46,18 +46,20 @@ class SensorTables:
             self._cache[name] = build()
         return self._cache[name]
 
+    def base(self, name: str) -> DataFrame:
+        return self._get("base:" + name, lambda: read_table(self.spark, self.sf_dir, name))
+
     def _events(self, kind: str) -> DataFrame:
-        ev = read_table(self.spark, self.sf_dir, "events")
-        return ev.where(F.col("event_type").isin(SENSOR_EVENT_TYPES[kind]))
+        return self.base("events").where(F.col("event_type").isin(SENSOR_EVENT_TYPES[kind]))
 
     def _users(self) -> DataFrame:
         # distinct users of the event stream; partial aggregation before the shuffle
-        return read_table(self.spark, self.sf_dir, "events").select("user_id").distinct()
+        return self._get("users", lambda: self.base("events").select("user_id").distinct())
 
     @property
     def demography(self) -> DataFrame:
         def build():
-            c = read_table(self.spark, self.sf_dir, "customer")
+            c = self.base("customer")
             c = c.join(self._users(), c.c_custkey == F.col("user_id"), "left_semi")
             return c.select(
                 F.col("c_custkey").cast("int").alias("patientid"),
@@ -134,13 +136,13 @@ class SensorTables:
     @property
     def foodlog(self) -> DataFrame:
         def build():
-            li = read_table(self.spark, self.sf_dir, "lineitem").select(
+            li = self.base("lineitem").select(
                 "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
                 "l_returnflag", "l_linestatus",
             )
-            o = read_table(self.spark, self.sf_dir, "orders").select("o_orderkey", "o_custkey")
+            o = self.base("orders").select("o_orderkey", "o_custkey")
             o = o.join(self._users(), o.o_custkey == F.col("user_id"), "left_semi")
-            p = read_table(self.spark, self.sf_dir, "part").select("p_partkey", "p_name", "p_type")
+            p = self.base("part").select("p_partkey", "p_name", "p_type")
             j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
             start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
                 (F.col("o_orderkey") % 30).cast("int"),
@@ -175,8 +177,24 @@ class SensorTables:
         return self._get("foodlog", build)
 
 
-def sensor_tables(spark: SparkSession, sf_dir: str) -> SensorTables:
-    return SensorTables(spark, sf_dir)
+_CATALOG: dict[tuple[int, str], SensorTables] = {}
+
+
+def sensor_tables(spark: SparkSession, sf_dir: str, reuse: bool = True) -> SensorTables:
+    """The sensor views over one data folder.
+
+    Like registering views once in a catalog, the handle is kept per
+    (session, folder): later queries reuse the already-analysed DataFrames
+    instead of listing files and reading footers again.  DataFrames are
+    immutable plans, so sharing them is safe; pass ``reuse=False`` when the
+    folder's files change between calls."""
+    if not reuse:
+        return SensorTables(spark, sf_dir)
+    key = (id(spark), sf_dir.rstrip("/"))
+    t = _CATALOG.get(key)
+    if t is None or t.spark is not spark:
+        t = _CATALOG[key] = SensorTables(spark, sf_dir)
+    return t
 
 
 # --------------------------------------------------------------------------
