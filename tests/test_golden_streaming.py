@@ -119,3 +119,48 @@ def test_etl_checks(spark):
     assert [r.patientid for r in check_references(facts, good, "patientid").collect()] == [5]
     wide = raw.withColumn("empty", F.lit(None).cast("string"))
     assert find_all_null_columns(wide) == ["empty"]
+
+
+def test_sql_table_functions(spark):
+    from vitalis.plans.advanced import hourly_hr_glucose, patient_variability
+    from vitalis.plans.sql_functions import register_sql
+    from vitalis.sources.fixtures import sensor_tables
+
+    t = sensor_tables(spark, "/root/testdata/sf0.001")
+    register_sql(spark, t)
+    assert sorted(spark.sql("SELECT * FROM get_hourly_hr_glucose()").collect()) == sorted(hourly_hr_glucose(t).collect())
+    assert sorted(spark.sql("SELECT * FROM get_hourly_hr_glucose(3)").collect()) == sorted(hourly_hr_glucose(t, 3).collect())
+    assert sorted(spark.sql("SELECT * FROM get_patient_variability()").collect()) == sorted(patient_variability(hourly_hr_glucose(t)).collect())
+
+
+def test_table_plumbing(spark):
+    from vitalis.sources.tables import append_rows, insert_by_position, temp_table
+
+    demo = spark.createDataFrame([(1, "MALE", 5.5)], "patientid int, gender string, hba1c double")
+    more = append_rows(spark, demo, [(17, "MALE")], ["patientid", "gender"])
+    assert more.where("patientid = 17 AND hba1c IS NULL").count() == 1
+    moved = insert_by_position(demo.select("patientid", "gender", "hba1c"), schemas.DEMOGRAPHY)
+    assert moved.schema["hba1c"].dataType == schemas.DEMOGRAPHY["hba1c"].dataType
+    temp_table(demo, "demo_tmp")
+    assert spark.sql("SELECT count(*) c FROM demo_tmp").first().c == 1
+
+
+def test_sessions_match_gaps(spark):
+    from vitalis.operators.windows import sessions
+
+    base = datetime(2024, 1, 1)
+    mins = [0, 5, 20, 21, 50, 51, 52, 200]
+    df = spark.createDataFrame([(1, base + timedelta(minutes=m)) for m in mins], "patientid int, date_time timestamp_ntz")
+    s = sessions(df, "patientid", "date_time", 10)
+    gaps = time_gaps(df, "patientid", "date_time", 10).count()
+    assert s.count() == gaps + 1 and s.agg(F.sum("readings")).first()[0] == len(mins)
+
+
+def test_stream_sliding_avg(spark):
+    from vitalis.streaming.windows import stream_sliding_avg
+
+    base = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, base + timedelta(minutes=m), float(m)) for m in range(0, 30, 3)], "patientid int, date_time timestamp_ntz, hr double")
+    got = _run_stream(spark, stream_sliding_avg(_as_stream(spark, df), "patientid", "date_time", "hr"), "slide", mode="complete")
+    row = got.where(F.col("window_start") == base).first()
+    assert row.n == 4 and row.avg_value == 4.5

@@ -211,3 +211,15 @@ def top_n_rows(df: DataFrame, key, order: Sequence[Column], n: int, segment: Col
     pre = pre.withColumn("_r0", F.row_number().over(Window.partitionBy(*keys, "_seg").orderBy(*order))).where(F.col("_r0") <= n)
     out = pre.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(name) <= n)
     return out.drop("_seg", "_r0")
+
+
+def sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Column] = ()) -> DataFrame:
+    """O80 islands of readings separated by more than ``gap_minutes``:
+    ``session_window`` per key - one row per session with its start, end and
+    row count.  The same expression runs on a stream (with a watermark)."""
+    keys = _keys(key)
+    ev = F.col(ts).cast("timestamp")
+    g = df.groupBy(*keys, F.session_window(ev, f"{int(gap_minutes * 60)} seconds").alias("_s")).agg(
+        F.count(F.lit(1)).alias("readings"), F.min(ts).alias("session_start"), F.max(ts).alias("last_reading"), *aggs
+    )
+    return g.drop("_s")
