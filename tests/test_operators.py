@@ -193,3 +193,11 @@ def test_ntile_over_values_equals_window(spark, n, segments):
     w = Window.partitionBy("pid").orderBy(F.col("v").asc_nulls_last(), F.col("ts"))
     brute = df.withColumn("q", F.ntile(n).over(w))
     assert sorted(got.collect()) == sorted(brute.select(got.columns).collect())
+
+
+def test_first_per_key_is_distinct_on(spark):
+    from vitalis.operators.windows import first_per_key
+
+    df = spark.createDataFrame([(1, 3, "c"), (1, 1, "b"), (1, 1, "a"), (2, 5, "z")], "k int, t int, s string")
+    got = sorted(first_per_key(df, "k", [F.col("t"), F.col("s")]).collect())
+    assert [(r.k, r.t, r.s) for r in got] == [(1, 1, "a"), (2, 5, "z")]
