@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,6 +110,8 @@ def food_chain(
     food = foodlog.select(
         "patientid", F.col("time_begin").alias("food_time"), "logged_food", "calorie", "sugar", "dietary_fiber"
     )
+    # every step joins the food log again: keep the projection materialised for the loop
+    food = food.persist(StorageLevel.MEMORY_AND_DISK)
     pairs = interval_join(spikes, food, "patientid", "spike_at", "food_time", -lookback, timedelta(0), closed="left")
     order = F.struct("spike_at", "patientid", "logged_food", "calorie", "sugar", "dietary_fiber")
     row = F.struct("patientid", "spike_at", "logged_food", "calorie", "sugar", "dietary_fiber")
@@ -126,12 +129,21 @@ def food_chain(
     spark = dexcom.sparkSession
     if checkpoint:
         checkpoint_dir(spark)
-        level = level.checkpoint(eager=True)
+
+    def materialise(df):
+        # persist first so the checkpoint write reads the computed rows instead of
+        # recomputing the step; the checkpoint (shared folder) then cuts the lineage
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if checkpoint:
+            out_df = cached.checkpoint(eager=True)
+            cached.unpersist()
+            return out_df
+        return cached
+
+    level = materialise(level)
     out = [level]
     depth = 1
-    while True:
-        if max_steps is not None and depth >= max_steps:
-            break
+    while max_steps is None or depth < max_steps:
         frontier = level.groupBy("patientid", "spike_time", "food_time").agg(F.sum("mult").alias("mult"))
         nxt = interval_join(
             frontier,
@@ -144,15 +156,15 @@ def food_chain(
             closed="left",
         )
         depth += 1
-        level = nxt.select(
+        level = materialise(nxt.select(
             "patientid", "spike_time", F.col("prev_time").alias("food_time"), "logged_food", "calorie", "sugar",
             "dietary_fiber", F.lit(depth).alias("depth"), "mult",
-        )
-        if checkpoint:
-            level = level.checkpoint(eager=True)
+        ))
         if level.isEmpty():
             break
         out.append(level)
+    if checkpoint:
+        food.unpersist()  # the levels are checkpointed and no longer depend on it
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)
