@@ -164,7 +164,8 @@ def first_per_key(df: DataFrame, key, order: Sequence[Column]) -> DataFrame:
 
 
 def ntile_over_values(
-    df: DataFrame, key, value: str, tiebreak: Sequence[str], n: int, name: str = "ntile", segments: int = 64
+    df: DataFrame, key, value: str, tiebreak: Sequence[str], n: int, name: str = "ntile", segments: int = 512,
+    accuracy: int = 20000,
 ) -> DataFrame:
     """``NTILE(n) OVER (PARTITION BY key ORDER BY value ASC NULLS LAST, tiebreak)``
     without sorting a whole key in one task.
@@ -175,10 +176,13 @@ def ntile_over_values(
     table) plus its row number inside its segment.  Equal values always land
     in the same segment, so the tie order is exact.  The bucket then follows
     Spark/PostgreSQL NTILE: the first N mod n buckets hold one extra row.
+    A segment holds about 1/``segments`` of its key (more when one value
+    repeats a lot, since equal values never split), so raise ``segments``
+    with the size of the heaviest key.
     """
     keys = _keys(key)
     probs = [i / segments for i in range(1, segments)]
-    bounds = df.groupBy(*keys).agg(F.percentile_approx(value, probs, 1000).alias("_b"))
+    bounds = df.groupBy(*keys).agg(F.percentile_approx(value, probs, accuracy).alias("_b"))
     d = df.join(bounds, keys, "left")
     v = F.col(value)
     seg = F.when(v.isNull(), F.lit(segments)).otherwise(F.size(F.filter("_b", lambda b: b < v)))
