@@ -201,3 +201,34 @@ def test_first_per_key_is_distinct_on(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 1, "b"), (1, 1, "a"), (2, 5, "z")], "k int, t int, s string")
     got = sorted(first_per_key(df, "k", [F.col("t"), F.col("s")]).collect())
     assert [(r.k, r.t, r.s) for r in got] == [(1, 1, "a"), (2, 5, "z")]
+
+
+def test_spike_chain_contiguous_equals_brute_force(spark):
+    from vitalis.operators.chains import spike_chain_contiguous
+
+    start = datetime(2024, 1, 1, 0, 0)
+    vals = [190, 200, 150, 185, 150, 150, 150, 150, 150, 210, 182, 150] * 6
+    # readings every 25 minutes: relative hours fill, skip, and islands break after >= 2 h without a high reading
+    readings = [(i, 1, start + timedelta(minutes=25 * i), v) for i, v in enumerate(vals)]
+    meals = [(1, start + timedelta(minutes=m), 400.0) for m in (0, 10, 200, 230, 600, 1500)] + [(1, start + timedelta(minutes=40), 100.0)]
+    food = spark.createDataFrame(meals, "patientid int, time_begin timestamp_ntz, calorie double")
+    dx = spark.createDataFrame(readings, "indexval int, patientid int, date_time timestamp_ntz, glucosevalue int")
+    got = {(r.patientid, r.day): (r.spike_duration, round(r._avg, 9)) for r in spike_chain_contiguous(food, dx, 300, 180).collect()}
+    exp, chain_vals = {}, {}
+    for pid, t, c in meals:
+        if c <= 300:
+            continue
+        ks = {int((ts - t).total_seconds() // 3600) for _, p, ts, g in readings if ts >= t and g > 180}
+        run = 0
+        while run in ks:
+            run += 1
+        if run == 0:
+            continue
+        day = t.date()
+        d = exp.setdefault((pid, day), 0)
+        exp[(pid, day)] = max(d, run)
+        for idx, p, ts, g in readings:
+            if ts >= t and g > 180 and (ts - t).total_seconds() // 3600 < run:
+                chain_vals.setdefault((pid, day), {})[idx] = g
+    exp = {k: (v, round(sum(chain_vals[k].values()) / len(chain_vals[k]), 9)) for k, v in exp.items()}
+    assert got == exp

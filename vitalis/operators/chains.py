@@ -171,3 +171,48 @@ def food_chain(
     # re-expand path multiplicities into rows (the recursive query's result multiset)
     res = res.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("mult").cast("int")))).drop("_k", "mult")
     return res
+
+
+def spike_chain_contiguous(
+    foodlog: DataFrame,
+    dexcom: DataFrame,
+    min_calorie: float = 300,
+    min_glucose: float = 180,
+) -> DataFrame:
+    """a08 as intended: after a meal at t, hour k covers [t + (k-1)h, t + kh);
+    the chain is the run of consecutive hours, from the first, that each hold
+    a reading above ``min_glucose``.  Per (patient, meal day): the longest run
+    and the plain mean of the distinct readings inside the runs.
+
+    A run cannot cross two readings 2 h or more apart (a whole empty hour lies
+    between them), so readings are first cut into islands with a day-segmented
+    lag; each meal meets only the island that starts within its first hour.
+    The mex of the relative hour numbers gives the run length."""
+    from vitalis.operators.windows import shift_over_time
+
+    meals = foodlog.where(F.col("calorie") > min_calorie).select("patientid", "time_begin").distinct()
+    high = dexcom.where(F.col("glucosevalue") > min_glucose).select("patientid", "indexval", "date_time", "glucosevalue")
+    # islands: a new island starts where the previous high reading is >= 2 h earlier
+    lagged = shift_over_time(high, "patientid", "date_time", ["date_time"], "lag", prefix="_p_", tiebreak=["indexval"])
+    new = F.col("_p_date_time").isNull() | (micros_between("_p_date_time", "date_time") >= 7_200_000_000)
+    starts = lagged.where(new).select("patientid", F.col("date_time").alias("isl"))
+    # island id of every reading = its island's start (as-of backward, non-strict)
+    from vitalis.operators.joins import asof_backward
+
+    tagged = asof_backward(high, starts, "patientid", "date_time", "isl", [], strict=False, prefix="_")
+    # the island holding the first reading in [t, t + 1h)
+    first = interval_join(meals, tagged.select("patientid", F.col("date_time").alias("_rt"), F.col("_isl").alias("isl")),
+                          "patientid", "time_begin", "_rt", timedelta(0), timedelta(hours=1), closed="left")
+    first = first.groupBy("patientid", "time_begin").agg(F.min("isl").alias("isl"))
+    # all readings of that island from t on, with their hour number relative to t
+    r = first.join(tagged.withColumnRenamed("_isl", "isl"), ["patientid", "isl"]).where(F.col("date_time") >= F.col("time_begin"))
+    r = r.withColumn("k", F.floor(micros_between("time_begin", "date_time") / F.lit(3_600_000_000)))
+    # run length = mex of the hour numbers = first k whose successor is missing
+    ks = r.groupBy("patientid", "time_begin").agg(F.array_sort(F.collect_set("k")).alias("ks"))
+    run = F.aggregate("ks", F.lit(0).cast("long"), lambda acc, k: F.when(k == acc, acc + 1).otherwise(acc))
+    ks = ks.select("patientid", "time_begin", run.alias("run"))
+    chain = r.join(ks, ["patientid", "time_begin"]).where(F.col("k") < F.col("run"))
+    dur = ks.groupBy("patientid", F.to_date("time_begin").alias("day")).agg(F.max("run").cast("int").alias("spike_duration"))
+    vals = chain.select("patientid", F.to_date("time_begin").alias("day"), "indexval", "glucosevalue").distinct()
+    avg = vals.groupBy("patientid", "day").agg(F.avg("glucosevalue").alias("_avg"))
+    return dur.join(avg, ["patientid", "day"])

@@ -223,6 +223,32 @@ def a13_food_chain_intended(t):
     return A.a13_food_chain(t, anchor_key=("patientid", "food_time"))
 
 
+@query("a08_spike_chain_intended", f"""
+, meals AS (SELECT DISTINCT patientid, time_begin FROM foodlog WHERE calorie > 300),
+high AS (SELECT indexval, patientid, date_time, glucosevalue FROM dexcom WHERE glucosevalue > 180),
+mr AS (SELECT m.patientid, m.time_begin, h.indexval, h.glucosevalue,
+              CAST(floor(date_diff('microsecond', m.time_begin, h.date_time) / 3600000000.0) AS BIGINT) AS k
+       FROM meals m JOIN high h ON h.patientid = m.patientid AND h.date_time >= m.time_begin),
+ks AS (SELECT DISTINCT patientid, time_begin, k FROM mr),
+cand AS (SELECT patientid, time_begin, 0 AS c FROM meals UNION SELECT patientid, time_begin, k + 1 FROM ks),
+runs AS (SELECT c.patientid, c.time_begin, MIN(c.c) AS run FROM cand c
+         WHERE NOT EXISTS (SELECT 1 FROM ks WHERE ks.patientid = c.patientid AND ks.time_begin = c.time_begin AND ks.k = c.c)
+         GROUP BY c.patientid, c.time_begin),
+chain AS (SELECT mr.* FROM mr JOIN runs ON mr.patientid = runs.patientid AND mr.time_begin = runs.time_begin WHERE mr.k < runs.run),
+dur AS (SELECT patientid, CAST(time_begin AS DATE) AS day, CAST(MAX(run) AS INTEGER) AS spike_duration FROM runs
+        WHERE run > 0 GROUP BY 1, 2),
+av AS (SELECT patientid, day, {R('AVG(glucosevalue)', 2)} AS avg_spike_glucose
+       FROM (SELECT DISTINCT patientid, CAST(time_begin AS DATE) AS day, indexval, glucosevalue FROM chain) GROUP BY 1, 2)
+SELECT dur.patientid, dur.day, dur.spike_duration, av.avg_spike_glucose FROM dur JOIN av ON dur.patientid = av.patientid AND dur.day = av.day
+""")
+def a08_spike_chain_intended(t, min_calorie=300, min_glucose=180):
+    """Contiguous meal-relative hours (no skipped readings), plain mean of the chain's readings."""
+    from vitalis.operators.chains import spike_chain_contiguous
+
+    g = spike_chain_contiguous(t.foodlog, t.dexcom, min_calorie, min_glucose)
+    return g.select("patientid", "day", "spike_duration", round_half_up(F.col("_avg"), 2).alias("avg_spike_glucose"))
+
+
 @query("a10_nutrient_alerts_intended", """
 , f AS (SELECT patientid, date_trunc('hour', time_begin) AS hour_start, SUM(total_carb) AS c, SUM(dietary_fiber) AS fi, SUM(sugar) AS s,
                SUM(protein) AS p, SUM(total_fat) AS ft FROM foodlog GROUP BY 1, 2),
