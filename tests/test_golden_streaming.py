@@ -164,3 +164,38 @@ def test_stream_sliding_avg(spark):
     got = _run_stream(spark, stream_sliding_avg(_as_stream(spark, df), "patientid", "date_time", "hr"), "slide", mode="complete")
     row = got.where(F.col("window_start") == base).first()
     assert row.n == 4 and row.avg_value == 4.5
+
+
+def test_hour_bin_join_equals_range_predicate(spark):
+    from vitalis.operators.joins import hour_bin_join
+
+    base = datetime(2024, 1, 1, 8)
+    facts = spark.createDataFrame([(1, base + timedelta(minutes=m)) for m in (0, 59, 60, 119, 185)], "patientid int, date_time timestamp_ntz")
+    bins = spark.createDataFrame([(1, base, 1.0), (1, base + timedelta(hours=1), 2.0)], "patientid int, hour_start timestamp_ntz, v double")
+    got = sorted((r.date_time, r.v) for r in hour_bin_join(facts, bins, "patientid", "date_time", "hour_start").collect())
+    assert got == [(base, 1.0), (base + timedelta(minutes=59), 1.0), (base + timedelta(minutes=60), 2.0),
+                   (base + timedelta(minutes=119), 2.0), (base + timedelta(minutes=185), None)]
+
+
+def test_summary_upsert_refresh_and_publish(spark):
+    from vitalis.sources.etl import publish
+    from vitalis.sources.fixtures import sensor_tables
+    from vitalis.streaming.hourly import refresh_summary, upsert_hours
+
+    t = sensor_tables(spark, "/root/testdata/sf0.001")
+    batch = hourly_sensor_summary(t)
+    out = os.path.join(tempfile.mkdtemp(prefix="vitalis-up-"), "summary")
+    streams = {"g": _as_stream(spark, t.dexcom), "hr": _as_stream(spark, t.heartrate),
+               "temp": _as_stream(spark, t.temperature), "eda": _as_stream(spark, t.eda)}
+    q = (stream_hourly_summary(streams).writeStream.outputMode("update").foreachBatch(lambda b, _: upsert_hours(b, out))
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="vitalis-ck-")).trigger(availableNow=True).start())
+    q.awaitTermination(180)
+    got = spark.read.parquet(out).drop("day")
+    assert sorted(got.select(batch.columns).collect()) == sorted(batch.collect())
+    ref = os.path.join(tempfile.mkdtemp(prefix="vitalis-ref-"), "summary")
+    refresh_summary(spark, batch, ref)
+    refresh_summary(spark, batch, ref, since="2024-01-15")  # rewrites only the later days
+    assert spark.read.parquet(ref).count() == batch.count()
+    pub = os.path.join(tempfile.mkdtemp(prefix="vitalis-pub-"), "hr")
+    publish(t.heartrate, pub)
+    assert spark.read.parquet(pub).count() == t.heartrate.count()
