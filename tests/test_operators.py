@@ -232,3 +232,77 @@ def test_spike_chain_contiguous_equals_brute_force(spark):
                 chain_vals.setdefault((pid, day), {})[idx] = g
     exp = {k: (v, round(sum(chain_vals[k].values()) / len(chain_vals[k]), 9)) for k, v in exp.items()}
     assert got == exp
+
+
+def _random_rows(seed, n, days=3, dup_every=7):
+    import random
+
+    rnd = random.Random(seed)
+    base = datetime(2024, 1, 30)
+    rows = []
+    for i in range(n):
+        ts = base + timedelta(minutes=rnd.randrange(0, days * 1440))
+        rows.append((rnd.choice([1, 1, 1, 2, 3]), ts, float(rnd.randrange(0, 50))))
+        if i % dup_every == 0:
+            rows.append((rows[-1][0], ts, float(rnd.randrange(0, 50))))  # equal timestamp
+    return rows
+
+
+def _srt(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_operators_equal_plain_forms(spark, seed):
+    rd = spark.createDataFrame(_random_rows(seed, 120), "pid int, rt timestamp_ntz, v double")
+    ev = spark.createDataFrame([(p, t) for p, t, _ in _random_rows(seed + 100, 25)], "pid int, et timestamp_ntz").distinct()
+    w = Window.partitionBy("pid").orderBy("rt", "v")
+    # lag / lead
+    for direction, fn in (("lag", F.lag), ("lead", F.lead)):
+        got = shift_over_time(rd, "pid", "rt", ["v"], direction, prefix="x_")
+        assert _srt(got) == _srt(rd.withColumn("x_v", fn("v").over(w)))
+    # rolling 11-row frame with tiny blocks
+    got = moving_avg_rows_blocked(rd, "pid", "rt", "v", 10, "ma", block=13)
+    assert _srt(got) == _srt(rd.withColumn("ma", F.avg("v").over(w.rowsBetween(-10, 0))))
+    # interval join, 90-minute window both sides open on the left
+    got = interval_join(ev, rd, "pid", "et", "rt", -timedelta(minutes=30), timedelta(minutes=60), "right")
+    d = (F.col("rt").cast("timestamp").cast("long") - F.col("et").cast("timestamp").cast("long")) / 60
+    brute = ev.join(rd, "pid").where((d > -30) & (d <= 60))
+    assert sorted(got.select("pid", "et", "rt", "v").collect()) == sorted(brute.select("pid", "et", "rt", "v").collect())
+    # as-of backward (strict) against a per-event max over earlier readings
+    got = asof_backward(ev, rd, "pid", "et", "rt", ["v"], strict=True).toPandas()
+    r = rd.toPandas()
+    for _, e in ev.toPandas().iterrows():
+        c = r[(r.pid == e.pid) & (r.rt < e.et)]
+        g = got[(got.pid == e.pid) & (got.et == e.et)].iloc[0]
+        if c.empty:
+            assert pd.isna(g.prev_rt)
+        else:
+            best = c.sort_values(["rt", "v"]).iloc[-1]
+            assert (g.prev_rt, g.prev_v) == (best.rt, best.v)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_random_window_and_anti_and_ntile(spark, seed):
+    from vitalis.operators.windows import ntile_over_values
+
+    rd = spark.createDataFrame(_random_rows(seed, 150), "pid int, rt timestamp_ntz, v double")
+    ev = spark.createDataFrame([(p, t) for p, t, _ in _random_rows(seed + 50, 30)], "pid int, et timestamp_ntz").distinct()
+    got = first_in_window(ev, rd, "pid", "et", "rt", ["v"], timedelta(minutes=-20), timedelta(hours=2)).toPandas()
+    r = rd.toPandas()
+    for _, e in ev.toPandas().iterrows():
+        c = r[(r.pid == e.pid) & (r.rt >= e.et - timedelta(minutes=20)) & (r.rt <= e.et + timedelta(hours=2))]
+        g = got[(got.pid == e.pid) & (got.et == e.et)].iloc[0]
+        if c.empty:
+            assert pd.isna(g.next_rt)
+        else:
+            best = c.sort_values(["rt", "v"]).iloc[0]
+            assert (g.next_rt, g.next_v) == (best.rt, best.v)
+    anti = anti_join_within(ev, rd, "pid", "et", "rt", -timedelta(hours=3), timedelta(0))
+    d = (F.col("rt").cast("timestamp").cast("long") - F.col("et").cast("timestamp").cast("long")) / 60
+    hit = ev.join(rd, "pid").where((d >= -180) & (d <= 0)).select("pid", "et").distinct()
+    assert _srt(anti) == _srt(ev.join(hit, ["pid", "et"], "left_anti"))
+    q = ntile_over_values(rd, "pid", "v", ["rt"], 4, "q", segments=7)
+    w = Window.partitionBy("pid").orderBy(F.col("v").asc_nulls_last(), F.col("rt"))
+    # rows equal in (v, rt) are interchangeable, so compare the multiset of (pid, v, rt, q)
+    assert _srt(q.select("pid", "rt", "v", "q")) == _srt(rd.withColumn("q", F.ntile(4).over(w)).select("pid", "rt", "v", "q"))

@@ -117,7 +117,8 @@ def asof_backward(
 ) -> DataFrame:
     """For each left row, the latest right row with ``right_ts < left_ts``
     (``<=`` when ``strict`` is False) of the same key - a LATERAL ... ORDER BY
-    ... DESC LIMIT 1 without the nested loop.
+    ... DESC LIMIT 1 without the nested loop.  Among right rows with equal
+    times the one with the largest values is taken.
 
     Day-segmented so that a heavy key is not one task: (1) within each
     (key, day) the left and right rows are merged in time order and the last
@@ -148,14 +149,16 @@ def asof_backward(
     u = l.unionByName(rr).withColumn("_day", F.to_date("_t"))
     from pyspark.sql import Window as W
 
-    w = W.partitionBy(*keys, "_day").orderBy("_t", "_side", F.col("_v_" + right_ts)).rowsBetween(W.unboundedPreceding, -1)
+    # equal-time right rows: the one with the largest values counts as latest (documented tie-break)
+    vcols = [F.col("_v_" + c) for c in cols]
+    w = W.partitionBy(*keys, "_day").orderBy("_t", "_side", *vcols).rowsBetween(W.unboundedPreceding, -1)
     # carry the whole right row as one struct so all values come from the same row
     u = u.withColumn("_rv", F.when(F.col("_side") == rside, F.struct(*["_v_" + c for c in cols])))
     u = u.withColumn("_prev", F.last("_rv", ignorenulls=True).over(w))
     lefts = u.where(F.col("_side") == lside)
     # previous-day carry from a per-(key, day) summary of the right side
     per_day = r_payload.groupBy(*keys, F.to_date("_t").alias("_day")).agg(
-        F.max_by(F.struct(*["_v_" + c for c in cols]), F.struct("_t", F.col("_v_" + right_ts))).alias("_last")
+        F.max_by(F.struct(*["_v_" + c for c in cols]), F.struct("_t", *["_v_" + c for c in cols])).alias("_last")
     )
     days = lefts.select(*keys, "_day").distinct()
     grid = per_day.unionByName(days.withColumn("_last", F.lit(None).cast(per_day.schema["_last"].dataType)))

@@ -47,11 +47,11 @@ def shift_over_time(
     d = df.withColumn(seg, F.to_date(F.col(ts)))
     w = Window.partitionBy(*keys, seg).orderBy(*order_cols)
     payload = F.struct(*[F.col(c).alias(c) for c in cols])
-    edge = F.row_number().over(
-        Window.partitionBy(*keys, seg).orderBy(*[F.col(c).desc() for c in order_cols]) if not lag else w
-    )
+    # the segment edge comes from the same window as the shift: with a second,
+    # reversed ordering, fully equal rows could be picked differently by the two
+    edge = (F.lag if lag else F.lead)(F.lit(1)).over(w).isNull()
     inner = (F.lag if lag else F.lead)(payload).over(w)
-    d = d.withColumn("_inner", inner).withColumn("_edge", edge == 1)
+    d = d.withColumn("_inner", inner).withColumn("_edge", edge)
     # per-day boundary row: last row of the day (for lag) or first row (for lead)
     order_struct = F.struct(*order_cols)
     pick = F.max_by if lag else F.min_by
