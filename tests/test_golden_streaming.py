@@ -199,3 +199,18 @@ def test_summary_upsert_refresh_and_publish(spark):
     pub = os.path.join(tempfile.mkdtemp(prefix="vitalis-pub-"), "hr")
     publish(t.heartrate, pub)
     assert spark.read.parquet(pub).count() == t.heartrate.count()
+
+
+def test_clean_all_and_integrity_report(spark):
+    from vitalis.plans.cleaning import raw_table
+    from vitalis.sources.etl import clean_all, integrity_report
+    from vitalis.sources.fixtures import sensor_tables
+
+    t = sensor_tables(spark, "/root/testdata/sf0.001")
+    names = ["demography", "dexcom", "eda", "foodlog", "heartrate", "ibinterval", "temperature"]
+    clean = clean_all({n: raw_table(t, n) for n in names})
+    assert clean["heartrate"].count() == t.heartrate.distinct().count()
+    rep = {(r.table_name, r.rule): r.violations for r in integrity_report(clean).collect()}
+    assert rep[("demography", "duplicate_keys")] == 0 and rep[("demography", "null_keys")] == 0
+    assert all(v == 0 for (tb, c), v in rep.items() if c == "missing_demography")
+    assert len(rep) == 2 + 6

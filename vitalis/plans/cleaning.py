@@ -140,4 +140,21 @@ def etl_duplicate_report(t):
     return out
 
 
+_FACTS = ["dexcom", "eda", "foodlog", "heartrate", "ibinterval", "temperature"]
+
+
+@query("etl_integrity_report", "SELECT * FROM ("
+       "SELECT 'demography' AS table_name, 'duplicate_keys' AS rule, COUNT(*) AS violations FROM "
+       "(SELECT patientid FROM demography GROUP BY patientid HAVING COUNT(*) > 1) "
+       "UNION ALL SELECT 'demography', 'null_keys', COUNT(*) FROM demography WHERE patientid IS NULL "
+       + " ".join(f"UNION ALL SELECT '{tb}', 'missing_demography', COUNT(*) FROM {tb} f WHERE f.patientid IS NOT NULL "
+                  f"AND NOT EXISTS (SELECT 1 FROM demography d WHERE d.patientid = f.patientid)" for tb in _FACTS)
+       + ")")
+def etl_integrity_report(t):
+    """O9 + O10: the schema's primary- and foreign-key rules as one report."""
+    from vitalis.sources.etl import integrity_report
+
+    return integrity_report({"demography": t.demography, **{tb: getattr(t, tb) for tb in _FACTS}})
+
+
 __all__ = ["raw_table", "etl", "sensor_tables"]

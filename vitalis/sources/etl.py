@@ -163,3 +163,30 @@ def publish(df: DataFrame, path: str, sort_within: Sequence[str] = ("patientid",
     # range partitioning on (patient, time) splits a heavy patient over many files
     out = df.repartitionByRange(*cols).sortWithinPartitions(*cols) if cols else df
     out.write.mode("overwrite").parquet(path)
+
+
+def clean_all(raw: Mapping[str, DataFrame], on_error: str = "fail") -> dict[str, DataFrame]:
+    """Every raw table through its recipe; lazy, one plan per table."""
+    return {name: clean_table(df, name, on_error) for name, df in raw.items()}
+
+
+def integrity_report(tables: Mapping[str, DataFrame], dim: str = "demography", key: str = "patientid") -> DataFrame:
+    """PK / FK rules of the schema as one report: for the dimension, duplicate
+    key groups and NULL keys; for every fact table, rows whose key has no
+    dimension row.  One row per (table, rule); all counts come from
+    distributed aggregations."""
+    d = tables[dim]
+    u = check_unique(d, [key])
+    parts = [
+        u.select(F.lit(dim).alias("table_name"), F.lit("duplicate_keys").alias("rule"), F.col("duplicate_groups").alias("violations")),
+        u.select(F.lit(dim).alias("table_name"), F.lit("null_keys").alias("rule"), F.col("null_keys").alias("violations")),
+    ]
+    for name, df in tables.items():
+        if name == dim:
+            continue
+        orphans = check_references(df.select(key), d, key).agg(F.count(F.lit(1)).alias("violations"))
+        parts.append(orphans.select(F.lit(name).alias("table_name"), F.lit("missing_" + dim).alias("rule"), "violations"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
