@@ -24,7 +24,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vit
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("VITALIS_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("VITALIS_DRIVER_MEMORY", "4g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
