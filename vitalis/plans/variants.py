@@ -19,11 +19,9 @@ from pyspark.sql import functions as F
 from vitalis.functions import labels as L
 from vitalis.functions.stats import count_if, pct, round_half_up
 from vitalis.operators.bins import day_bin_agg
-from vitalis.operators.chains import food_chain
 from vitalis.operators.joins import interval_join
 from vitalis.operators.windows import shift_over_time, top_n_rows
 from vitalis.plans import advanced as A
-from vitalis.plans import beginner as B
 from vitalis.plans import cleaning as C
 from vitalis.plans.registry import query
 from vitalis.plans.sqlhelp import R
@@ -278,5 +276,3 @@ def etl_foodlog_intended(t):
     """Every surplus duplicate removed, not just the first one."""
     return C._typed_out(clean_table(C.raw_table(t, "foodlog"), "foodlog", dedup="all"), "foodlog")
 
-
-__all__ = ["B", "food_chain"]
