@@ -110,14 +110,17 @@ def deduplicate(df: DataFrame, keys: Sequence[str], limit: int | None = None) ->
 
 
 def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Primary-key rule as data: one row (duplicate_groups, null_keys)."""
+    """Primary-key rule as data: one row (duplicate_groups, null_keys),
+    from one grouping by the key (NULL keys form their own group)."""
     null_any = None
     for k in key:
         x = F.col(k).isNull()
         null_any = x if null_any is None else (null_any | x)
-    nulls = df.agg(F.count(F.when(null_any, 1)).alias("null_keys"))
-    dups = find_duplicates(df, key).agg(F.count(F.lit(1)).alias("duplicate_groups"))
-    return dups.crossJoin(nulls)  # one row x one row
+    g = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    return g.agg(
+        F.count(F.when(F.col("_n") > 1, 1)).alias("duplicate_groups"),
+        F.coalesce(F.sum(F.when(null_any, F.col("_n"))), F.lit(0)).cast("long").alias("null_keys"),
+    )
 
 
 def check_references(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
