@@ -214,3 +214,16 @@ def test_clean_all_and_integrity_report(spark):
     assert rep[("demography", "duplicate_keys")] == 0 and rep[("demography", "null_keys")] == 0
     assert all(v == 0 for (tb, c), v in rep.items() if c == "missing_demography")
     assert len(rep) == 2 + 6
+
+
+def test_stateless_alert_streams(spark):
+    from vitalis.streaming.alerts import stream_fasting_alerts, stream_food_risk
+
+    s = spark.createDataFrame([(1, date(2025, 10, 3), 145.2), (2, date(2025, 10, 3), 120.0)],
+                              "patientid int, fasting_day date, avg_fasting_glucose double")
+    got = _run_stream(spark, stream_fasting_alerts(_as_stream(spark, s)), "fast_alerts").collect()
+    assert [(r.patientid, r.message) for r in got] == [(1, "Patient 1 has high fasting glucose on 145.20")]
+    f = spark.createDataFrame([(17, datetime(2025, 10, 3, 8, 30), "White Rice"), (17, datetime(2025, 10, 3, 12, 45), "grilled chicken")],
+                              "patientid int, time_begin timestamp_ntz, logged_food string")
+    got = _run_stream(spark, stream_food_risk(_as_stream(spark, f)), "food_alerts").collect()
+    assert [(r.logged_food, r.first_match) for r in got] == [("White Rice", "white rice")]

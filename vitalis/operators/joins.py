@@ -160,11 +160,14 @@ def asof_backward(
     per_day = r_payload.groupBy(*keys, F.to_date("_t").alias("_day")).agg(
         F.max_by(F.struct(*["_v_" + c for c in cols]), F.struct("_t", *["_v_" + c for c in cols])).alias("_last")
     )
+    # query days sort before the same day's summary row, so "preceding rows" are
+    # exactly the earlier days: one small window, no extra aggregation
     days = lefts.select(*keys, "_day").distinct()
-    grid = per_day.unionByName(days.withColumn("_last", F.lit(None).cast(per_day.schema["_last"].dataType)))
-    wd = W.partitionBy(*keys).orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
-    carry = grid.groupBy(*keys, "_day").agg(F.max("_last").alias("_last"))
-    carry = carry.withColumn("_carry", F.last("_last", ignorenulls=True).over(wd)).select(*keys, "_day", "_carry")
+    days = days.withColumn("_last", F.lit(None).cast(per_day.schema["_last"].dataType)).withColumn("_q", F.lit(0))
+    grid = per_day.withColumn("_q", F.lit(1)).unionByName(days)
+    wd = W.partitionBy(*keys).orderBy("_day", "_q").rowsBetween(W.unboundedPreceding, -1)
+    carry = grid.withColumn("_carry", F.last("_last", ignorenulls=True).over(wd)).where(F.col("_q") == 0)
+    carry = carry.select(*keys, "_day", "_carry")
     res = lefts.join(carry, on=keys + ["_day"], how="left")
     pick = F.coalesce(F.col("_prev"), F.col("_carry"))
     return res.select(*[F.col(c) for c in lcols], *[pick["_v_" + c].alias(n) for c, n in zip(cols, out_names)])
