@@ -31,6 +31,33 @@ ASC = lambda c: F.col(c).asc_nulls_last()
 DESC = lambda c: F.col(c).desc_nulls_first()
 
 
+# ---- the reference's literal arguments, next to the data-appropriate registered keys
+from vitalis.functions.labels import HIGH_RISK_FOODS  # noqa: E402
+from vitalis.plans import beginner as B  # noqa: E402
+
+
+@query("b25_device_alerts_literal", B.b25_sql(B.ALERT_PREFIX))
+def b25_device_alerts_literal(t):
+    """Prefix 'alert' as written (the driver data has no such event type: every device is Low)."""
+    return B.device_alerts(t.dexcom, B.ALERT_PREFIX)
+
+
+@query("a02_high_risk_food_literal", A.a02_sql(HIGH_RISK_FOODS))
+def a02_high_risk_food_literal(t):
+    """The reference's nine keywords, as written."""
+    return A.high_risk_food(t.foodlog, HIGH_RISK_FOODS)
+
+
+# The reference's partition years.
+A11_LITERAL_YEARS = [2019, 2020, 2025]
+
+
+@query("a11_year_partition_literal", A.a11_sql(A11_LITERAL_YEARS))
+def a11_year_partition_literal(t):
+    """Partitions 2019, 2020, 2025 and the default, as written."""
+    return A.a11_year_partition(t, A11_LITERAL_YEARS)
+
+
 @query("i11_naive_daily_join", f"""
 , gh AS (SELECT dx.patientid, COUNT(DISTINCT day(dx.date_time)) AS total_days, {R('AVG(dx.glucosevalue)', 2)} AS avg_glucose,
                 {R('AVG(h.hr)', 8)} AS avg_hr
