@@ -252,17 +252,17 @@ def _srt(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_operators_equal_plain_forms(spark, seed):
+@pytest.mark.parametrize("seed,segment", [(1, "day"), (2, "day"), (3, "hour")])
+def test_random_operators_equal_plain_forms(spark, seed, segment):
     rd = spark.createDataFrame(_random_rows(seed, 120), "pid int, rt timestamp_ntz, v double")
     ev = spark.createDataFrame([(p, t) for p, t, _ in _random_rows(seed + 100, 25)], "pid int, et timestamp_ntz").distinct()
     w = Window.partitionBy("pid").orderBy("rt", "v")
     # lag / lead
     for direction, fn in (("lag", F.lag), ("lead", F.lead)):
-        got = shift_over_time(rd, "pid", "rt", ["v"], direction, prefix="x_")
+        got = shift_over_time(rd, "pid", "rt", ["v"], direction, prefix="x_", segment=segment)
         assert _srt(got) == _srt(rd.withColumn("x_v", fn("v").over(w)))
     # rolling 11-row frame with tiny blocks
-    got = moving_avg_rows_blocked(rd, "pid", "rt", "v", 10, "ma", block=13)
+    got = moving_avg_rows_blocked(rd, "pid", "rt", "v", 10, "ma", block=13, segment=segment)
     assert _srt(got) == _srt(rd.withColumn("ma", F.avg("v").over(w.rowsBetween(-10, 0))))
     # interval join, 90-minute window both sides open on the left
     got = interval_join(ev, rd, "pid", "et", "rt", -timedelta(minutes=30), timedelta(minutes=60), "right")
@@ -270,7 +270,7 @@ def test_random_operators_equal_plain_forms(spark, seed):
     brute = ev.join(rd, "pid").where((d > -30) & (d <= 60))
     assert sorted(got.select("pid", "et", "rt", "v").collect()) == sorted(brute.select("pid", "et", "rt", "v").collect())
     # as-of backward (strict) against a per-event max over earlier readings
-    got = asof_backward(ev, rd, "pid", "et", "rt", ["v"], strict=True).toPandas()
+    got = asof_backward(ev, rd, "pid", "et", "rt", ["v"], strict=True, segment=segment).toPandas()
     r = rd.toPandas()
     for _, e in ev.toPandas().iterrows():
         c = r[(r.pid == e.pid) & (r.rt < e.et)]

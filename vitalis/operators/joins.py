@@ -114,6 +114,7 @@ def asof_backward(
     values: Sequence[str],
     strict: bool = True,
     prefix: str = "prev_",
+    segment: str = "day",
 ) -> DataFrame:
     """For each left row, the latest right row with ``right_ts < left_ts``
     (``<=`` when ``strict`` is False) of the same key - a LATERAL ... ORDER BY
@@ -146,9 +147,12 @@ def asof_backward(
         F.lit(rside).alias("_side"),
         *["_v_" + c for c in cols],
     )
-    u = l.unionByName(rr).withColumn("_day", F.to_date("_t"))
     from pyspark.sql import Window as W
 
+    from vitalis.operators.windows import segment_of
+
+    u = l.unionByName(rr).withColumn("_day", segment_of("_t", segment))
+
     # equal-time right rows: the one with the largest values counts as latest (documented tie-break)
     vcols = [F.col("_v_" + c) for c in cols]
     w = W.partitionBy(*keys, "_day").orderBy("_t", "_side", *vcols).rowsBetween(W.unboundedPreceding, -1)
@@ -157,7 +161,7 @@ def asof_backward(
     u = u.withColumn("_prev", F.last("_rv", ignorenulls=True).over(w))
     lefts = u.where(F.col("_side") == lside)
     # previous-day carry from a per-(key, day) summary of the right side
-    per_day = r_payload.groupBy(*keys, F.to_date("_t").alias("_day")).agg(
+    per_day = r_payload.groupBy(*keys, segment_of("_t", segment).alias("_day")).agg(
         F.max_by(F.struct(*["_v_" + c for c in cols]), F.struct("_t", *["_v_" + c for c in cols])).alias("_last")
     )
     # query days sort before the same day's summary row, so "preceding rows" are

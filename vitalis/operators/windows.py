@@ -14,13 +14,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitalis.functions.time import micros_between
+from vitalis.functions.time import micros_between, trunc_hour
 
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def segment_of(ts, segment: str = "day") -> Column:
+    """Segment unit of the segmented windows: calendar day (default) or hour.
+    Smaller units bound the largest task more tightly at the cost of more
+    segment edges to repair."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return {"day": F.to_date(c), "hour": trunc_hour(c)}[segment]
+
+
 def shift_over_time(
     df: DataFrame,
     key: Sequence[str] | str,
@@ -29,6 +37,7 @@ def shift_over_time(
     direction: str = "lag",
     prefix: str | None = None,
     tiebreak: Sequence[str] = (),
+    segment: str = "day",
 ) -> DataFrame:
     """``LAG(c) / LEAD(c) OVER (PARTITION BY key ORDER BY ts, tiebreak)`` for each c.
 
@@ -44,7 +53,7 @@ def shift_over_time(
     prefix = prefix if prefix is not None else ("prev_" if lag else "next_")
     order_cols = [ts, *tiebreak, *[c for c in cols if c != ts and c not in tiebreak]]
     seg = "_seg_day"
-    d = df.withColumn(seg, F.to_date(F.col(ts)))
+    d = df.withColumn(seg, segment_of(ts, segment))
     w = Window.partitionBy(*keys, seg).orderBy(*order_cols)
     payload = F.struct(*[F.col(c).alias(c) for c in cols])
     # the segment edge comes from the same window as the shift: with a second,
@@ -55,7 +64,7 @@ def shift_over_time(
     # per-day boundary row: last row of the day (for lag) or first row (for lead)
     order_struct = F.struct(*order_cols)
     pick = F.max_by if lag else F.min_by
-    summary = df.groupBy(*keys, F.to_date(F.col(ts)).alias(seg)).agg(pick(payload, order_struct).alias("_b"))
+    summary = df.groupBy(*keys, segment_of(ts, segment).alias(seg)).agg(pick(payload, order_struct).alias("_b"))
     ws = Window.partitionBy(*keys).orderBy(seg)
     carry = summary.select(*keys, seg, (F.lag if lag else F.lead)("_b").over(ws).alias("_carry"))
     out = d.join(carry, on=keys + [seg], how="left")
@@ -111,6 +120,7 @@ def moving_avg_rows(df: DataFrame, key, order: Sequence, value: str, preceding:
 def moving_avg_rows_blocked(
     df: DataFrame, key, ts: str, value: str, preceding: int, name: str, tiebreak: Sequence[str] = (),
     block: int | None = None,
+    segment: str = "day",
 ) -> DataFrame:
     """O63 on raw readings without one task per key.
 
@@ -123,7 +133,7 @@ def moving_avg_rows_blocked(
     keys = _keys(key)
     order_cols = [ts, *tiebreak, value]
     seg = "_seg_day"
-    d = df.withColumn(seg, F.to_date(F.col(ts)))
+    d = df.withColumn(seg, segment_of(ts, segment))
     counts = d.groupBy(*keys, seg).agg(F.count(F.lit(1)).alias("_n"))
     wc = Window.partitionBy(*keys).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wc), F.lit(0))).drop("_n")
