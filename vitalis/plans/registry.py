@@ -21,16 +21,15 @@ class Entry:
     key: str
     fn: Callable
     sql: str | None
-    raw: bool  # fn takes (spark, sf_dir) instead of a tables object
 
 
 REGISTRY: dict[str, Entry] = {}
 
 
-def query(key: str, sql: str | None = None, recursive: bool = False, raw: bool = False):
+def query(key: str, sql: str | None = None, recursive: bool = False):
     def deco(fn):
         text = oracle(sql, recursive=recursive) if sql is not None else None
-        REGISTRY[key] = Entry(key, fn, text, raw)
+        REGISTRY[key] = Entry(key, fn, text)
         return fn
 
     return deco
@@ -43,10 +42,7 @@ def _load_all():
 
 def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     _load_all()
-    e = REGISTRY[key]
-    if e.raw:
-        return e.fn(spark, sf_dir)
-    return e.fn(sensor_tables(spark, sf_dir))
+    return REGISTRY[key].fn(sensor_tables(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
