@@ -306,3 +306,15 @@ def test_random_window_and_anti_and_ntile(spark, seed):
     w = Window.partitionBy("pid").orderBy(F.col("v").asc_nulls_last(), F.col("rt"))
     # rows equal in (v, rt) are interchangeable, so compare the multiset of (pid, v, rt, q)
     assert _srt(q.select("pid", "rt", "v", "q")) == _srt(rd.withColumn("q", F.ntile(4).over(w)).select("pid", "rt", "v", "q"))
+
+
+@pytest.mark.parametrize("descending,segments", [(True, 5), (False, 5), (True, 64)])
+def test_rank_over_values_equals_global_rank(spark, descending, segments):
+    from vitalis.operators.windows import rank_over_values
+
+    rows = [(i, None if i % 13 == 0 else float((i * 7) % 23)) for i in range(120)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    got = rank_over_values(df, "v", "r", descending=descending, segments=segments)
+    order = F.col("v").desc_nulls_first() if descending else F.col("v").asc_nulls_last()
+    brute = df.withColumn("r", F.rank().over(Window.orderBy(order)))
+    assert _srt(got.select("k", "v", "r")) == _srt(brute.select("k", "v", "r"))

@@ -240,3 +240,32 @@ def sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Col
         F.count(F.lit(1)).alias("readings"), F.min(ts).alias("session_start"), F.max(ts).alias("last_reading"), *aggs
     )
     return g.drop("_s")
+
+
+def rank_over_values(df: DataFrame, value: str, name: str = "rank", descending: bool = True, segments: int = 64) -> DataFrame:
+    """``RANK() OVER (ORDER BY value DESC NULLS FIRST)`` (or ASC NULLS LAST)
+    with no single-partition sort.
+
+    The value range is cut at approximate global quantiles - ``segments - 1``
+    numbers, the only data that reaches the driver - equal values always share
+    a segment, so a row's rank is the row count of the segments ahead of it
+    plus its RANK inside its own segment (windows partitioned by segment)."""
+    v = F.col(value)
+    probs = [i / segments for i in range(1, segments)]
+    bounds = df.agg(F.percentile_approx(value, probs, segments * 10)).first()[0] or []
+    arr = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<double>")
+    if descending:
+        seg = F.when(v.isNull(), F.lit(-1)).otherwise(F.size(F.filter(arr, lambda b: b > v)))
+        order = v.desc_nulls_first()
+    else:
+        seg = F.when(v.isNull(), F.lit(len(bounds) + 1)).otherwise(F.size(F.filter(arr, lambda b: b < v)))
+        order = v.asc_nulls_last()
+    d = df.withColumn("_seg", seg)
+    counts = d.groupBy("_seg").agg(F.count(F.lit(1)).alias("_c"))
+    # at most segments + 1 rows: the running offset is computed over a tiny table
+    counts = counts.withColumn(
+        "_off", F.coalesce(F.sum("_c").over(Window.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).drop("_c")
+    d = d.join(F.broadcast(counts), "_seg")
+    d = d.withColumn(name, (F.col("_off") + F.rank().over(Window.partitionBy("_seg").orderBy(order))).cast("int"))
+    return d.drop("_seg", "_off")
