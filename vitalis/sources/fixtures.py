@@ -274,9 +274,7 @@ def oracle(body: str, recursive: bool = False) -> str:
     ``, name AS (...) SELECT ...``.
     """
     head = "WITH RECURSIVE" if recursive else "WITH"
-    body = body.strip()
-    sep = "\n" if body.startswith(",") else "\n"
-    return f"{head} {SENSOR_CTES_SQL.strip()}{sep}{body}"
+    return f"{head} {SENSOR_CTES_SQL.strip()}\n{body.strip()}"
 
 
 __all__ = ["SensorTables", "sensor_tables", "read_table", "oracle", "SENSOR_CTES_SQL", "schemas"]
