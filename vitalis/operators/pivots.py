@@ -47,7 +47,8 @@ def multi_sensor_bins(
     aggregates instead of N shuffles plus N-1 joins; an absent sensor gives
     NULLs exactly like the outer join would.  ``stats[tag]`` lists
     (function name, output name) with function in avg / stddev_pop /
-    stddev_samp / max / min / count / sum.
+    stddev_samp / max / min / count (non-NULL values) / sum / rows (all rows
+    of that sensor, NULL values included).
     """
     parts = []
     for tag, (df, val) in sensors.items():
@@ -61,7 +62,10 @@ def multi_sensor_bins(
     for tag, lst in stats.items():
         v = F.when(F.col("_tag") == tag, F.col("_v"))
         for fn, name in lst:
-            aggs.append(fns[fn](v).alias(name))
+            if fn == "rows":
+                aggs.append(F.count(F.when(F.col("_tag") == tag, F.lit(1))).alias(name))
+            else:
+                aggs.append(fns[fn](v).alias(name))
     # presence flag per tag so callers can reproduce LEFT/INNER join semantics
     for tag in sensors:
         aggs.append(F.max(F.when(F.col("_tag") == tag, F.lit(True))).alias(f"_has_{tag}"))

@@ -68,14 +68,21 @@ SELECT patientid, total_days, avg_glucose, avg_hr,
 FROM gh
 """)
 def i11_naive_daily_join(t):
-    g = day_bin_agg(t.dexcom, "patientid", "date_time", [F.count(F.lit(1)).alias("nd"), F.sum("glucosevalue").cast("double").alias("sg")])
-    h = day_bin_agg(t.heartrate, "patientid", "date_time", [F.count(F.lit(1)).alias("nh"), F.sum("hr").alias("sh")])
-    j = g.join(h, ["patientid", "day"])
-    pairs = F.sum(F.col("nd") * F.col("nh"))
-    r = j.groupBy("patientid").agg(
+    # The product (every glucose reading x every HR reading of a patient-day) is
+    # never built.  Per patient-day both sensors give counts and sums in one
+    # aggregation over their union; AVG over the product skips NULL values, so
+    # glucose pairs = non-NULL glucose x all HR rows, and the other way round.
+    from vitalis.operators.pivots import multi_sensor_bins
+
+    b = multi_sensor_bins(
+        {"g": (t.dexcom, "glucosevalue"), "hr": (t.heartrate, "hr")}, "patientid", "date_time", "day",
+        {"g": [("rows", "nd"), ("count", "ng"), ("sum", "sg")], "hr": [("rows", "nh"), ("count", "nv"), ("sum", "sh")]},
+        "day",
+    ).where(F.col("_has_g") & F.col("_has_hr"))
+    r = b.groupBy("patientid").agg(
         F.count_distinct(F.dayofmonth("day")).alias("total_days"),
-        round_half_up(F.sum(F.col("sg") * F.col("nh")) / pairs, 2).alias("avg_glucose"),
-        (F.sum(F.col("sh") * F.col("nd")) / pairs).alias("_hr"),
+        round_half_up(F.try_divide(F.sum(F.col("sg") * F.col("nh")), F.sum(F.col("ng") * F.col("nh"))), 2).alias("avg_glucose"),
+        F.try_divide(F.sum(F.col("sh") * F.col("nd")), F.sum(F.col("nv") * F.col("nd"))).alias("_hr"),
     )
     return r.select(
         "patientid", "total_days", "avg_glucose", round_half_up(F.col("_hr"), 8).alias("avg_hr"),
