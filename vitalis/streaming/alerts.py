@@ -68,7 +68,9 @@ def _spread_fn(limit: float, hold_ms: int):
         # rows of one insert (micro-batch) all see every row of that insert
         status = "unstable" if n and sd > limit else "stable"
         state.update((n, mean, m2))
-        hour_end_ms = int(pd.Timestamp(key[1]).value // 1_000_000) + 3_600_000
+        # every row of the group lies inside its hour, so (latest event time + 1 h)
+        # bounds the hour's end; epoch millis come from Spark, free of the session zone
+        hour_end_ms = int(batch["_ems"].max()) + 3_600_000
         state.setTimeoutTimestamp(max(hour_end_ms + hold_ms, state.getCurrentWatermarkMs() + 1))
         yield batch.assign(status=status)[["patientid", "temperature", "date_time", "status"]]
 
@@ -84,7 +86,7 @@ def stream_temp_stability(temps: DataFrame, limit: float = 0.5, watermark: str =
     each batch's moments, and dropped once the watermark passes the hour."""
     hold_ms = _duration_ms(watermark)
     s = with_event_time(temps, "date_time", watermark).withColumn("hour", trunc_hour("date_time"))
-    s = s.select("patientid", "hour", "temperature", "date_time", "event_time")
+    s = s.select("patientid", "hour", "temperature", "date_time", "event_time", F.unix_millis("event_time").alias("_ems"))
     return s.groupBy("patientid", "hour").applyInPandasWithState(
         _spread_fn(limit, hold_ms), _SPREAD_OUT, _SPREAD_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
