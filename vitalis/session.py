@@ -49,3 +49,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def size_for_data(spark: SparkSession, shuffled_bytes: int, target_mb: int = 128) -> int:
+    """Opt-in sizing for a cluster run: enough shuffle partitions that each holds
+    about ``target_mb`` (spill-free on a typical executor core), the same size as
+    AQE's advisory partition and as the parquet split, and AQE skew-join handling
+    on (splits a hot key's partition, e.g. a patient with a third of the rows).
+    Returns the partition count chosen.  Library functions never change session
+    settings on their own."""
+    target = target_mb * 1024 * 1024
+    parts = max(1, -(-int(shuffled_bytes) // target))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target))
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target))
+    return parts
