@@ -11,7 +11,7 @@ from vitalis.operators.windows import time_gaps
 from vitalis.plans.advanced import fasting_alerts, high_risk_food, hourly_sensor_summary, temp_stability
 from vitalis.sources import schemas
 from vitalis.sources.etl import cast_schema, check_references, check_unique, find_all_null_columns
-from vitalis.sources.partitions import partition_counts, write_year_partitioned, year_bucket
+from vitalis.sources.partitions import partition_counts, write_year_partitioned
 from vitalis.streaming.alerts import stream_gap_alerts, stream_temp_stability
 from vitalis.streaming.hourly import stream_dedup, stream_hourly_summary
 
