@@ -227,3 +227,16 @@ def test_stateless_alert_streams(spark):
                               "patientid int, time_begin timestamp_ntz, logged_food string")
     got = _run_stream(spark, stream_food_risk(_as_stream(spark, f)), "food_alerts").collect()
     assert [(r.logged_food, r.first_match) for r in got] == [("White Rice", "white rice")]
+
+
+def test_parquet_sink_with_shared_checkpoint(spark):
+    from vitalis.streaming.sinks import start_parquet_sink, stream_checkpoint
+
+    base = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, base, 70.0), (1, base + timedelta(minutes=1), 72.0)], "patientid int, date_time timestamp_ntz, hr double")
+    out = os.path.join(tempfile.mkdtemp(prefix="vitalis-sink-"), "hr")
+    name = "hr_sink_" + os.path.basename(tempfile.mkdtemp())
+    q = start_parquet_sink(_as_stream(spark, df), out, name, available_now=True)
+    q.awaitTermination(120)
+    assert spark.read.parquet(out).count() == 2
+    assert stream_checkpoint(df, name).startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
