@@ -76,11 +76,12 @@ def shift_over_time(
 
 
 def time_gaps(
-    df: DataFrame, key, ts: str, min_gap_minutes: float, strict: bool = True, prev_name: str = "previous_time"
+    df: DataFrame, key, ts: str, min_gap_minutes: float, strict: bool = True, prev_name: str = "previous_time",
+    segment: str = "day",
 ) -> DataFrame:
     """Rows whose distance to the previous reading exceeds ``min_gap_minutes``.
     Adds ``prev_name`` and ``gap_seconds``."""
-    g = shift_over_time(df, key, ts, [ts], "lag", prefix="_p_")
+    g = shift_over_time(df, key, ts, [ts], "lag", prefix="_p_", segment=segment)
     g = g.withColumnRenamed("_p_" + ts, prev_name)
     g = g.withColumn("gap_seconds", micros_between(F.col(prev_name), F.col(ts)) / F.lit(1e6))
     lim = min_gap_minutes * 60.0
