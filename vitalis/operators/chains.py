@@ -110,8 +110,10 @@ def food_chain(
     food = foodlog.select(
         "patientid", F.col("time_begin").alias("food_time"), "logged_food", "calorie", "sugar", "dietary_fiber"
     )
-    # every step joins the food log again: keep the projection materialised for the loop
-    food = food.persist(StorageLevel.MEMORY_AND_DISK)
+    # every step joins the food log again: keep the projection materialised for the
+    # loop (only when the levels are checkpointed, so it can be released afterwards)
+    if checkpoint:
+        food = food.persist(StorageLevel.MEMORY_AND_DISK)
     pairs = interval_join(spikes, food, "patientid", "spike_at", "food_time", -lookback, timedelta(0), closed="left")
     order = F.struct("spike_at", "patientid", "logged_food", "calorie", "sugar", "dietary_fiber")
     row = F.struct("patientid", "spike_at", "logged_food", "calorie", "sugar", "dietary_fiber")
