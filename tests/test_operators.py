@@ -318,3 +318,16 @@ def test_rank_over_values_equals_global_rank(spark, descending, segments):
     order = F.col("v").desc_nulls_first() if descending else F.col("v").asc_nulls_last()
     brute = df.withColumn("r", F.rank().over(Window.orderBy(order)))
     assert _srt(got.select("k", "v", "r")) == _srt(brute.select("k", "v", "r"))
+
+
+@pytest.mark.parametrize("lo,hi,closed", [(0, 0, "both"), (-7, -3, "neither"), (13, 97, "left"), (-1500, 1500, "both"), (-61, 0, "right")])
+def test_interval_join_random_windows(spark, lo, hi, closed):
+    rd = spark.createDataFrame(_random_rows(11, 140), "pid int, rt timestamp_ntz, v double")
+    ev = spark.createDataFrame([(p, t) for p, t, _ in _random_rows(12, 40)], "pid int, et timestamp_ntz").distinct()
+    got = interval_join(ev, rd, "pid", "et", "rt", timedelta(minutes=lo), timedelta(minutes=hi), closed)
+    d = (F.col("rt").cast("timestamp").cast("long") - F.col("et").cast("timestamp").cast("long")) / 60
+    lo_ok = d >= lo if closed in ("both", "left") else d > lo
+    hi_ok = d <= hi if closed in ("both", "right") else d < hi
+    brute = ev.join(rd, "pid").where(lo_ok & hi_ok)
+    cols = ["pid", "et", "rt", "v"]
+    assert _srt(got.select(cols)) == _srt(brute.select(cols))
