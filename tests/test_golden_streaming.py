@@ -240,3 +240,12 @@ def test_parquet_sink_with_shared_checkpoint(spark):
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 2
     assert stream_checkpoint(df, name).startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+
+
+def test_gap_alert_stream_with_idle_timeout(spark):
+    base = datetime(2024, 1, 1)
+    mins = [0, 5, 20, 21, 50, 200]
+    df = spark.createDataFrame([(p, base + timedelta(minutes=m)) for p in (1, 2) for m in mins], "patientid int, date_time timestamp_ntz")
+    batch = sorted((r.patientid, r.previous_time, r.date_time) for r in time_gaps(df, "patientid", "date_time", 10).collect())
+    got = _run_stream(spark, stream_gap_alerts(_as_stream(spark, df), 10, idle_timeout="1 day"), "gaps_idle")
+    assert sorted((r.patientid, r.previous_time, r.date_time) for r in got.collect()) == batch

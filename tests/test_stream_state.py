@@ -75,3 +75,13 @@ def test_gap_state_carries_last_reading():
     out2 = list(fn((1,), iter([b2]), st))[0]
     # the gap spans the batch boundary: 00:05 -> 00:30
     assert list(out2.previous_time) == [base + timedelta(minutes=5)] and list(out2.gap_minutes) == [25.0]
+
+
+def test_gap_state_idle_timeout():
+    fn, st = _gap_fn(10, idle_ms=3_600_000), FakeState()
+    base = datetime(2024, 1, 1)
+    b1 = pd.DataFrame({"patientid": 1, "date_time": [base], "_ems": [int(pd.Timestamp(base).value // 1_000_000)]})
+    list(fn((1,), iter([b1]), st))
+    assert st.timeout == int(pd.Timestamp(base).value // 1_000_000) + 3_600_000
+    st.hasTimedOut = True
+    assert list(fn((1,), iter([]), st)) == [] and st.removed and not st.exists

@@ -97,10 +97,14 @@ _GAP_OUT = "patientid int, previous_time timestamp_ntz, date_time timestamp_ntz,
 _GAP_STATE = "last_time timestamp_ntz"
 
 
-def _gap_fn(min_gap_minutes: float):
+def _gap_fn(min_gap_minutes: float, idle_ms: int | None = None):
     lim = pd.Timedelta(minutes=min_gap_minutes)
 
     def fn(key, pdfs, state):
+        if state.hasTimedOut:
+            # silent longer than the idle timeout: forget the patient (bounded state)
+            state.remove()
+            return
         batch = pd.concat(list(pdfs), ignore_index=True)
         times = batch["date_time"].dropna().sort_values().reset_index(drop=True)
         if state.exists:
@@ -117,18 +121,29 @@ def _gap_fn(min_gap_minutes: float):
         })
         if len(times):
             state.update((times.max().to_pydatetime(),))
+            if idle_ms is not None and "_ems" in batch and len(batch):
+                state.setTimeoutTimestamp(max(int(batch["_ems"].max()) + idle_ms, state.getCurrentWatermarkMs() + 1))
         yield out
 
     return fn
 
 
-def stream_gap_alerts(readings: DataFrame, min_gap_minutes: float = 10) -> DataFrame:
+def stream_gap_alerts(readings: DataFrame, min_gap_minutes: float = 10, idle_timeout: str | None = None,
+                      watermark: str = "2 hours") -> DataFrame:
     """Sync-gap alert - a reading more than ``min_gap_minutes`` after the
     patient's previous one.  State per patient is one timestamp; the batch
-    twin is ``operators.windows.time_gaps``."""
-    s = readings.select("patientid", "date_time")
+    twin is ``operators.windows.time_gaps``.  With ``idle_timeout`` (e.g.
+    "7 days") a patient silent that long past the watermark is forgotten:
+    state stays bounded, and the return after such a silence is not alerted."""
+    if idle_timeout is None:
+        s = readings.select("patientid", "date_time")
+        return s.groupBy("patientid").applyInPandasWithState(
+            _gap_fn(min_gap_minutes), _GAP_OUT, _GAP_STATE, "append", GroupStateTimeout.NoTimeout
+        )
+    s = with_event_time(readings.select("patientid", "date_time"), "date_time", watermark)
+    s = s.select("patientid", "date_time", "event_time", F.unix_millis("event_time").alias("_ems"))
     return s.groupBy("patientid").applyInPandasWithState(
-        _gap_fn(min_gap_minutes), _GAP_OUT, _GAP_STATE, "append", GroupStateTimeout.NoTimeout
+        _gap_fn(min_gap_minutes, _duration_ms(idle_timeout)), _GAP_OUT, _GAP_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
