@@ -12,7 +12,7 @@ def spark():
     from vitalis.session import checkpoint_dir, local_session
 
     s = local_session(cores="4", shuffle_partitions=8, app="vitalis-tests")
-    checkpoint_dir(s)  # tests only: nothing configured, so a scratch folder is chosen
+    checkpoint_dir(s)  # tests only: nothing configured, so the warehouse is taken
     yield s
     s.stop()
 

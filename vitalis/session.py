@@ -7,7 +7,6 @@ driver) hand one in.  ``local_session`` is only for tests and the bench.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -32,23 +31,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vit
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts.
+    """Shared folder for lineage cuts: ``spark.checkpoint.dir`` of the session.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared,
-    fault-tolerant file system).  Only when nothing is configured - local runs
-    and tests - do we pick a scratch folder ourselves.
+    Unset, a local master (tests, bench) gets a folder in its warehouse; on a cluster that is an error, since no folder of
+    one machine would do.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    path = tempfile.mkdtemp(prefix="vitalis-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    return configured
 
 
 def size_for_data(spark: SparkSession, shuffled_bytes: int, target_mb: int = 128) -> int:
