@@ -12,10 +12,12 @@ seven contractions are found where an apostrophe begins a piece.
 from __future__ import annotations
 
 import functools
+import unicodedata
 from collections.abc import Callable, Iterable
 
 import numpy as np
 import regex
+from tokenizers.pre_tokenizers import ByteLevel
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 _TAILS = {"s": 1, "t": 1, "m": 1, "d": 1, "re": 2, "ve": 2, "ll": 2}
@@ -30,6 +32,11 @@ def classes() -> np.ndarray:
         for m in regex.finditer(pattern, points):
             a, b = ord(points[m.start()]), ord(points[m.end() - 1])
             out[a : b + 1] = kind  # a run across the surrogates would mark only code points that no text has
+    # code points younger than this Python's Unicode tables: as the tokenizers library has them
+    young = [c for c in np.flatnonzero((out == LETTER) | (out == NUMBER)).tolist() if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) == "Cn"]
+    cuts = {a for _, (a, _) in ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str("".join(f"a{chr(c)}1" for c in young))}
+    for i, c in enumerate(young):
+        out[c] = LETTER if 3 * i + 1 not in cuts else NUMBER if 3 * i + 2 not in cuts else OTHER
     return out
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm import decontaminate, neardup, quality
+from vitalis.llm import bpe, decontaminate, neardup, quality, tokenfile
+from vitalis.llm.scratch import folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +29,24 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str, ranks: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
+    vocabulary = bpe.broadcast(spark, public_tokenizers.path(ranks))
+    coded = bpe.with_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
+    back = bpe.with_decoded(coded, vocabulary)
+    return back.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"), shingle=3, similarity=(85, 100))
 
 
+def op9_tokenfile(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json") -> DataFrame:
+    path = folder(spark, "token-ids")
+    tokenfile.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(vocabulary), end_id=0)
+    found = tokenfile.read(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return tokenfile.with_start(found, spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -38,6 +54,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
+    "op6_bpe": op6_bpe,
     "op8_neardup": op8_neardup,
+    "op9_tokenfile": op9_tokenfile,
     "op10_quality": op10_quality,
 }
