@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm import bpe, decontaminate, neardup, quality, tokenfile
+from vitalis.llm import bpe, decontaminate, neardup, pii, quality, secrets, sharding, spans, tokenfile
 from vitalis.llm.scratch import folder
 
 
@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    base = {k: F.col(k) for k in secrets.KINDS}
+    return found.select(
+        "doc_id",
+        *(F.size(k).cast("long").alias(f"n_{k}") for k in secrets.KINDS),
+        F.sha2(spans.listed(base), 256).alias("base_sha256"),
+        spans.listed(base | {"random": F.col("random")}).alias("spans"),
+    )
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark")).drop("text")
@@ -29,6 +40,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str, ranks: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     vocabulary = bpe.broadcast(spark, public_tokenizers.path(ranks))
     coded = bpe.with_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
@@ -36,6 +52,17 @@ def op6_bpe(spark: SparkSession, sf_dir: str, ranks: str = "byte_bpe_multi_50k.t
     return back.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = {k: F.col(k) for k in pii.KINDS}
+    return found.select(
+        "doc_id",
+        *(F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(spans.listed(base), 256).alias("base_sha256"),
+        spans.listed(base | {"term": F.col("term")}).alias("spans"),
+    )
+
+
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"), shingle=3, similarity=(85, 100))
 
@@ -53,8 +80,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secrets": op2_secrets,
     "op3_decontaminate": op3_decontaminate,
+    "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
+    "op7_pii": op7_pii,
     "op8_neardup": op8_neardup,
     "op9_tokenfile": op9_tokenfile,
     "op10_quality": op10_quality,
