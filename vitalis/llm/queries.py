@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm import bpe, decontaminate, neardup, pii, quality, secrets, sharding, spans, tokenfile
+from vitalis.llm import bpe, decontaminate, licenses, neardup, pii, quality, secrets, sharding, spans, tokenfile
 from vitalis.llm.scratch import folder
 
 
@@ -16,6 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    both = F.array_sort(F.array_union(licenses.labels(F.col("base")), licenses.labels(F.col("detections"))))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").cast("long").alias("first_word"),
+        F.array_max("base.start").cast("long").alias("last_word"),
+        F.array_join(licenses.labels(F.col("base")), ",").alias("base_labels"),
+        F.array_join(both, ",").alias("labels"),
+        licenses.score(F.col("base"), F.col("detections")).alias("score"),
+    )
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(table(spark, sf_dir, "documents"))
     base = {k: F.col(k) for k in secrets.KINDS}
@@ -80,6 +95,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_secrets": op2_secrets,
     "op3_decontaminate": op3_decontaminate,
     "op5_sharding": op5_sharding,
