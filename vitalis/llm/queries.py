@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm import bpe, decontaminate, licenses, neardup, pii, quality, secrets, sharding, spans, tokenfile
+from vitalis.llm import bpe, decontaminate, html_extract, licenses, neardup, pii, quality, secrets, sharding, spans, tokenfile
 from vitalis.llm.scratch import folder
 
 
@@ -55,6 +55,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.with_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_secrets": op2_secrets,
     "op3_decontaminate": op3_decontaminate,
+    "op4_html": op4_html,
     "op5_sharding": op5_sharding,
     "op6_bpe": op6_bpe,
     "op7_pii": op7_pii,
