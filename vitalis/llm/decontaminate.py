@@ -12,7 +12,7 @@ The benchmark is a stated query set.  It is taken in blocks of at most ``BLOCK_W
 between.  No training text, fingerprint or hit leaves its task: there is no shuffle.
 
 Defined cases: null and empty texts or items have no words and never match; repeated rows are judged alike; items with
-equal texts are each counted; items with a null id are ignored; an empty benchmark leaves every text clean.
+equal texts are each counted, and several texts of one id are one item; items with a null id are ignored; an empty benchmark leaves every text clean.
 """
 
 from __future__ import annotations
@@ -164,7 +164,7 @@ def search(column: pa.Array, block: Block, before: pa.Array | None = None) -> pa
         if i in spans:
             old = np.array([(s["start"], s["stop"]) for s in row["spans"]], np.int64).reshape(-1, 2)
             a, b = _merged(np.concatenate([*(x for x, _ in spans[i]), old[:, 0]]), np.concatenate([*(y for _, y in spans[i]), old[:, 1]]))
-            row = {"spans": [{"start": int(x), "stop": int(y)} for x, y in zip(a, b, strict=True)], "items": row["items"] + sorted(block.ids[j] for j in items[i])}
+            row = {"spans": [{"start": int(x), "stop": int(y)} for x, y in zip(a, b, strict=True)], "items": sorted({*row["items"], *(block.ids[j] for j in items[i])})}
         rows[i] = {"n_words": int(counts[i]), "spans": row["spans"], "items": row["items"]}
     return pa.array(rows, _HITS)
 

@@ -135,18 +135,18 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", support: int
 
 
 def _marked() -> Column:
-    """Spans of all kinds with the text that takes their place, by start."""
+    """Spans of all kinds with the text that takes their place, by start, the longest first."""
     parts = [F.transform(F.col(k), _mark(f"<{k.upper()}>")) for k in KINDS]
-    parts.append(F.transform(F.col("term"), lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.when(s["text"] == "whole", F.lit("")).otherwise(F.lit("<TERM>")).alias("mark"))))
+    parts.append(F.transform(F.col("term"), lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("minus"), s["stop"].alias("stop"), F.when(s["text"] == "whole", F.lit("")).otherwise(F.lit("<TERM>")).alias("mark"))))
     return F.array_sort(F.concat(*parts))
 
 
 def _mark(mark: str):
-    return lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.lit(mark).alias("mark"))
+    return lambda s: F.struct(s["start"].alias("start"), (-s["stop"]).alias("minus"), s["stop"].alias("stop"), F.lit(mark).alias("mark"))
 
 
 def masked(text: Column, marks: Column) -> Column:
-    """``text`` with each marked span replaced; overlapping spans share the first one's mark."""
+    """``text`` with each marked span replaced; overlapping spans share the mark of the first and longest."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, m: Column) -> Column:

@@ -5,8 +5,8 @@ one of ordinary identifiers and words.  A candidate is a run of characters that
 ratio says random by more than ``margin`` nats a character, it is a finding of kind ``random``.
 
 The models are trained here, from labelled samples: random strings are digests of numbers in the usual spellings (hex, base64,
-base 36), ordinary ones are the words of up to ``WORDS_FROM`` documents (chosen by a hash of their id) without those that hold
-a digit, spelled as words, CamelCase and snake_case.  Only the table of transition counts, at most CLASSES squared, reaches
+base 36), ordinary ones are common words of program code and the words of up to ``WORDS_FROM`` documents (chosen by a hash of
+their id) without those that hold a digit, spelled as words, CamelCase, snake_case and paths.  Only the table of transition counts, at most CLASSES squared, reaches
 the driver; scoring is a sum over an array literal.  All steps are DataFrame functions.
 
 Defined cases: null and empty texts have no spans; repeated rows are treated alike; candidates are scored whole, however long;
@@ -32,6 +32,19 @@ RANDOM_STRINGS = 4_000
 MARGIN = 0.75
 CANDIDATE = r"(?:(?<![A-Za-z0-9+/_-])|\G)[A-Za-z0-9+/_-]{20,}+"
 
+#: Words that names in program code are made of.
+CODE_WORDS = (
+    "get set add remove user name value index count list map file path config option default connection host port request response "
+    "session account information message service client server error handler manager factory builder process thread memory buffer "
+    "stream reader writer source target version number date time status update delete insert select create table column row key "
+    "field record document page title content text language international application development organization community library "
+    "maximum minimum average total current previous next first last start stop open close enable disable visible hidden active "
+    "network address database query result format parser string integer boolean object array element child parent root node tree "
+    "graph layout window button screen image color width height position event listener callback parameter argument function method "
+    "class interface module package directory folder project environment variable constant template resource permission security "
+    "constraint validation transaction operation calculation configuration notification registration authentication description"
+).split()
+
 _ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
 
@@ -60,6 +73,9 @@ def ordinary_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", m
     plain = F.filter(words, lambda w: ~w.rlike("[0-9]"))
     joined = F.transform(F.sequence(F.lit(0), F.greatest(F.floor(F.size("w") / 3) - 1, F.lit(0)).cast("int")), lambda i: F.slice(F.col("w"), i * 3 + 1, 3))
     three = chosen.select(plain.alias("w")).where(F.size("w") > 0).select(F.explode(joined).alias("w"))
+    n = len(CODE_WORDS)
+    code = [([CODE_WORDS[i], CODE_WORDS[(i + step) % n], CODE_WORDS[(i + 3 * step) % n]],) for i in range(n) for step in (1, 7, 31)]
+    three = three.union(docs.sparkSession.createDataFrame(code, "w array<string>"))
     return three.select(F.explode(F.array(F.array_join("w", ""), F.array_join(F.transform("w", F.initcap), ""), F.lower(F.array_join("w", "_")), F.upper(F.array_join("w", "_")), F.lower(F.array_join("w", "-")), F.concat(F.array_join("w", "/"), F.lit("1")))).alias("sample"))
 
 
