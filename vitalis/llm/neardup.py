@@ -7,11 +7,12 @@ threshold a pair shares none of the bands with probability (1 - J**rows)**bands:
 48 of 6 at 0.80.
 
 1. Texts with equal sets are one class, stood for by its least id.
-2. In each band bucket every class is compared with the bucket's least class only: linear in the bucket, whatever its size.
-   Candidates are confirmed on the full sets; links are contracted to components.
+2. In each band bucket every class is compared with one hub only, the class that meets most others over all its buckets
+   (the original of a family of copies rather than a much-changed copy): linear in the bucket, whatever its size.
+   Candidates are confirmed on the full sets and links contracted to components.
 3. Buckets that still hold several components may hide links between them.  Their classes go through an exact prefix
-   filter: ordered by how many of these classes have it, a link's two sets must share one of their first
-   ``n - ceil(t * n) + 1`` shingles.  Rows of one component are never paired: in each posting the members outside its largest
+   filter: ordered by how many of these classes have it, a link's two sets of sizes n and m must share
+   c = ceil(t * (n + m) / (1 + t)) shingles, so one among the first n - c + 1 of the one and m - c + 1 of the other.  Rows of one component are never paired: in each posting the members outside its largest
    component are compared with the rest.  Confirmed links are contracted again.
 
 No pair within a component is enumerated, nothing is capped, and only classes with candidates have their sets moved.
@@ -171,13 +172,16 @@ def _hidden_pairs(sets: DataFrame, stars: DataFrame, ids: DataFrame, similarity:
     # single shingles come first in the order and pair with nothing; what is left of the prefix goes to the rarest others
     sizes = shared.groupBy("key", "set", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("x"))
     left = F.expr(f"n - (n * {num} + {den - 1}) div {den} + 1 - (n - size(x))").cast("int")
-    prefix = sizes.where(left > 0).select("key", "n", F.explode(F.slice("x", 1, left)).alias("s")).select("key", "n", "s.shingle")
+    prefix = sizes.where(left > 0).select("key", "n", (F.col("n") - F.size("x")).alias("singles"), F.posexplode(F.slice("x", 1, left)).alias("i", "s"))
+    prefix = prefix.select("key", "n", "s.shingle", (F.col("singles") + F.col("i") + 1).alias("pos"))
     prefix = written(_with_component(prefix, "key", stars), "prefix")
     members = prefix.groupBy("shingle", "component").agg(F.count("*").alias("c"))
     largest = members.groupBy("shingle").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("k")).where("k > 1").select("shingle", F.col("m.component").alias("largest"))
     mixed = prefix.join(largest, "shingle")
-    outside = mixed.where("component != largest").select("shingle", F.col("key").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
-    met = outside.join(mixed, "shingle").where((F.col("xc") != F.col("component")) & (F.col("n") * den >= F.col("xn") * num) & (F.col("xn") * den >= F.col("n") * num))
+    outside = mixed.where("component != largest").select("shingle", F.col("key").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xpos"), F.col("component").alias("xc"))
+    # sets of sizes n and m need num * (n + m) / (num + den) common shingles, so one among the first of each that allow for that
+    need = F.expr(f"({num} * (n + xn) + {num + den - 1}) div {num + den}")
+    met = outside.join(mixed, "shingle").where((F.col("xc") != F.col("component")) & (F.col("pos") <= F.col("n") - need + 1) & (F.col("xpos") <= F.col("xn") - need + 1))
     return met.select(F.greatest("x", "key").alias("u"), F.least("x", "key").alias("v")).distinct()
 
 
@@ -191,27 +195,27 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     members = known.select("key", "a", "b", "n").join(classes.select("a", "b", "n", F.col("key").alias("class")), ["a", "b", "n"]).select("key", "class")
 
     buckets = classes.select("key", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("key").alias("hub"), F.count("*").alias("c")).where("c > 1").drop("c")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
     # ids found with several texts: the same id may stand for several classes, or belong to several
     several = members.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi")
-    by_id = members.join(several, "key", "leftsemi").select(F.col("key").alias("u"), F.col("class").alias("v"))
+    links = members.join(several, "key", "leftsemi").select(F.col("key").alias("u"), F.col("class").alias("v"))
 
-    met = written(buckets.join(shared, "bucket").select("bucket", "key", "hub"), "buckets")
-    pairs = met.where("key != hub").select(F.col("key").alias("u"), F.col("hub").alias("v")).distinct()
+    met = written(buckets.join(shared, "bucket").select("bucket", "key", "c"), "buckets")
+    central = met.groupBy("key").agg(F.sum("c").alias("meets"))
+    met = written(met.drop("c").join(central, "key"), "met")
     size = classes.groupBy("key").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    sets = written(_sets(docs.join(central.select(F.col("key").alias(key)), key, "leftsemi"), key, text, signer).distinct(), "sets")
+    hubs = met.groupBy("bucket").agg(F.max(F.struct("meets", "key")).alias("x")).select("bucket", F.col("x.key").alias("hub"))
+    pairs = met.join(hubs, "bucket").where("key != hub").select(F.col("key").alias("u"), F.col("hub").alias("v")).distinct()
     pairs = pairs.join(size.toDF("u", "ulo", "uhi"), "u").join(size.toDF("v", "vlo", "vhi"), "v").where(f"uhi * {den} >= vlo * {num} AND vhi * {den} >= ulo * {num}").select("u", "v")
-    pairs = written(pairs, "pairs")
-    wanted = met.select("key").distinct()
-    sets = written(_sets(docs.join(wanted.withColumnRenamed("key", key), key, "leftsemi"), key, text, signer).distinct(), "sets")
-    links = written(_confirmed(pairs, sets, similarity).union(by_id), "links")
+    links = written(_confirmed(pairs, sets, similarity).union(links), "links")
     stars = components(links)
 
     parted = _with_component(met.select("bucket", "key"), "key", stars)
     mixed = parted.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    unsure = written(met.join(mixed, "bucket", "leftsemi").select("key").distinct(), "unsure")
+    unsure = written(parted.join(mixed, "bucket", "leftsemi").select("key").distinct(), "unsure")
     if not unsure.isEmpty():
-        hidden = _hidden_pairs(sets, stars, unsure, similarity)
-        stars = components(_confirmed(hidden, sets, similarity).union(stars))
+        stars = components(_confirmed(_hidden_pairs(sets, stars, unsure, similarity), sets, similarity).union(stars))
 
     found = _with_component(members.distinct(), "class", stars).groupBy("key").agg(F.min("component").alias("component"))
     out = signed.select("key", "n").join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
