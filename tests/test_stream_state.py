@@ -84,4 +84,9 @@ def test_gap_state_idle_timeout():
     list(fn((1,), iter([b1]), st))
     assert st.timeout == int(pd.Timestamp(base).value // 1_000_000) + 3_600_000
     st.hasTimedOut = True
-    assert list(fn((1,), iter([]), st)) == [] and st.removed and not st.exists
+    # an alert with an open end; the last time is kept for the return, however late
+    told = list(fn((1,), iter([]), st))[0]
+    assert list(told.previous_time) == [base] and told.date_time.isna().all() and st.exists and not st.removed
+    st.hasTimedOut = False
+    back = pd.DataFrame({"patientid": 1, "date_time": [base + timedelta(days=9)], "_ems": [int(pd.Timestamp(base).value // 1_000_000)]})
+    assert list(list(fn((1,), iter([back]), st))[0].gap_minutes) == [9 * 24 * 60.0]

@@ -3,8 +3,8 @@
 ``spike_chain`` (post-meal hours of high glucose) has a closed form: the
 recursion of the reference yields P_n = c_1 * ... * c_n rows at level n, so
 duration = deepest level and the row average = sum(P_{n-1} S_n) / sum(P_n).
-Hourly bins, islands of consecutive hours and one array fold per meal give the
-same numbers without materialising the exponential row set.
+Running sums of log c over islands of consecutive hours give every hour the
+log of its row count and its mean from there on; a meal looks up one hour.
 
 ``food_chain`` (meals leading up to a spike) is a bounded-step graph walk: a
 loop of bucketed interval joins that carries path multiplicities instead of
@@ -50,33 +50,33 @@ def spike_chain(
     hidx = F.floor(micros_between(_epoch(), F.col("hour")) / F.lit(3_600_000_000))
     # islands of consecutive hours: hour index minus row number is constant within an island
     bins = bins.withColumn("isl", hidx - F.row_number().over(Window.partitionBy("patientid").orderBy("hour")))
-    l1 = l1.withColumn("start", shift(trunc_hour(shift("time_begin", hours=1)), hours=1))
-    s = l1.join(bins.select("patientid", F.col("hour").alias("start"), "isl"), ["patientid", "start"], "left")
-    chain = s.join(
-        bins.select("patientid", "isl", F.struct("hour", "c", "s").alias("b"), F.col("hour").alias("_h")),
-        ["patientid", "isl"],
-        "left",
-    ).where(F.col("_h").isNull() | (F.col("_h") >= F.col("start")))
-    per_meal = chain.groupBy("patientid", "time_begin", "m", "c1", "s1").agg(
-        F.array_sort(F.collect_list("b")).alias("bs")
-    )
-    init = F.struct(
-        F.col("c1").alias("p"), F.col("s1").alias("num"), F.col("c1").alias("den"), F.lit(1).alias("n")
+    # from an hour h on, its island yields D(h) = sum over k >= h of c_h ... c_k rows.  With L the running sum of log c and
+    # M its end value, D(h) = exp(M - L(h) + log c_h) * sum over k >= h of exp(L(k) - M): no product overflows, and
+    # what underflows weighs nothing.  The mean of these rows is the same sum weighted with s_k / c_k.
+    forward = Window.partitionBy("patientid", "isl").orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)
+    onward = Window.partitionBy("patientid", "isl").orderBy(F.col("hour").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    island = Window.partitionBy("patientid", "isl")
+    log_c = F.log("c")
+    b = bins.withColumn("run", F.sum(log_c).over(forward)).withColumn("all", F.sum(log_c).over(island))
+    b = b.withColumn("w", F.exp(F.col("run") - F.col("all")))
+    tail = F.sum("w").over(onward)
+    b = b.select(
+        "patientid", F.col("hour").alias("start"), (F.col("all") - F.col("run") + log_c + F.log(tail)).alias("log_d"),
+        (F.sum(F.col("w") * F.col("s") / F.col("c")).over(onward) / tail).alias("mean_d"), F.count(F.lit(1)).over(onward).cast("int").alias("hours"),
     )
-    folded = F.aggregate(
-        "bs",
-        init,
-        lambda acc, b: F.struct(
-            (acc["p"] * b["c"]).alias("p"),
-            (acc["num"] + acc["p"] * b["s"]).alias("num"),
-            (acc["den"] + acc["p"] * b["c"]).alias("den"),
-            (acc["n"] + 1).alias("n"),
-        ),
-    )
-    r = per_meal.select("patientid", "time_begin", "m", folded.alias("f"))
-    g = r.groupBy("patientid", F.to_date("time_begin").alias("day")).agg(
-        F.max("f.n").alias("spike_duration"),
-        (F.sum(F.col("m") * F.col("f.num")) / F.sum(F.col("m") * F.col("f.den"))).alias("_avg"),
+    l1 = l1.withColumn("start", shift(trunc_hour(shift("time_begin", hours=1)), hours=1))
+    r = l1.join(b, ["patientid", "start"], "left")
+    # rows of a meal: c1 * (1 + D(start)); the share of them that lies behind the first hour
+    rest = F.coalesce(1 / (1 + F.exp(-F.col("log_d"))), F.lit(0.0))
+    log_rows = F.log("m") + F.log("c1") - F.log1p(-rest)
+    # 1 - rest vanishes in doubles once D is huge: then log(1 + D) is log D
+    log_rows = F.when(F.col("log_d") > 30, F.log("m") + F.log("c1") + F.col("log_d")).otherwise(log_rows)
+    mean = F.col("s1") / F.col("c1") * (1 - rest) + F.coalesce(F.col("mean_d") * rest, F.lit(0.0))
+    r = r.select("patientid", F.to_date("time_begin").alias("day"), log_rows.alias("lw"), mean.alias("mean"), (1 + F.coalesce("hours", F.lit(0))).alias("n"))
+    top = r.groupBy("patientid", "day").agg(F.max("lw").alias("top"), F.max("n").alias("spike_duration"))
+    weight = F.exp(F.col("lw") - F.col("top"))
+    g = r.join(top, ["patientid", "day"]).groupBy("patientid", "day").agg(
+        F.max("spike_duration").alias("spike_duration"), (F.sum(weight * F.col("mean")) / F.sum(weight)).alias("_avg")
     )
     return g
 
@@ -87,7 +87,6 @@ def food_chain(
     min_glucose: float = 140,
     lookback: timedelta = timedelta(hours=2),
     checkpoint: bool = True,
-    max_steps: int | None = None,
     anchor_key: tuple[str, ...] = ("food_time",),
 ) -> DataFrame:
     """O71 / a13: for each spike reading, the meal in the look-back window
@@ -99,8 +98,8 @@ def food_chain(
     food log.  Rows that continue identically are merged and carry a path
     count, so the frontier never holds duplicate rows; the result re-expands
     the counts so every path row of the recursive query is present.
-    ``max_steps`` is only a safety valve for callers; by default the loop runs
-    until the frontier is empty (steps are bounded by meals per patient).
+    The loop runs until the frontier is empty (steps are bounded by the meals
+    that follow one another within ``lookback``).
     """
     from vitalis.session import checkpoint_dir
 
@@ -145,7 +144,7 @@ def food_chain(
     level = materialise(level)
     out = [level]
     depth = 1
-    while max_steps is None or depth < max_steps:
+    while True:
         frontier = level.groupBy("patientid", "spike_time", "food_time").agg(F.sum("mult").alias("mult"))
         nxt = interval_join(
             frontier,
@@ -171,7 +170,7 @@ def food_chain(
     for o in out[1:]:
         res = res.unionByName(o)
     # re-expand path multiplicities into rows (the recursive query's result multiset)
-    res = res.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("mult").cast("int")))).drop("_k", "mult")
+    res = res.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mult")))).drop("_k", "mult")
     return res
 
 

@@ -21,6 +21,13 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left.join(right, cols)`` in which NULL equals NULL, as it does for a window's partitions."""
+    other = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    cond = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols]
+    return left.join(other, cond, how).drop(*(f"_r_{c}" for c in cols))
+
+
 def segment_of(ts, segment: str = "day") -> Column:
     """Segment unit of the segmented windows: calendar day (default) or hour.
     Smaller units bound the largest task more tightly at the cost of more
@@ -67,7 +74,7 @@ def shift_over_time(
     summary = df.groupBy(*keys, segment_of(ts, segment).alias(seg)).agg(pick(payload, order_struct).alias("_b"))
     ws = Window.partitionBy(*keys).orderBy(seg)
     carry = summary.select(*keys, seg, (F.lag if lag else F.lead)("_b").over(ws).alias("_carry"))
-    out = d.join(carry, on=keys + [seg], how="left")
+    out = join_null_safe(d, carry, keys + [seg], "left")
     val = F.when(F.col("_edge"), F.col("_carry")).otherwise(F.col("_inner"))
     out = out.withColumn("_val", val)
     for c in cols:
@@ -138,7 +145,7 @@ def moving_avg_rows_blocked(
     counts = d.groupBy(*keys, seg).agg(F.count(F.lit(1)).alias("_n"))
     wc = Window.partitionBy(*keys).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wc), F.lit(0))).drop("_n")
-    d = d.join(counts, on=keys + [seg])
+    d = join_null_safe(d, counts, keys + [seg])
     d = d.withColumn("_rn", F.col("_off") + F.row_number().over(Window.partitionBy(*keys, seg).orderBy(*order_cols)) - 1)
     block = block or max(preceding * 64, 4096)
     block = max(block, preceding + 1)
@@ -174,43 +181,29 @@ def first_per_key(df: DataFrame, key, order: Sequence[Column]) -> DataFrame:
     return g.select(*keys, *[F.col("_r")[c].alias(c) for c in others])
 
 
-def ntile_over_values(
-    df: DataFrame, key, value: str, tiebreak: Sequence[str], n: int, name: str = "ntile", segments: int = 64,
-    accuracy: int | None = None,
-) -> DataFrame:
+def ntile_over_values(df: DataFrame, key, value: str, tiebreak: Sequence[str], n: int, name: str = "ntile", segment: Column | None = None) -> DataFrame:
     """``NTILE(n) OVER (PARTITION BY key ORDER BY value ASC NULLS LAST, tiebreak)``
     without sorting a whole key in one task.
 
-    Each key's value range is cut into ``segments`` pieces at approximate
-    quantiles (a partial-aggregating sketch); a row's exact rank is the
-    count of rows in earlier segments of its key (small per-(key, segment)
-    table) plus its row number inside its segment.  Equal values always land
-    in the same segment, so the tie order is exact.  The bucket then follows
-    Spark/PostgreSQL NTILE: the first N mod n buckets hold one extra row.
-    A segment holds about 1/``segments`` of its key (more when one value
-    repeats a lot, since equal values never split), so raise ``segments``
-    with the size of the heaviest key.
+    Rows are counted by (key, value, segment of the first tie-breaker) first; a
+    running sum over these counts gives each such group its offset, and only
+    the rows of one group are numbered together.  A value that repeats a lot
+    is split by the segments (days, for a timestamp tie-breaker).  The bucket
+    follows Spark/PostgreSQL NTILE: the first N mod n buckets hold one extra row.
     """
     keys = _keys(key)
-    probs = [i / segments for i in range(1, segments)]
-    # boundary rank error ~ rows/accuracy: a tenth of a segment is plenty (exactness
-    # never depends on it, only how evenly the segments are filled)
-    accuracy = accuracy or segments * 10
-    bounds = df.groupBy(*keys).agg(F.percentile_approx(value, probs, accuracy).alias("_b"))
-    d = df.join(bounds, keys, "left")
-    v = F.col(value)
-    seg = F.when(v.isNull(), F.lit(segments)).otherwise(F.size(F.filter("_b", lambda b: b < v)))
-    d = d.withColumn("_seg", seg).drop("_b")
-    counts = d.groupBy(*keys, "_seg").agg(F.count(F.lit(1)).alias("_c"))
+    if segment is None:
+        timed = bool(tiebreak) and str(df.schema[tiebreak[0]].dataType.typeName()).startswith("timestamp")
+        segment = segment_of(tiebreak[0]) if timed else F.lit(0)
+    part = [*keys, value, "_seg"]
+    d = df.withColumn("_seg", segment)
+    counts = d.groupBy(*part).agg(F.count(F.lit(1)).alias("_c"))
     wk = Window.partitionBy(*keys)
-    counts = counts.select(
-        *keys, "_seg",
-        F.coalesce(F.sum("_c").over(wk.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_c").over(wk).alias("_n"),
-    )
-    d = d.join(counts, keys + ["_seg"])
-    order = [v.asc_nulls_last(), *[F.col(c).asc() for c in tiebreak]]
-    d = d.withColumn("_r", F.col("_off") + F.row_number().over(Window.partitionBy(*keys, "_seg").orderBy(*order)))
+    ahead = wk.orderBy(F.col(value).asc_nulls_last(), F.col("_seg").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*part, F.coalesce(F.sum("_c").over(ahead), F.lit(0)).alias("_off"), F.sum("_c").over(wk).alias("_n"))
+    d = join_null_safe(d, counts, part)
+    order = [F.col(c).asc() for c in tiebreak] or [F.col(value)]
+    d = d.withColumn("_r", F.col("_off") + F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
     q, m = (F.col("_n") / n).cast("long"), F.col("_n") % n
     big = m * (q + 1)
     bucket = F.when(F.col("_r") <= big, F.floor((F.col("_r") - 1) / (q + 1)) + 1).otherwise(
@@ -245,23 +238,21 @@ def sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Col
 
 def rank_over_values(df: DataFrame, value: str, name: str = "rank", descending: bool = True, segments: int = 64) -> DataFrame:
     """``RANK() OVER (ORDER BY value DESC NULLS FIRST)`` (or ASC NULLS LAST)
-    with no single-partition sort.
+    with no single-partition sort, and no job while the plan is built.
 
-    The value range is cut at approximate global quantiles - ``segments - 1``
-    numbers, the only data that reaches the driver - equal values always share
-    a segment, so a row's rank is the row count of the segments ahead of it
-    plus its RANK inside its own segment (windows partitioned by segment)."""
+    Approximate global quantiles (a scalar subquery) cut the value range; equal values always share a segment, so a row's rank is the row count of
+    the segments ahead of it plus its RANK inside its own segment."""
     v = F.col(value)
     probs = [i / segments for i in range(1, segments)]
-    bounds = df.agg(F.percentile_approx(value, probs, segments * 10)).first()[0] or []
-    arr = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<double>")
+    bounds = df.agg(F.percentile_approx(value, probs, segments * 10).alias("_b"))  # one row of segments - 1 numbers
+    d = df.withColumn("_b", bounds.scalar())
     if descending:
-        seg = F.when(v.isNull(), F.lit(-1)).otherwise(F.size(F.filter(arr, lambda b: b > v)))
+        seg = F.when(v.isNull(), F.lit(-1)).otherwise(F.size(F.filter("_b", lambda b: b > v)))
         order = v.desc_nulls_first()
     else:
-        seg = F.when(v.isNull(), F.lit(len(bounds) + 1)).otherwise(F.size(F.filter(arr, lambda b: b < v)))
+        seg = F.when(v.isNull(), F.lit(segments + 1)).otherwise(F.size(F.filter("_b", lambda b: b < v)))
         order = v.asc_nulls_last()
-    d = df.withColumn("_seg", seg)
+    d = d.withColumn("_seg", seg).drop("_b")
     counts = d.groupBy("_seg").agg(F.count(F.lit(1)).alias("_c"))
     # at most segments + 1 rows: the running offset is computed over a tiny table
     counts = counts.withColumn(

@@ -236,9 +236,9 @@ SELECT patientid, fasting_day, avg_fasting_glucose,
 FROM daily_fasting_summary
 """)
 def a01_fasting_alert_intended(t, threshold=140):
-    from vitalis.plans.intermediate import i06_fasting_glucose
+    from vitalis.plans.intermediate import fasting_by_day
 
-    s = i06_fasting_glucose(t)
+    s = fasting_by_day(t)
     msg = F.format_string("Patient %d has high fasting glucose on %s", F.col("patientid"), F.date_format("fasting_day", "yyyy-MM-dd"))
     return s.select("patientid", "fasting_day", "avg_fasting_glucose", F.when(F.col("avg_fasting_glucose") > threshold, msg).alias("warning"))
 
@@ -249,7 +249,7 @@ def a07_grouping_sets_spikes_intended(t):
     return A.a07_rollup(A.multi_spike_summary(t, temp_limit=37.2))
 
 
-@query("a13_food_chain_intended", A._a13_sql("f.patientid, f.time_begin"), recursive=True)
+@query("a13_food_chain_intended", A._a13_sql("m.patientid"), recursive=True)
 def a13_food_chain_intended(t):
     """One anchor per (patient, meal time): two patients eating at the same instant no longer collapse."""
     return A.a13_food_chain(t, anchor_key=("patientid", "food_time"))

@@ -97,16 +97,18 @@ def deduplicate(df: DataFrame, keys: Sequence[str], limit: int | None = None) ->
     others = [c for c in df.columns if c not in keys]
     if limit is None and not others:
         return df.dropDuplicates(list(keys))
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in others]) if others else Window.partitionBy(*keys).orderBy(*keys)
-    ranked = df.withColumn("_rn", F.row_number().over(w))
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in others or keys])
     if limit is None:
-        return ranked.where(F.col("_rn") == 1).drop("_rn")
-    surplus = ranked.where(F.col("_rn") > 1)
-    order = [F.col(c).asc_nulls_last() for c in [*keys, *others]] + [F.col("_rn")]
-    # the k smallest surplus rows: a top-k (bounded by k), not a global sort
-    doomed = surplus.orderBy(*order).limit(limit).select(*keys, "_rn")
-    cond = [F.col(f"r.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys] + [F.col("r._rn") == F.col("d._rn")]
-    return ranked.alias("r").join(F.broadcast(doomed.alias("d")), cond, "left_anti").drop("_rn")
+        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    # the k smallest surplus rows lie in the k smallest repeated key groups: a top-k over counts, and only those groups are ranked
+    order = [F.col(c).asc_nulls_last() for c in keys]
+    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).orderBy(*order).limit(limit)
+    heavy = heavy.withColumn("_before", F.coalesce(F.sum(F.col("_n") - 1).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    heavy = F.broadcast(heavy.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_before").withColumn("_heavy", F.lit(True)))  # k rows
+    marked = df.join(heavy, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left").drop(*[f"_k_{k}" for k in keys])
+    few = marked.where("_heavy").withColumn("_rn", F.row_number().over(w))
+    few = few.where((F.col("_rn") == 1) | (F.col("_before") + F.col("_rn") - 1 > limit)).drop("_rn")
+    return marked.where("_heavy IS NULL").unionByName(few).drop("_heavy", "_before")
 
 
 def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -140,25 +142,27 @@ RECIPES = {
 }
 
 
-def clean_table(raw: DataFrame, name: str, on_error: str = "fail", dedup=None) -> DataFrame:
+def clean_table(raw: DataFrame, name: str, on_error: str = "fail", dedup=None) -> DataFrame | tuple[DataFrame, DataFrame]:
     """The whole cleaning of one raw table as one lazy plan.  ``dedup``
-    overrides the recipe: "all", an int limit, or False for none."""
+    overrides the recipe: "all", an int limit, or False for none.  With
+    ``on_error="quarantine"`` the result is (clean, bad): bad rows as staged."""
     r = dict(RECIPES[name])
     if dedup is not None:
         r["dedup"] = None if dedup is False else dedup
     df = stage(raw)
     df = drop_columns(df, schemas.RAW_DROPS.get(name, []))
     df = rename(df, schemas.RAW_RENAMES.get(name, {}))
-    df = cast_schema(df, schemas.TYPED[name], "fail" if on_error == "quarantine" else on_error, r.get("ms", []))
+    df = cast_schema(df, schemas.TYPED[name], on_error, r.get("ms", []))
+    df, bad = df if on_error == "quarantine" else (df, None)
     keys = schemas.DEDUP_KEYS[name]
     if r["dedup"] == "all":
         df = deduplicate(df, keys)
     elif isinstance(r["dedup"], int):
         df = deduplicate(df, keys, limit=r["dedup"])
-    return df
+    return df if bad is None else (df, bad)
 
 
-def publish(df: DataFrame, path: str, sort_within: Sequence[str] = ("patientid", "date_time")) -> None:
+def publish(df: DataFrame, path: str, sort_within: Sequence[str] = ("patientid", "date_time", "time_begin")) -> None:
     """Final table: Parquet sorted within files by (patient, time), so row-group
     min/max statistics skip most of the file for a patient or time filter
     (the role the reference's composite index plays)."""
@@ -168,7 +172,7 @@ def publish(df: DataFrame, path: str, sort_within: Sequence[str] = ("patientid",
     out.write.mode("overwrite").parquet(path)
 
 
-def clean_all(raw: Mapping[str, DataFrame], on_error: str = "fail") -> dict[str, DataFrame]:
+def clean_all(raw: Mapping[str, DataFrame], on_error: str = "fail") -> dict:
     """Every raw table through its recipe; lazy, one plan per table."""
     return {name: clean_table(df, name, on_error) for name, df in raw.items()}
 

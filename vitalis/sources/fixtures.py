@@ -52,16 +52,10 @@ class SensorTables:
     def _events(self, kind: str) -> DataFrame:
         return self.base("events").where(F.col("event_type").isin(SENSOR_EVENT_TYPES[kind]))
 
-    def _users(self) -> DataFrame:
-        # distinct users of the event stream; partial aggregation before the shuffle
-        return self._get("users", lambda: self.base("events").select("user_id").distinct())
-
     @property
     def demography(self) -> DataFrame:
         def build():
-            c = self.base("customer")
-            c = c.join(self._users(), c.c_custkey == F.col("user_id"), "left_semi")
-            return c.select(
+            return self.base("customer").select(
                 F.col("c_custkey").cast("int").alias("patientid"),
                 F.when(F.col("c_custkey") % 2 == 0, F.lit("FEMALE")).otherwise(F.lit("MALE")).alias("gender"),
                 (F.lit(5.0) + (F.col("c_custkey") % 20) * F.lit(0.1)).cast("decimal(18,4)").alias("hba1c"),
@@ -141,7 +135,6 @@ class SensorTables:
                 "l_returnflag", "l_linestatus",
             )
             o = self.base("orders").select("o_orderkey", "o_custkey")
-            o = o.join(self._users(), o.o_custkey == F.col("user_id"), "left_semi")
             p = self.base("part").select("p_partkey", "p_name", "p_type")
             j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
             start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
@@ -177,24 +170,9 @@ class SensorTables:
         return self._get("foodlog", build)
 
 
-_CATALOG: dict[tuple[int, str], SensorTables] = {}
-
-
-def sensor_tables(spark: SparkSession, sf_dir: str, reuse: bool = True) -> SensorTables:
-    """The sensor views over one data folder.
-
-    Like registering views once in a catalog, the handle is kept per
-    (session, folder): later queries reuse the already-analysed DataFrames
-    instead of listing files and reading footers again.  DataFrames are
-    immutable plans, so sharing them is safe; pass ``reuse=False`` when the
-    folder's files change between calls."""
-    if not reuse:
-        return SensorTables(spark, sf_dir)
-    key = (id(spark), sf_dir.rstrip("/"))
-    t = _CATALOG.get(key)
-    if t is None or t.spark is not spark:
-        t = _CATALOG[key] = SensorTables(spark, sf_dir)
-    return t
+def sensor_tables(spark: SparkSession, sf_dir: str) -> SensorTables:
+    """The sensor views over one data folder, as its files are now."""
+    return SensorTables(spark, sf_dir)
 
 
 # --------------------------------------------------------------------------
@@ -206,12 +184,11 @@ def _types(kind):
 
 
 SENSOR_CTES_SQL = f"""
-users AS (SELECT DISTINCT user_id FROM events),
 demography AS (
   SELECT CAST(c_custkey AS INTEGER) AS patientid,
          CASE WHEN c_custkey % 2 = 0 THEN 'FEMALE' ELSE 'MALE' END AS gender,
          CAST(5.0 + (c_custkey % 20) * 0.1 AS DECIMAL(18,4)) AS hba1c
-  FROM customer WHERE c_custkey IN (SELECT user_id FROM users)
+  FROM customer
 ),
 dexcom AS (
   SELECT CAST(event_id AS INTEGER) AS indexval, CAST(user_id AS INTEGER) AS patientid,
@@ -247,7 +224,6 @@ foodlog_src AS (
          TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(o.o_orderkey % 30 AS INTEGER))
            + to_minutes(CAST((o.o_orderkey * 37) % 1440 AS BIGINT)) AS tb
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE o.o_custkey IN (SELECT user_id FROM users)
 ),
 foodlog AS (
   SELECT tb AS time_begin,

@@ -28,10 +28,10 @@ def write_year_partitioned(df: DataFrame, path: str, ts: str, years: Sequence[in
 
     Dynamic partition overwrite replaces only the buckets present in ``df``,
     so a refresh of one year does not rewrite the others."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = df.withColumn("bucket", year_bucket(ts, years))
-    out.repartition("bucket").write.mode(mode).partitionBy("bucket").parquet(path)
+    # by time inside a bucket: a year with most rows is cut into many tasks and files
+    out = out.repartitionByRange("bucket", ts)
+    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:

@@ -102,8 +102,9 @@ def _gap_fn(min_gap_minutes: float, idle_ms: int | None = None):
 
     def fn(key, pdfs, state):
         if state.hasTimedOut:
-            # silent longer than the idle timeout: forget the patient (bounded state)
-            state.remove()
+            # silent so long that the gap is certain: tell now, and keep the last time for the return
+            last = pd.Timestamp(state.get[0])
+            yield pd.DataFrame({"patientid": [key[0]], "previous_time": [last], "date_time": [pd.NaT], "gap_minutes": [float("nan")]})
             return
         batch = pd.concat(list(pdfs), ignore_index=True)
         times = batch["date_time"].dropna().sort_values().reset_index(drop=True)
@@ -133,8 +134,9 @@ def stream_gap_alerts(readings: DataFrame, min_gap_minutes: float = 10, idle_tim
     """Sync-gap alert - a reading more than ``min_gap_minutes`` after the
     patient's previous one.  State per patient is one timestamp; the batch
     twin is ``operators.windows.time_gaps``.  With ``idle_timeout`` (e.g.
-    "7 days") a patient silent that long past the watermark is forgotten:
-    state stays bounded, and the return after such a silence is not alerted."""
+    "7 days") a patient silent that long past the watermark gets an alert with
+    an open end (NULL ``date_time`` and ``gap_minutes``) at once; the gap is
+    alerted with its end when the patient returns, however late."""
     if idle_timeout is None:
         s = readings.select("patientid", "date_time")
         return s.groupBy("patientid").applyInPandasWithState(

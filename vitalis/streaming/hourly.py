@@ -58,35 +58,43 @@ def stream_hourly_summary(streams: Mapping[str, DataFrame], watermark: str = "2
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, on any file system Spark knows."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _write_days(df: DataFrame, path: str, mode: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("day").parquet(path)
+
+
 def upsert_hours(batch: DataFrame, path: str) -> None:
     """foreachBatch sink for update mode: replace the (patient, hour) rows of
-    the touched days.  Only those day partitions are read and rewritten."""
+    the touched days.  Only those day partitions are read and rewritten.  A
+    column that only the table or only the batch has is NULL in the other's
+    rows; any error in reading the table is raised."""
     from vitalis.session import checkpoint_dir
 
     spark = batch.sparkSession
     checkpoint_dir(spark)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    b = batch.withColumn("day", F.to_date("hour"))
+    # the stateful query behind the batch runs once: the batch is written before it is used twice
+    b = batch.withColumn("day", F.to_date("hour")).checkpoint(eager=True)
+    if not _exists(spark, path):
+        return _write_days(b, path, "dynamic")
     days = [r["day"] for r in b.select("day").distinct().collect()]  # a handful of dates per trigger
-    try:
-        old = spark.read.parquet(path).where(F.col("day").isin(days))
-        keep = old.join(b.select("patientid", "hour"), ["patientid", "hour"], "left_anti")
-        merged = keep.unionByName(b)
-    except Exception:  # noqa: BLE001 - first batch: no table yet
-        merged = b
-    # materialise before overwriting the partitions it was read from
-    merged = merged.checkpoint(eager=True)
-    merged.write.mode("overwrite").partitionBy("day").parquet(path)
+    old = spark.read.parquet(path).where(F.col("day").isin(days))
+    keep = old.join(b.select("patientid", "hour"), ["patientid", "hour"], "left_anti")
+    # materialised before the partitions it was read from are overwritten
+    _write_days(keep.unionByName(b, allowMissingColumns=True).checkpoint(eager=True), path, "dynamic")
 
 
 def refresh_summary(spark: SparkSession, summary: DataFrame, path: str, since=None) -> None:
-    """O16 REFRESH: full recompute (``since=None``) or only the days from ``since``
-    on, written with dynamic partition overwrite."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    """O16 REFRESH: the whole table anew (``since=None``), days that are no
+    longer there included, or only the days from ``since`` on."""
     out = summary.withColumn("day", F.to_date("hour"))
-    if since is not None:
-        out = out.where(F.col("day") >= F.lit(since).cast("date"))
-    out.write.mode("overwrite").partitionBy("day").parquet(path)
+    if since is None:
+        return _write_days(out, path, "static")
+    _write_days(out.where(F.col("day") >= F.lit(since).cast("date")), path, "dynamic")
 
 
 def stream_dedup(stream: DataFrame, keys, watermark: str = "10 minutes", ts: str = "date_time") -> DataFrame:

@@ -3,8 +3,7 @@
 Offsets and state of a streaming query live in its checkpoint location; on a
 cluster it must be a shared, fault-tolerant folder so a restarted driver or a
 lost executor resumes exactly where the query was.  The location is derived
-from the session's ``spark.checkpoint.dir`` (a scratch folder only when that
-is unset, as in tests)."""
+from the session's ``spark.checkpoint.dir`` (see ``session.checkpoint_dir``)."""
 
 from __future__ import annotations
 
