@@ -51,29 +51,44 @@ def test_bpe_as_the_library(vocabulary, library):
         assert vocabulary.decode(ids) == t.encode()
 
 
+def merged(word, rank):
+    """Lowest rank first, leftmost of equals."""
+    parts = [bytes([c]) for c in word]
+    while len(parts) > 1:
+        best = min((rank.get(parts[i] + parts[i + 1], 10**9), i) for i in range(len(parts) - 1))
+        if best[0] == 10**9:
+            break
+        parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+    return parts
+
+
 def test_bpe_merges_of_small_vocabularies():
-    """Random rank files against merging by hand, lowest rank first and leftmost of equals."""
+    """Vocabularies that grow by a random pair of neighbours, as training does, against merging by hand."""
     rng = random.Random(3)
-    for _ in range(60):
+    for _ in range(80):
         entries = [b"a", b"b", b"c"]
-        for _ in range(rng.randint(1, 25)):
-            new = rng.choice(entries) + rng.choice(entries)
-            if new not in entries:
-                entries.append(new)
+        for _ in range(rng.randint(1, 30)):
+            rank = {e: i for i, e in enumerate(entries)}
+            parts = merged(bytes(rng.choices(b"abc", k=30)), rank)
+            k = rng.randrange(len(parts) - 1)
+            if len(parts[k] + parts[k + 1]) < 12:
+                entries.append(parts[k] + parts[k + 1])
         rank = {e: i for i, e in enumerate(entries)}
+        assert len(rank) == len(entries)
         voc = bpe.Vocabulary(entries)
-        for _ in range(40):
-            word = bytes(rng.choices(b"abc", k=rng.randint(1, 14)))
-            parts = [bytes([c]) for c in word]
-            while len(parts) > 1:
-                best = min((rank.get(parts[i] + parts[i + 1], 10**9), i) for i in range(len(parts) - 1))
-                if best[0] == 10**9:
-                    break
-                parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-            want = [rank[word]] if word in rank else [rank[p] for p in parts]
+        assert all(voc._reachable(i) for i in range(len(entries)))
+        for _ in range(60):
+            word = bytes(rng.choices(b"abc", k=rng.randint(1, 25)))
+            want = [rank[word]] if word in rank else [rank[p] for p in merged(word, rank)]
             assert voc.encode_piece(word) == want, (entries, word)
 
 
+def test_ranks_that_no_merges_make(tmp_path):
+    (tmp_path / "odd").write_bytes(b"".join(base64.b64encode(e) + b" %d\n" % i for i, e in enumerate([b"a", b"b", b"aba"])))
+    with pytest.raises(ValueError):
+        bpe.read_ranks(str(tmp_path / "odd"))
+
+
 def test_memo_stays_bounded(vocabulary):
     calls = []
     memo = pieces.Memo(lambda found: (calls.append(p) or p.encode() for p in found), limit=3)

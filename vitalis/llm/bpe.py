@@ -8,7 +8,8 @@ Two neighbours fit if no merge across their border would have come first.  That
 two apart again and again: while the border lies between parts a | b, a merge of a and b must not rank before the merge
 that ends this state.  Compatibility of neighbours is remembered.
 
-As in the reference library for such rank files, a piece that is an entry itself is that entry.  Encoded ids are binary:
+The ranks must come from merging, lowest first: every entry is made by merges of lower ranks (``read_ranks`` makes sure of
+it).  As in the public library for such rank files, a piece that is an entry itself is that entry.  Encoded ids are binary:
 little-endian unsigned 32-bit integers.
 
 Defined cases: null and empty texts have no ids and decode to no bytes; repeated rows are encoded alike; ids outside the
@@ -153,7 +154,10 @@ def read_ranks(path: str) -> Vocabulary:
         ranks = {base64.b64decode(entry): int(rank) for entry, rank in map(bytes.split, f)}
     if sorted(ranks.values()) != list(range(len(ranks))):
         raise ValueError("ranks must be 0, 1, 2, ...")
-    return Vocabulary(sorted(ranks, key=ranks.__getitem__))
+    out = Vocabulary(sorted(ranks, key=ranks.__getitem__))
+    if odd := [e for i, e in enumerate(out.entries) if not out._reachable(i)]:
+        raise ValueError(f"no merges of lower rank make these entries: {odd[:5]}")
+    return out
 
 
 def broadcast(spark: SparkSession, path: str) -> Broadcast:
