@@ -224,10 +224,29 @@ def top_n_rows(df: DataFrame, key, order: Sequence[Column], n: int, segment: Col
     return out.drop("_seg", "_r0")
 
 
-def sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Column] = ()) -> DataFrame:
-    """O80 islands of readings separated by more than ``gap_minutes``:
-    ``session_window`` per key - one row per session with its start, end and
-    row count.  The same expression runs on a stream (with a watermark)."""
+def sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Column] = (), segment: str = "day") -> DataFrame:
+    """O80 islands of readings separated by more than ``gap_minutes``: one row
+    per session with its start, end and row count.
+
+    Gaps come from the segmented lag; a row's session is the last start in its
+    segment, or the last one of the segments before (a small table), so no
+    task holds a whole key.  Rows without a time belong to no session."""
+    keys = _keys(key)
+    seg = "_seg_day"
+    d = shift_over_time(df.where(F.col(ts).isNotNull()), keys, ts, [ts], "lag", prefix="_p_", segment=segment)
+    new = F.col("_p_" + ts).isNull() | (micros_between("_p_" + ts, ts) > int(gap_minutes * 60_000_000))
+    d = d.withColumn(seg, segment_of(ts, segment)).withColumn("_new", F.when(new, F.col(ts))).drop("_p_" + ts)
+    inside = F.last("_new", ignorenulls=True).over(Window.partitionBy(*keys, seg).orderBy(ts).rangeBetween(Window.unboundedPreceding, 0))
+    d = d.withColumn("_inside", inside)
+    before = F.last("_last", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1))
+    carry = d.groupBy(*keys, seg).agg(F.max("_new").alias("_last")).select(*keys, seg, before.alias("_carry"))
+    d = join_null_safe(d, carry, [*keys, seg])
+    d = d.withColumn("session_start", F.coalesce("_inside", "_carry"))
+    return d.groupBy(*keys, "session_start").agg(F.count(F.lit(1)).alias("readings"), F.max(ts).alias("last_reading"), *aggs)
+
+
+def stream_sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Column] = ()) -> DataFrame:
+    """O80 on a stream (with a watermark): ``session_window`` per key."""
     keys = _keys(key)
     ev = F.col(ts).cast("timestamp")
     g = df.groupBy(*keys, F.session_window(ev, f"{int(gap_minutes * 60)} seconds").alias("_s")).agg(

@@ -37,7 +37,7 @@ def query(key: str, sql: str | None = None, recursive: bool = False):
 
 def _load_all():
     # importing registers the catalogue
-    from vitalis.plans import advanced, beginner, cleaning, intermediate, variants  # noqa: F401
+    from vitalis.plans import advanced, beginner, cleaning, intermediate, published, variants  # noqa: F401
 
 
 def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
