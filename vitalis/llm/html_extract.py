@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalis.llm import boosting
-from vitalis.llm.scratch import map_arrow
+from vitalis.llm.scratch import hash_sample, map_arrow
 
 #: Pages in the labelled sample, and layouts made of each.
 SAMPLE = 150
@@ -407,8 +407,8 @@ def with_text(pages: DataFrame, key: str = "page_id", html: str = "html", text:
     """``pages`` with the main text of ``html``; the model is fitted on at most ``sample`` pages, and every page is extracted."""
     if text in pages.columns:
         raise ValueError(f"column already there: {text}")
-    chosen = pages.where(F.col(html).isNotNull()).select(html, F.xxhash64(key).alias("__h"), F.col(key).alias("__k")).orderBy("__h", "__k").limit(sample)
-    model = pages.sparkSession.sparkContext.broadcast(train(sorted(r[0] for r in chosen.collect())))
+    chosen = hash_sample(pages.where(F.col(html).isNotNull()).select(key, html), key, sample).limit(sample)
+    model = pages.sparkSession.sparkContext.broadcast(train(sorted(r[html] for r in chosen.collect())))
     schema = T.StructType([*pages.schema.fields, T.StructField(text, T.StringType())])
     at = pages.columns.index(html)
 

@@ -10,6 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import vitalis
@@ -46,3 +47,11 @@ def ship(spark: SparkSession) -> None:
 def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(f, schema)
+
+
+def hash_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """The rows of ``df`` whose ids have the ``most`` least hashes: the same in every run, however the rows lie.  Only hashes
+    are sorted, and one number comes back."""
+    h = F.xxhash64(key)
+    edge = df.where(F.col(key).isNotNull()).select(h.alias("h")).orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    return df.where(F.col(key).isNotNull() & (h <= F.lit(edge)))
