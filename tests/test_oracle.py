@@ -9,11 +9,11 @@ import duckdb
 import pandas as pd
 import pytest
 
-import __spark_entry__ as entry
+from vitalis.plans import registry
 
 SF = os.environ.get("VITALIS_TEST_SF", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SQL = entry.oracle_sql()
+SQL = registry.oracle_sql()
 
 
 def _norm(v):
@@ -49,13 +49,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(entry.queries()) - set(SQL))
+    missing = sorted(set(registry.queries()) - set(SQL))
     assert missing == []
 
 
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_oracle(spark, con, key):
-    got = entry.queries()[key](spark, SF).toPandas()
+    got = registry.queries()[key](spark, SF).toPandas()
     exp = con.execute(SQL[key]).df()
     assert sorted(got.columns) == sorted(exp.columns)
     assert len(got) == len(exp)

@@ -188,7 +188,8 @@ def ntile_over_values(df: DataFrame, key, value: str, tiebreak: Sequence[str], n
     Rows are counted by (key, value, segment of the first tie-breaker) first; a
     running sum over these counts gives each such group its offset, and only
     the rows of one group are numbered together.  A value that repeats a lot
-    is split by the segments (days, for a timestamp tie-breaker).  The bucket
+    is split by the segments (days, for a timestamp tie-breaker; ``segment``
+    must not decrease along the tie-breakers, NULL first).  The bucket
     follows Spark/PostgreSQL NTILE: the first N mod n buckets hold one extra row.
     """
     keys = _keys(key)

@@ -17,7 +17,7 @@ from vitalis.plans.registry import query
 from vitalis.plans.sqlhelp import SECS, R
 from vitalis.session import checkpoint_dir
 from vitalis.sources import schemas
-from vitalis.sources.etl import cast_schema, clean_table, find_all_null_columns, publish
+from vitalis.sources.etl import all_null_columns, cast_schema, clean_table, publish
 from vitalis.sources.partitions import partition_counts, read_partitioned, write_year_partitioned
 from vitalis.sources.tables import append_rows, insert_by_position, temp_table
 from vitalis.streaming.hourly import refresh_summary
@@ -39,9 +39,13 @@ def etl_publish(t):
 
 @query("etl_all_null_columns", "SELECT * FROM (VALUES " + ", ".join(f"('{tb}', '{c}')" for tb in sorted(schemas.RAW_DROPS) for c in sorted(schemas.RAW_DROPS[tb])) + ") v(table_name, column_name)")
 def etl_all_null_columns(t):
-    """O4 over the raw tables that have dropped columns: only those are wholly NULL (``duration`` of dexcom too, which stays)."""
-    found = [(tb, c) for tb in sorted(schemas.RAW_DROPS) if schemas.RAW_DROPS[tb] for c in find_all_null_columns(C.raw_table(t, tb)) if c in schemas.RAW_DROPS[tb]]
-    return t.spark.createDataFrame(found, "table_name string, column_name string")
+    """O4 over the raw tables that have dropped columns: of those, the ones without a value (``find_all_null_columns`` as rows)."""
+    out = None
+    for tb in sorted(schemas.RAW_DROPS):
+        for part in [all_null_columns(C.raw_table(t, tb).select(*schemas.RAW_DROPS[tb]))] if schemas.RAW_DROPS[tb] else []:
+            part = part.select(F.lit(tb).alias("table_name"), "column_name")
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _spoiled(t) -> DataFrame:

@@ -35,6 +35,12 @@ def find_all_null_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if counts[c] == 0]
 
 
+def all_null_columns(df: DataFrame) -> DataFrame:
+    """O4 as rows (column_name): one aggregation, unpivoted; an empty table has all its columns."""
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    return counts.unpivot([], list(df.columns), "column_name", "n").where("n = 0").select("column_name")
+
+
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """O5."""
     present = {k: v for k, v in mapping.items() if k in df.columns}
