@@ -152,3 +152,30 @@ def test_spike_chain_against_the_recursion(spark):
     assert got.keys() == want.keys() and len(got) >= 2
     for k, (n, total, rows) in want.items():
         assert got[k][0] == n and abs(got[k][1] - total / rows) < 1e-9
+
+
+def test_contiguous_chain_against_brute_force(spark):
+    from vitalis.operators.chains import spike_chain_contiguous
+
+    rng = random.Random(11)
+    meals = [(p, T0 + timedelta(minutes=rng.randint(0, 2000))) for p in (1, 2, 3) for _ in range(12)] + [(1, T0)] * 2
+    readings, seen = [], set()
+    for p in (1, 2, 3):
+        for _ in range(60):
+            t = T0 + timedelta(minutes=rng.randint(0, 2400))
+            if (p, t) not in seen:
+                seen.add((p, t))
+                readings.append((p, t, rng.randint(170, 260)))
+    want = {}
+    for p, t in meals:
+        mine = [(x, v) for q, x, v in readings if q == p and v > 180 and x >= t]
+        hours = {int((x - t).total_seconds() // 3600) for x, _ in mine}
+        run = next(k for k in range(99) if k not in hours)
+        if run:
+            day = want.setdefault((p, t.date()), [0, {}])
+            day[0] = max(day[0], run)
+            day[1] |= {x: v for x, v in mine if x < t + timedelta(hours=run)}
+    got = {(r.patientid, r.day): (r.spike_duration, r._avg) for r in spike_chain_contiguous(*_chain_tables(spark, meals, readings)).collect()}
+    assert got.keys() == want.keys() and max(n for n, _ in got.values()) > 3
+    for k, (n, found) in want.items():
+        assert got[k][0] == n and abs(got[k][1] - sum(found.values()) / len(found)) < 1e-9

@@ -33,10 +33,10 @@ def main() -> None:
     ap.add_argument("keys", nargs="*")
     a = ap.parse_args()
     from vitalis.session import local_session
-    import __spark_entry__ as entry
+    from vitalis.plans import registry
 
     spark = local_session()
-    qs = entry.queries()
+    qs = registry.queries()
     cols = None
     for k in sorted(qs):
         if a.keys and not any(k.startswith(p) for p in a.keys):

@@ -186,34 +186,41 @@ def spike_chain_contiguous(
     and the plain mean of the distinct readings inside the runs.
 
     A run cannot cross two readings 2 h or more apart (a whole empty hour lies
-    between them), so readings are first cut into islands with a day-segmented
-    lag; each meal meets only the island that starts within its first hour.
-    The mex of the relative hour numbers gives the run length."""
-    from vitalis.operators.windows import shift_over_time
+    between them), so readings are cut into islands there.  Inside an island a
+    run can only end at a gap of an hour or more, or with the island: a meal
+    meets those few gaps, not the readings.  The runs of a day are merged to
+    disjoint stretches before their readings are averaged.  The islands and the
+    runs are used several times and are checkpointed."""
+    from vitalis.operators.windows import session_starts
+    from vitalis.session import checkpoint_dir
 
+    checkpoint_dir(dexcom.sparkSession)
+    hour = F.lit(3_600_000_000)
     meals = foodlog.where(F.col("calorie") > min_calorie).select("patientid", "time_begin").distinct()
-    high = dexcom.where(F.col("glucosevalue") > min_glucose).select("patientid", "indexval", "date_time", "glucosevalue")
-    # islands: a new island starts where the previous high reading is >= 2 h earlier
-    lagged = shift_over_time(high, "patientid", "date_time", ["date_time"], "lag", prefix="_p_", tiebreak=["indexval"])
-    new = F.col("_p_date_time").isNull() | (micros_between("_p_date_time", "date_time") >= 7_200_000_000)
-    starts = lagged.where(new).select("patientid", F.col("date_time").alias("isl"))
-    # island id of every reading = its island's start (as-of backward, non-strict)
-    from vitalis.operators.joins import asof_backward
-
-    tagged = asof_backward(high, starts, "patientid", "date_time", "isl", [], strict=False, prefix="_")
+    high = dexcom.where(F.col("glucosevalue") > min_glucose).select("patientid", "date_time", "glucosevalue")
+    tagged = session_starts(high, "patientid", "date_time", 120, inclusive=True).withColumnRenamed("session_start", "isl").checkpoint(eager=True)
     # the island holding the first reading in [t, t + 1h)
-    first = interval_join(meals, tagged.select("patientid", F.col("date_time").alias("_rt"), F.col("_isl").alias("isl")),
-                          "patientid", "time_begin", "_rt", timedelta(0), timedelta(hours=1), closed="left")
-    first = first.groupBy("patientid", "time_begin").agg(F.min("isl").alias("isl"))
-    # all readings of that island from t on, with their hour number relative to t
-    r = first.join(tagged.withColumnRenamed("_isl", "isl"), ["patientid", "isl"]).where(F.col("date_time") >= F.col("time_begin"))
-    r = r.withColumn("k", F.floor(micros_between("time_begin", "date_time") / F.lit(3_600_000_000)))
-    # run length = mex of the hour numbers = first k whose successor is missing
-    ks = r.groupBy("patientid", "time_begin").agg(F.array_sort(F.collect_set("k")).alias("ks"))
-    run = F.aggregate("ks", F.lit(0).cast("long"), lambda acc, k: F.when(k == acc, acc + 1).otherwise(acc))
-    ks = ks.select("patientid", "time_begin", run.alias("run"))
-    chain = r.join(ks, ["patientid", "time_begin"]).where(F.col("k") < F.col("run"))
-    dur = ks.groupBy("patientid", F.to_date("time_begin").alias("day")).agg(F.max("run").cast("int").alias("spike_duration"))
-    vals = chain.select("patientid", F.to_date("time_begin").alias("day"), "indexval", "glucosevalue").distinct()
-    avg = vals.groupBy("patientid", "day").agg(F.avg("glucosevalue").alias("_avg"))
+    first = interval_join(meals, tagged.select("patientid", F.col("date_time").alias("_rt"), "isl"), "patientid", "time_begin", "_rt",
+                          timedelta(0), timedelta(hours=1), closed="left").groupBy("patientid", "time_begin").agg(F.min("isl").alias("isl"))
+    ends = tagged.groupBy("patientid", "isl").agg(F.max("date_time").alias("last"))
+    gaps = tagged.where((F.col("date_time") != F.col("isl")) & (micros_between("previous_time", "date_time") >= hour))
+    gaps = gaps.select("patientid", "isl", F.col("previous_time").alias("before"), F.col("date_time").alias("after"))
+
+    def number(t):
+        return F.floor(micros_between("time_begin", t) / hour)
+
+    ended = (F.col("before") >= F.col("time_begin")) & (number("after") - number("before") >= 2)
+    runs = first.join(ends, ["patientid", "isl"]).join(gaps, ["patientid", "isl"], "left").groupBy("patientid", "isl", "time_begin").agg(
+        F.coalesce(F.min(F.when(ended, number("before"))), F.min(number("last"))).alias("k"))
+    runs = runs.select("patientid", "isl", "time_begin", F.to_date("time_begin").alias("day"), (F.col("k") + 1).cast("int").alias("run")).checkpoint(eager=True)
+    dur = runs.groupBy("patientid", "day").agg(F.max("run").alias("spike_duration"))
+    # the day's stretches of an island: a new one begins where no earlier one reaches
+    w = Window.partitionBy("patientid", "day", "isl").orderBy("time_begin")
+    s = runs.withColumn("stop", F.col("time_begin") + F.make_dt_interval(F.lit(0), F.col("run"), F.lit(0), F.lit(0)))
+    reach = F.max("stop").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    s = s.withColumn("opens", F.when(reach.isNull() | (F.col("time_begin") >= reach), F.col("time_begin")))
+    s = s.withColumn("start", F.last("opens", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    s = s.groupBy("patientid", "day", "isl", "start").agg(F.max("stop").alias("stop"))
+    inside = s.join(tagged, ["patientid", "isl"]).where((F.col("date_time") >= F.col("start")) & (F.col("date_time") < F.col("stop")))
+    avg = inside.groupBy("patientid", "day").agg(F.avg("glucosevalue").alias("_avg"))
     return dur.join(avg, ["patientid", "day"])

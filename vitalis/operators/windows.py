@@ -225,9 +225,9 @@ def top_n_rows(df: DataFrame, key, order: Sequence[Column], n: int, segment: Col
     return out.drop("_seg", "_r0")
 
 
-def sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Column] = (), segment: str = "day") -> DataFrame:
-    """O80 islands of readings separated by more than ``gap_minutes``: one row
-    per session with its start, end and row count.
+def session_starts(df: DataFrame, key, ts: str, gap_minutes: float, inclusive: bool = False, segment: str = "day") -> DataFrame:
+    """``df`` with ``previous_time`` and ``session_start``: the first time of the row's session.  A session ends where the
+    next reading is more than ``gap_minutes`` away (or, ``inclusive``, that far or more).
 
     Gaps come from the segmented lag; a row's session is the last start in its
     segment, or the last one of the segments before (a small table), so no
@@ -235,15 +235,23 @@ def sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Col
     keys = _keys(key)
     seg = "_seg_day"
     d = shift_over_time(df.where(F.col(ts).isNotNull()), keys, ts, [ts], "lag", prefix="_p_", segment=segment)
-    new = F.col("_p_" + ts).isNull() | (micros_between("_p_" + ts, ts) > int(gap_minutes * 60_000_000))
-    d = d.withColumn(seg, segment_of(ts, segment)).withColumn("_new", F.when(new, F.col(ts))).drop("_p_" + ts)
+    d = d.withColumnRenamed("_p_" + ts, "previous_time")
+    gap, limit = micros_between("previous_time", ts), int(gap_minutes * 60_000_000)
+    new = F.col("previous_time").isNull() | ((gap >= limit) if inclusive else (gap > limit))
+    d = d.withColumn(seg, segment_of(ts, segment)).withColumn("_new", F.when(new, F.col(ts)))
     inside = F.last("_new", ignorenulls=True).over(Window.partitionBy(*keys, seg).orderBy(ts).rangeBetween(Window.unboundedPreceding, 0))
     d = d.withColumn("_inside", inside)
     before = F.last("_last", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1))
     carry = d.groupBy(*keys, seg).agg(F.max("_new").alias("_last")).select(*keys, seg, before.alias("_carry"))
-    d = join_null_safe(d, carry, [*keys, seg])
-    d = d.withColumn("session_start", F.coalesce("_inside", "_carry"))
-    return d.groupBy(*keys, "session_start").agg(F.count(F.lit(1)).alias("readings"), F.max(ts).alias("last_reading"), *aggs)
+    d = join_null_safe(d, carry, [*keys, seg]).withColumn("session_start", F.coalesce("_inside", "_carry"))
+    return d.drop(seg, "_new", "_inside", "_carry")
+
+
+def sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Column] = (), segment: str = "day") -> DataFrame:
+    """O80 islands of readings separated by more than ``gap_minutes``: one row
+    per session with its start, end and row count."""
+    d = session_starts(df, key, ts, gap_minutes, segment=segment)
+    return d.groupBy(*_keys(key), "session_start").agg(F.count(F.lit(1)).alias("readings"), F.max(ts).alias("last_reading"), *aggs)
 
 
 def stream_sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Column] = ()) -> DataFrame:
