@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalis.llm import spans
-from vitalis.llm.scratch import written
+from vitalis.llm.scratch import hash_sample, written
 
 KINDS = ("assign", "access", "hex")
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
@@ -67,8 +67,8 @@ def random_samples(spark: SparkSession, n: int = RANDOM_STRINGS) -> DataFrame:
 
 
 def ordinary_samples(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int = WORDS_FROM) -> DataFrame:
-    """Column ``sample``: words of at most ``most`` documents, alone and joined as identifiers are."""
-    chosen = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).orderBy(F.xxhash64(key), key).limit(most)
+    """Column ``sample``: words of the documents of ``most`` ids, alone and joined as identifiers are."""
+    chosen = hash_sample(docs.where(F.col(text).isNotNull()).select(key, text), key, most)
     words = F.regexp_extract_all(F.col(text), F.lit(r"[A-Za-z0-9]{2,}+"), F.lit(0))
     plain = F.filter(words, lambda w: ~w.rlike("[0-9]"))
     joined = F.transform(F.sequence(F.lit(0), F.greatest(F.floor(F.size("w") / 3) - 1, F.lit(0)).cast("int")), lambda i: F.slice(F.col("w"), i * 3 + 1, 3))
