@@ -44,7 +44,7 @@ def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text (binary, little-endian unsigned 32-bit), with digests of the ids and of what they decode to."""
     vocabulary = bpe.broadcast(spark, public_tokenizers.path(RANKS))
-    coded = bpe.with_decoded(bpe.with_ids(docs.select("doc_id", "lang", "source", "text"), vocabulary).drop("text"), vocabulary)
+    coded = bpe.with_ids(docs.select("doc_id", "lang", "source", "text"), vocabulary, decoded="decoded").drop("text")
     return coded.select("doc_id", "lang", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -34,7 +34,7 @@ from vitalis.llm.pieces import Memo
 from vitalis.llm.scratch import map_arrow, ship
 
 NONE = -1
-PAIRS_KEPT = 1_000_000
+PAIRS_KEPT = 200_000
 ROWS_AT_ONCE = 256
 
 
@@ -166,20 +166,23 @@ def broadcast(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(read_ranks(path))
 
 
-def with_ids(docs: DataFrame, vocabulary: Broadcast, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the encoded ``text`` as binary column ``ids``."""
-    if ids in docs.columns:
-        raise ValueError(f"column already there: {ids}")
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType())])
+def with_ids(docs: DataFrame, vocabulary: Broadcast, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with the encoded ``text`` as binary column ``ids``; with ``decoded``, in the same pass, what these ids decode to
+    (``with_decoded`` does so for stored ids)."""
+    new = [ids, *([decoded] if decoded else [])]
+    if set(new) & set(docs.columns):
+        raise ValueError(f"columns already there: {sorted(set(new) & set(docs.columns))}")
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.BinaryType()) for n in new)])
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = vocabulary.value.encode
+        voc = vocabulary.value
         for batch in batches:
             for i in range(0, len(batch), ROWS_AT_ONCE):
                 part = batch.slice(i, ROWS_AT_ONCE)
-                found = pa.array([encode(t or "") for t in part.column(at).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, found], names=schema.fieldNames())
+                found = [voc.encode(t or "") for t in part.column(at).to_pylist()]
+                back = [pa.array([voc.decode(x) for x in found], pa.binary())] if decoded else []
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary()), *back], names=schema.fieldNames())
 
     return map_arrow(docs, run, schema)
 

@@ -67,8 +67,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str, ranks: str = "byte_bpe_multi_50k.tiktoken") -> DataFrame:
     vocabulary = bpe.broadcast(spark, public_tokenizers.path(ranks))
-    coded = bpe.with_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
-    back = bpe.with_decoded(coded, vocabulary)
+    back = bpe.with_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, decoded="decoded").drop("text")
     return back.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
