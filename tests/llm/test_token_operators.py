@@ -44,6 +44,20 @@ def test_pieces_as_the_pattern_splits():
         assert pieces.split(t) == pattern.findall(t), t
 
 
+def test_classes_of_all_code_points():
+    """Letters join an ``a`` before them, numbers a ``1`` behind them, as the tokenizers library has them."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    split, kinds = ByteLevel(add_prefix_space=False, use_regex=True), pieces.classes()
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and c != 0x20]
+    for lo in range(0, len(points), 50_000):
+        part = points[lo : lo + 50_000]
+        cuts = {a for _, (a, _) in split.pre_tokenize_str("".join(f"a{chr(c)}1" for c in part))}
+        for i, c in enumerate(part):
+            want = pieces.LETTER if 3 * i + 1 not in cuts else pieces.NUMBER if 3 * i + 2 not in cuts else None
+            assert kinds[c] == want or want is None and kinds[c] in (pieces.OTHER, pieces.SPACE), hex(c)
+
+
 def test_bpe_as_the_library(vocabulary, library):
     for t in texts(20_000, 2) + ["a" * 5000, "ab" * 3000, " " * 700, "ththth" * 500]:
         ids = vocabulary.encode(t)
