@@ -192,6 +192,21 @@ def test_disclosing_terms(spark, folder):
     assert all(masked[i] == texts[i] for i in range(12, 212))
 
 
+def test_disclosing_terms_far_from_the_entity(spark, folder):
+    rng = random.Random(2)
+    filler = lambda n: " ".join(f"common{rng.randrange(40)}" for _ in range(n))
+    texts = [f"Zanzibar {filler(50)} jo@x.org {filler(50)} zanzibar" for _ in range(3)]  # never within hundreds of characters
+    texts += [f"Timbuktu al@x.org {filler(60)} Timbuktu {filler(5)} timbuktu" for _ in range(3)] + [filler(50) for _ in range(100)]
+    path = folder(texts)
+    got = rows(queries.op7_pii(spark, path))
+    for i in range(6):
+        terms = [s.split(":") for s in got[i].spans.split(",") if s.startswith("term")]
+        assert [texts[i][int(a) : int(b)] for _, a, b in terms] == (["Zanzibar", "zanzibar"] if i < 3 else ["Timbuktu", "Timbuktu", "timbuktu"]), got[i]
+    assert not any("term" in got[i].spans for i in range(6, len(texts)))
+    masked = {r.doc_id: r.text.lower() for r in pii.sanitise(spark.read.parquet(path + "/documents.parquet")).collect()}
+    assert not any(w in masked[i] for i in range(6) for w in ("zanzibar", "timbuktu"))
+
+
 def test_masking_of_overlaps_and_repeated_rows(spark):
     rows_ = [(1, "x 1.1.1.1@a.b y"), (1, "x 1.1.1.1@a.b y"), (None, "call +12345678901 now"), (2, None), (3, "")]
     docs = spark.createDataFrame(rows_, "doc_id long, text string")

@@ -1,15 +1,15 @@
 """Personal data: entities by pattern, and the terms that give them away.
 
-Entities (e-mail and IP addresses, card and phone numbers) are found by pattern.  A term that stands near an entity can
-disclose it even when the entity itself is masked.  How strongly is estimated from co-occurrence in the whole corpus: with
+Entities (e-mail and IP addresses, card and phone numbers) are found by pattern.  A term that stands in a text with an entity can
+disclose it even when the entity itself is masked, however far from it.  How strongly is estimated from co-occurrence in the whole corpus: with
 IC(c) = log2(N / n(c)) the information of entity c and PMI(c; t) = log2(N n(c, t) / (n(c) n(t))) what term t says about it,
 a term is disclosing where PMI(c; t) >= ``threshold`` * IC(c): at 1 the term occurs only with the entity, and gives it away
 in full.  n(c) and n(c, t) count different texts, so that copies prove nothing; n(t) counts documents with the term
 anywhere.  Pairs seen in fewer than ``support`` different texts say too little and are left alone.
 
-Entities are generalised to their kind, disclosing terms to <TERM>; a term that gives its entity away in full is removed.
+Entities are generalised to their kind, disclosing terms to <TERM>, at every place of each text that holds the entity; a term that gives its entity away in full is removed.
 
-All steps are DataFrame functions.  Only texts with entities take part in the co-occurrence joins; the document counts of
+All steps are DataFrame functions.  Only texts with entities take part in the co-occurrence joins, once for all copies; the document counts of
 words are summed in the map tasks before their shuffle.
 
 Defined cases: null and empty texts have no spans; repeated rows are treated alike (joins are on id and text hash, null-safe);
@@ -27,7 +27,6 @@ from vitalis.llm.scratch import written
 KINDS = ("email", "ip", "card", "phone")
 #: Words of ASCII letters and digits and of non-ASCII characters, four or more long.
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]{4,}+"
-REACH = 80
 SUPPORT = 3
 THRESHOLD = 0.9
 
@@ -76,61 +75,74 @@ def _normal(kind: str, s: Column) -> Column:
     return F.concat(F.lit(kind + ":"), plain)
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
-    """key, __hash (of the text), an array of spans for each kind, and __near: each entity with the text around it."""
-    column = F.col(text)
-    base = docs.select(key, column.alias("__text"), F.xxhash64(column).alias("__hash"), *(c.alias(k) for k, c in entities(column).items()))
-
-    def around(kind: str) -> Column:
-        def one(s: Column) -> Column:
-            left_at = F.greatest(s["start"] - reach, F.lit(0))
-            left = F.substring("__text", left_at + 1, s["start"] - left_at)
-            right = F.substring("__text", s["stop"] + 1, F.lit(reach))
-            return F.struct(_normal(kind, s).alias("entity"), left_at.alias("left_at"), left.alias("left"), s["stop"].alias("right_at"), right.alias("right"))
+def _words(text: Column) -> Column:
+    """The different terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
-        return F.transform(F.col(kind), one)
 
-    return base.select(key, "__hash", *KINDS, F.concat(*map(around, KINDS)).alias("__near"))
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, __hash (of the text), an array of spans for each kind, __entities (the different ones of the text) and __text, which
+    is null where there are none."""
+    column = F.col(text)
+    base = docs.select(key, column.alias("__text"), F.xxhash64(column).alias("__hash"), *(c.alias(k) for k, c in entities(column).items()))
 
+    def named(kind: str) -> Column:
+        return F.transform(F.col(kind), lambda s: _normal(kind, s))
 
-def _terms(scanned: DataFrame, key: str, support: int, reach: int) -> DataFrame:
-    """Words near entities that ``support`` different texts have: key, __hash, entity, n_c, term, start, stop."""
-    mentions = scanned.where(F.size("__near") > 0).select(key, "__hash", F.explode("__near").alias("m")).select(key, "__hash", "m.*")
-    known = mentions.select("entity", "__hash").distinct().groupBy("entity").agg(F.count("*").alias("n_c")).where(F.col("n_c") >= support)
-    mentions = mentions.join(known, "entity")
-    # a word that the edge of the window cuts is no word
-    left = F.filter(spans.find(F.col("left"), TERM), lambda s: (s["start"] > 0) | (F.col("left_at") == 0))
-    right = F.filter(spans.find(F.col("right"), TERM), lambda s: (s["stop"] < reach) | (F.length("right") < reach))
+    base = base.withColumn("__entities", F.array_distinct(F.concat(*map(named, KINDS))))
+    return base.select(key, "__hash", *KINDS, "__entities", F.when(F.size("__entities") > 0, F.col("__text")).alias("__text"))
 
-    def placed(found: Column, at: str) -> Column:
-        return F.transform(found, lambda s: F.struct((s["start"] + F.col(at)).alias("start"), (s["stop"] + F.col(at)).alias("stop"), F.lower(s["text"]).alias("term")))
 
-    each = F.explode(F.concat(placed(left, "left_at"), placed(right, "right_at"))).alias("t")
-    return mentions.select(key, "__hash", "entity", "n_c", each).select(key, "__hash", "entity", "n_c", "t.term", "t.start", "t.stop")
+def _pairs(scanned: DataFrame, support: int) -> DataFrame:
+    """entity, n_c, term, n_ct of the pairs that ``support`` different texts have, wherever in the text."""
+    texts = scanned.where(F.size("__entities") > 0).dropDuplicates(["__hash"])
+    mentions = texts.select("__hash", F.explode("__entities").alias("entity"))
+    known = mentions.groupBy("entity").agg(F.count("*").alias("n_c")).where(F.col("n_c") >= support)
+    known = mentions.join(known, "entity").groupBy("__hash").agg(F.collect_list(F.struct("entity", "n_c")).alias("known"))
+    each = texts.select("__hash", "__text").join(known, "__hash").select(F.explode("known").alias("c"), _words(F.col("__text")).alias("words"))
+    each = each.select("c.entity", "c.n_c", F.explode("words").alias("term"))
+    return each.groupBy("entity", "n_c", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= support)
 
 
-def disclosing(terms: DataFrame, docs: DataFrame, text: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+def disclosing(scanned: DataFrame, docs: DataFrame, text: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """entity, term, pmi, ic and whole (the term occurs with the entity only) of the pairs above the threshold."""
-    pairs = terms.select("entity", "n_c", "term", "__hash").distinct().groupBy("entity", "n_c", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= support)
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
+    words = docs.select(F.explode(_words(F.col(text))).alias("term"))
     total = float(docs.count())
-    scored = pairs.join(words.groupBy("term").agg(F.count("*").alias("n_t")), "term")
+    scored = _pairs(scanned, support).join(words.groupBy("term").agg(F.count("*").alias("n_t")), "term")
     scored = scored.withColumn("pmi", F.log2(F.lit(total) * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))).withColumn("ic", F.log2(F.lit(total) / F.col("n_c")))
     return scored.where("ic > 0").where(F.col("pmi") >= threshold * F.col("ic")).select("entity", "term", "pmi", "ic", (F.col("n_ct") >= F.col("n_t")).alias("whole"))
 
 
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD, reach: int = REACH) -> DataFrame:
-    """One row per row of ``docs``: key, __hash, spans of each kind, and ``term``: spans of disclosing terms (their text says
-    "whole" or "part").  A term inside an entity's span is left out."""
-    scanned = written(scan(docs, key, text, reach), "entities")
-    terms = written(_terms(scanned, key, support, reach), "terms")
-    flagged = disclosing(terms, docs, text, support, threshold).groupBy("entity", "term").agg(F.max("whole").alias("whole"))
-    hits = terms.join(flagged, ["entity", "term"]).groupBy(F.col(key).alias("__key"), "__hash", "start", "stop").agg(F.max("whole").alias("whole"))
-    one = F.struct("start", "stop", F.when(F.col("whole"), F.lit("whole")).otherwise(F.lit("part")).alias("text"))
-    hits = hits.groupBy("__key", F.col("__hash").alias("__h")).agg(F.array_sort(F.collect_list(one)).alias("__term"))
-    joined = scanned.drop("__near").join(hits, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__hash") == F.col("__h")), "left")
+def _occurrences(text: Column, terms: Column, whole: Column) -> Column:
+    """Spans of every occurrence of ``terms`` in a text; their text says "whole" where the term is one of ``whole``."""
+    matches = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    start = F.struct(F.lit(0).alias("at"), spans.none().alias("out"))
+
+    def step(state: Column, x: Column) -> Column:
+        begin = state["at"] + F.length(x["before"])
+        end = begin + F.length(x["match"])
+        term = F.lower(x["match"])
+        one = F.struct(begin.alias("start"), end.alias("stop"), F.when(F.array_contains(whole, term), F.lit("whole")).otherwise(F.lit("part")).alias("text"))
+        out = F.when(F.array_contains(terms, term), F.concat(state["out"], F.array(one))).otherwise(state["out"])
+        # behind the last match there is one more piece
+        return F.when(x["match"].isNull(), state).otherwise(F.struct(end.alias("at"), out.alias("out")))
+
+    return F.aggregate(F.arrays_zip(matches.alias("match"), F.split(text, TERM, -1).alias("before")), start, step, lambda s: s["out"])
+
+
+def find(docs: DataFrame, key: str = "doc_id", text: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per row of ``docs``: key, __hash, spans of each kind, and ``term``: spans of disclosing terms, wherever they stand
+    in a text with their entity (their text says "whole" or "part").  A term inside an entity's span is left out."""
+    scanned = written(scan(docs, key, text), "entities")
+    flagged = written(disclosing(scanned, docs, text, support, threshold).select("entity", "term", "whole"), "terms")
+    flagged = flagged.groupBy("entity").agg(F.collect_set("term").alias("terms"), F.collect_set(F.when(F.col("whole"), F.col("term"))).alias("whole"))
+    mentions = scanned.where(F.size("__entities") > 0).select(F.col(key).alias("__key"), F.col("__hash").alias("__h"), F.explode("__entities").alias("entity")).distinct()
+    united = (F.array_distinct(F.flatten(F.collect_list(c))).alias("__" + c) for c in ("terms", "whole"))
+    hits = mentions.join(flagged, "entity").groupBy("__key", "__h").agg(*united)
+    joined = scanned.join(hits, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__hash") == F.col("__h")), "left")
     every = F.concat(*KINDS)
-    free = F.filter(F.coalesce("__term", spans.none()), lambda t: ~F.exists(every, lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))
+    term = F.when(F.col("__terms").isNotNull(), _occurrences(F.col("__text"), F.col("__terms"), F.col("__whole"))).otherwise(spans.none())
+    free = F.filter(term, lambda t: ~F.exists(every, lambda s: (s["start"] < t["stop"]) & (t["start"] < s["stop"])))
     return joined.select(key, "__hash", *KINDS, free.alias("term"))
 
 
