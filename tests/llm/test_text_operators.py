@@ -207,6 +207,18 @@ def test_disclosing_terms_far_from_the_entity(spark, folder):
     assert not any(w in masked[i] for i in range(6) for w in ("zanzibar", "timbuktu"))
 
 
+def test_copies_hide_no_disclosing_term(spark, folder):
+    rng = random.Random(3)
+    filler = lambda n: " ".join(f"common{rng.randrange(40)}" for _ in range(n))
+    texts = [f"{filler(20)} Zanzibar jo@x.org {filler(20)}" for _ in range(3)] + [filler(50) for _ in range(100)]
+    plain, copied = texts, [texts[0]] * 60 + texts
+    first, second = (rows(queries.op7_pii(spark, folder(x))) for x in (plain, copied))
+    assert [first[i].spans for i in range(103)] == [second[60 + i].spans for i in range(103)]
+    assert all("term" in second[i].spans for i in range(63))
+    docs = spark.createDataFrame(list(enumerate(copied)), "doc_id long, text string")
+    assert pii.disclosing(pii.scan(docs), docs).where("term = 'zanzibar' AND whole").count() == 1
+
+
 def test_masking_of_overlaps_and_repeated_rows(spark):
     rows_ = [(1, "x 1.1.1.1@a.b y"), (1, "x 1.1.1.1@a.b y"), (None, "call +12345678901 now"), (2, None), (3, "")]
     docs = spark.createDataFrame(rows_, "doc_id long, text string")

@@ -4,13 +4,12 @@ Entities (e-mail and IP addresses, card and phone numbers) are found by pattern.
 disclose it even when the entity itself is masked, however far from it.  How strongly is estimated from co-occurrence in the whole corpus: with
 IC(c) = log2(N / n(c)) the information of entity c and PMI(c; t) = log2(N n(c, t) / (n(c) n(t))) what term t says about it,
 a term is disclosing where PMI(c; t) >= ``threshold`` * IC(c): at 1 the term occurs only with the entity, and gives it away
-in full.  n(c) and n(c, t) count different texts, so that copies prove nothing; n(t) counts documents with the term
-anywhere.  Pairs seen in fewer than ``support`` different texts say too little and are left alone.
+in full.  N, n(c), n(t) and n(c, t) all count different texts, so that copies neither prove nor hide anything.  Pairs seen in fewer than ``support`` different texts say too little and are left alone.
 
 Entities are generalised to their kind, disclosing terms to <TERM>, at every place of each text that holds the entity; a term that gives its entity away in full is removed.
 
-All steps are DataFrame functions.  Only texts with entities take part in the co-occurrence joins, once for all copies; the document counts of
-words are summed in the map tasks before their shuffle.
+All steps are DataFrame functions.  Only texts with entities take part in the co-occurrence joins, once for all copies; copies go
+and the counts of words are summed in the map tasks before their shuffles.
 
 Defined cases: null and empty texts have no spans; repeated rows are treated alike (joins are on id and text hash, null-safe);
 where spans overlap, the masked text has one mark for all of them.  An empty table gives an empty result.
@@ -106,8 +105,9 @@ def _pairs(scanned: DataFrame, support: int) -> DataFrame:
 
 def disclosing(scanned: DataFrame, docs: DataFrame, text: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """entity, term, pmi, ic and whole (the term occurs with the entity only) of the pairs above the threshold."""
-    words = docs.select(F.explode(_words(F.col(text))).alias("term"))
-    total = float(docs.count())
+    different = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("__hash"), F.col(text).alias("__text"))
+    total = float(different.select("__hash").distinct().count())
+    words = different.dropDuplicates(["__hash"]).select(F.explode(_words(F.col("__text"))).alias("term"))
     scored = _pairs(scanned, support).join(words.groupBy("term").agg(F.count("*").alias("n_t")), "term")
     scored = scored.withColumn("pmi", F.log2(F.lit(total) * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))).withColumn("ic", F.log2(F.lit(total) / F.col("n_c")))
     return scored.where("ic > 0").where(F.col("pmi") >= threshold * F.col("ic")).select("entity", "term", "pmi", "ic", (F.col("n_ct") >= F.col("n_t")).alias("whole"))
