@@ -78,6 +78,23 @@ def test_decoding_is_the_best_consistent_labelling(model):
         assert tuple(kept) in fits and abs(value(kept) - max(map(value, fits))) < 1e-9
 
 
+def test_head_without_end_tag_and_formulas():
+    text = lambda h: [t for _, t in html_extract.Page(h).runs]
+    assert text("<html><head><title>t</title><meta charset=x><body><p>one</p>two</body></html>") == ["one", "two"]
+    assert text("<head><title>t</title><style>a</style><link href=x><p>one") == ["one"]
+    assert text("<head><noscript><p>x<body><p>one") == ["one"]
+    assert text("<head>\n<script>x</script>\none <b>two</b>") == ["one two"]
+    assert text("<head><title>t</title></head><body><template>x</template>one") == ["one"]
+    assert text("<p>where <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>") == ["where x=1 holds"]
+
+
+@pytest.mark.parametrize("n", [10, 300])
+def test_share_of_siblings_with_one_tag(n):
+    page = html_extract.Page("<div>" + "<p>a</p><ul></ul><ul></ul><ul></ul>" * n + "</div>")
+    assert {(page.nodes[i].tag, r[10]) for i, r in enumerate(html_extract.features(page, {})) if i > 1} == {("p", 0.25), ("ul", 0.75)}
+
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None, "x")] * 3])
 def test_empty_pages(spark, tmp_path, rows):
     spark.createDataFrame(rows, "page_id long, url string, html string, text string").write.parquet(str(tmp_path / "pages.parquet"))

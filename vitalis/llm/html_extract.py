@@ -11,7 +11,7 @@ page marks its article (article or main element), labels.  Each sampled page is
 that mark the article by attributes or not at all, with menus, notices, adverts, sidebars, forms, comments and footers around
 and inside; there the labels are known.
 
-Scripts, styles and the like have no text.  Character references are decoded; white space inside a block becomes one blank
+Scripts, styles and the like have no text; formulas have.  A head without an end tag ends at the first thing that cannot stand in it.  Character references are decoded; white space inside a block becomes one blank
 (a line break too); blocks are trimmed and joined by line breaks in page order; nothing else is dropped or cut.
 
 Defined cases: null and empty pages, and pages whose text is all left out, give an empty text; text outside of any element
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -41,9 +42,10 @@ SAMPLE = 150
 LAYOUTS = 4
 
 # Element names by their role in the HTML standard.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br input".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br input math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose mfenced msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd maction semantics annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("head script style noscript template title textarea select option svg math object iframe canvas audio video datalist".split())
+SILENT = frozenset("head script style noscript template title textarea select option svg object iframe canvas audio video datalist".split())
+HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME_CLOSE = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 SCOPE = frozenset("ul ol dl table body html".split())
@@ -102,6 +104,8 @@ class Page(HTMLParser):
                 self.runs.append((at, text))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "body" or tag not in HEAD:
+            self.leave_head(tag == "body")
         if tag in SILENT:
             self.end_run_for(tag)
             if tag not in VOID:
@@ -111,7 +115,7 @@ class Page(HTMLParser):
         here = self.open[-1][1]
         if tag in INLINE:
             self.nodes[here].elements += 1
-            if tag == "br":
+            if tag in ("br", "mtr", "mtd"):
                 self.held.append(" ")
             elif tag not in VOID:
                 self.links += tag == "a"
@@ -136,7 +140,7 @@ class Page(HTMLParser):
         self.open.append((tag, len(self.nodes) - 1))
 
     def end_run_for(self, tag: str) -> None:
-        if tag not in ("svg", "math", "object", "canvas"):
+        if tag not in ("svg", "object", "canvas"):
             self.end_run()
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -154,6 +158,14 @@ class Page(HTMLParser):
                 return
             self.drop(at)
 
+    def leave_head(self, wherever: bool = False) -> None:
+        """Closes a head whose end tag is left out: ``wherever`` it is open, or if nothing is open inside it."""
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i][0] == "head":
+                self.drop(i)
+            if not wherever:
+                return
+
     def close_open(self, names: tuple[str, ...]) -> None:
         """Closes the innermost open element of these names, if no list or table begins inside it."""
         for i in range(len(self.open) - 1, 0, -1):
@@ -170,6 +182,8 @@ class Page(HTMLParser):
         del self.open[at:]
 
     def handle_data(self, data: str) -> None:
+        if self.silent and data.strip():
+            self.leave_head()
         if not self.silent:
             self.held.append(data)
             if self.links:
@@ -187,6 +201,7 @@ def features(page: Page, worth: dict[str, float]) -> np.ndarray:
     nodes = page.nodes
     total = max(1, nodes[0].text)
     out = np.zeros((len(nodes), 24))
+    same = [Counter(nodes[c].tag for c in n.children) for n in nodes]
     place = {c: (k, len(n.children)) for n in nodes for k, c in enumerate(n.children)}
     for i, n in enumerate(nodes):
         own = [worth.get(t, 0.0) for t in (*n.tokens, "<" + n.tag)]
@@ -194,6 +209,7 @@ def features(page: Page, worth: dict[str, float]) -> np.ndarray:
         up = out[n.parent] if i else np.zeros(24)
         k, many = place.get(i, (0, 1))
         mother = nodes[n.parent] if i else n
+        alike = same[n.parent if i else 0][n.tag]
         out[i] = (
             min(tokens),
             max(tokens),
@@ -205,7 +221,7 @@ def features(page: Page, worth: dict[str, float]) -> np.ndarray:
             k,
             many,
             k / many,
-            sum(nodes[c].tag == n.tag for c in mother.children) / many if many < 200 else 1.0,
+            alike / many,
             math.log1p(n.text),
             n.text / total,
             n.text / (n.elements + 1),
