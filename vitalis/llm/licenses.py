@@ -2,8 +2,8 @@
 
 A text becomes its words (A-Z lowered, everything but letters, digits and non-ASCII characters a bound), joined by single
 blanks; a rule is a regex over that string, so rules do not care for case, punctuation or line breaks, and places are counted in
-words.  Each rule names a keyword without which it cannot match.  The keywords of a text are found first, in one pass; only the
-rules of found keywords are tried.
+words.  Each rule names keywords without which it cannot match; v and digits may be joined to them ("gplv2", "apache2").  The
+keywords of a text are found first, in one pass; only the rules of found keywords are tried.
 
 Rules are ordered: families from the most to the least telling (``PRIORITY``), then as listed.  Where one detection lies
 within another of the same or a higher priority, it is suppressed; of equal intervals the earlier rule's stays.  So
@@ -17,6 +17,7 @@ empty result.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -229,22 +230,31 @@ def _suppressed(found: Column) -> Column:
     return F.aggregate(ordered, start, step, lambda s: s["out"])
 
 
+def _stem(keyword: str) -> str:
+    """The keyword without a version joined to it."""
+    return re.sub(r"(?<=[a-z])v?[0-9]+$", "", keyword)
+
+
+def _gate() -> str:
+    """Regex of the stems of all keywords; behind a stem its word holds v and digits at most, so no word has two stems."""
+    stems = sorted({_stem(k) for r in rules() for k in r.keywords}, key=lambda k: (-len(k), k))
+    # a first letter and the letters after it: most words are turned away at their first character
+    by_letter: dict[str, list[str]] = {}
+    for k in stems:
+        by_letter.setdefault(k[0], []).append(k[1:])
+    return rf"(?<= )(?:{'|'.join(f'{a}(?:{"|".join(rest)})' for a, rest in sorted(by_letter.items()))})(?=v?[0-9]* )"
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, n_words, ``base`` (spans in words and labels of the base phrases) and ``detections``
     (spans, label, priority and weight of what the rules leave after suppression)."""
     every = rules()
-    keywords = sorted({k for r in every for k in r.keywords}, key=lambda k: (-len(k), k))
-    table = F.array(*(F.struct(F.lit(i).alias("rank"), F.lit(r.label).alias("label"), F.lit(_bounded(r.regex)).alias("regex"), F.array(*map(F.lit, r.keywords)).alias("keys"), F.lit(PRIORITY[r.family][0]).alias("priority"), F.lit(PRIORITY[r.family][1]).alias("weight")) for i, r in enumerate(every)))
-    # a first letter and the letters after it: most words are turned away at their first character
-    by_letter: dict[str, list[str]] = {}
-    for k in keywords:
-        by_letter.setdefault(k[0], []).append(k[1:])
-    keyword = _bounded("|".join(f"{a}(?:{'|'.join(rest)})" for a, rest in sorted(by_letter.items())))
+    table = F.array(*(F.struct(F.lit(i).alias("rank"), F.lit(r.label).alias("label"), F.lit(_bounded(r.regex)).alias("regex"), F.array(*map(F.lit, sorted(set(map(_stem, r.keywords))))).alias("keys"), F.lit(PRIORITY[r.family][0]).alias("priority"), F.lit(PRIORITY[r.family][1]).alias("weight")) for i, r in enumerate(every)))
     base = _bounded("|".join(p for p, _ in BASE))
 
     words = docs.select(key, normalised(F.col(text)).alias("__words"))
     words = words.withColumn("n_words", F.when(F.length("__words") <= 2, F.lit(0)).otherwise(_blanks(F.col("__words")) - 1).cast("long"))
-    words = words.withColumn("__keys", F.array_distinct(F.regexp_extract_all("__words", F.lit(keyword), F.lit(0))))
+    words = words.withColumn("__keys", F.array_distinct(F.regexp_extract_all("__words", F.lit(_gate()), F.lit(0))))
     phrases = F.regexp_extract_all("__words", F.lit(base), F.lit(0))
     places = _places(F.col("__words"), F.lit(base))
 
