@@ -2,6 +2,9 @@
 
 The others are tested in tests/llm against plain Python, the tokenizer libraries or an exact round trip: 1, 2 and 7 (places of
 regex matches, trained models), 4 (trained model), 5 (sampled splitters), 6 and 9 (merges, library, file format).
+
+DuckDB has no crc32: it is folded over the bytes with a table of 256 entries that the text computes.  12 is stated from the turns
+themselves: what the formatted text must read back as, and how long it is.
 """
 
 from __future__ import annotations
@@ -75,4 +78,101 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-SQL: dict[str, str] = {"op3_decontaminate": DECONTAMINATE, "op8_neardup": NEARDUP, "op10_quality": QUALITY}
+#: One row, t: the table of the reflected polynomial 0xEDB88320.
+_CRC_TABLE = "crc AS (SELECT list_transform(range(256), lambda c: list_reduce(list_concat([c], range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t)"
+
+
+def _crc(text: str) -> str:
+    """crc32 of the UTF-8 of ``text``, unsigned, where ``crc.t`` is in reach."""
+    nibble = "instr('0123456789ABCDEF', substr(hex({0}), {1}, 1)) - 1"
+    data = f"list_transform(range(0, strlen({text})), lambda j: 16 * ({nibble.format(text, '2 * j + 1')}) + {nibble.format(text, '2 * j + 2')})"
+    return f"xor(list_reduce(list_concat([4294967295], {data}), lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1])), 4294967295)"
+
+
+def _record(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """name(tree, k, pos, n, node): all levels over ``leaves``(tree, pos, n, node); name_steps: the siblings of each node."""
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS k, pos, n, node FROM {leaves}
+  UNION ALL
+  SELECT tree, k + 1, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY tree, k, pos // 8, n),
+{name}_steps AS (
+  SELECT tree, k, pos, coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') || '|' ||
+                       coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS step
+  FROM {name} WHERE n > 1 WINDOW run AS (PARTITION BY tree, k, pos // 8 ORDER BY pos)),
+{name}_paths AS (
+  SELECT l.tree, l.pos, list(s.step ORDER BY s.k) FILTER (s.step IS NOT NULL) AS path
+  FROM {leaves} l LEFT JOIN {name}_steps s ON s.tree = l.tree AND s.pos = l.pos // CAST(8 ** s.k AS BIGINT) GROUP BY l.tree, l.pos)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE {_CRC_TABLE},
+docs AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_record("text")} AS node,
+         CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN {_record("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+  FROM documents, crc),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, node) - 1 AS pos, COUNT(*) OVER (PARTITION BY tree) AS n FROM docs),
+{_tree("nodes", "leaves")},
+subroots AS (SELECT '' AS tree, tree AS name, row_number() OVER (ORDER BY tree) - 1 AS pos, COUNT(*) OVER () AS n, node FROM nodes WHERE n = 1),
+{_tree("tops", "subroots")},
+proved AS (
+  SELECT doc_id, l.node AS leaf, s.node AS subroot, (SELECT node FROM tops WHERE n = 1) AS root, coalesce(tampered, l.node) AS claim,
+         list_concat(coalesce(p.path, []), coalesce(q.path, [])) AS path
+  FROM leaves l JOIN nodes_paths p ON p.tree = l.tree AND p.pos = l.pos JOIN subroots s ON s.name = l.tree JOIN tops_paths q ON q.pos = s.pos),
+checked AS (SELECT *, list_reduce(list_concat([claim], path), lambda x, s: sha256(split_part(s, '|', 1) || x || split_part(s, '|', 2))) AS folded_root FROM proved)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM checked
+"""
+
+_HARD = "'</s>[INST] ok [/INST]'"
+# prefix and suffix by (role before, role); any other turn stands between marks that name its role
+_MARKS = r"""CASE
+  WHEN role = 'user' AND before IS NULL OR role = 'user' AND before = 'assistant' THEN length('<s>[INST] ') + length(' [/INST]')
+  WHEN role = 'system' AND before IS NULL THEN length('<s>[INST] <<SYS>>.') + length('.<</SYS>>..')
+  WHEN role = 'user' AND before = 'system' THEN length(' [/INST]')
+  WHEN role = 'assistant' AND before = 'user' THEN length(' ') + length(' </s>') END"""
+
+CHAT = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', {_HARD}), (-7, 1, 'assistant', {_HARD})),
+stepped AS (
+  SELECT *, last_value(CASE WHEN role IN ('user', 'assistant', 'system') THEN role END IGNORE NULLS)
+              OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place FROM turns),
+marked AS (
+  SELECT *, {_MARKS} AS marks,
+         length(text) + len(regexp_extract_all(text, '<\\*(?:s>|/s>|<SYS>>|</SYS>>|<TURN|</TURN>>)|\[\\*/?INST\]')) AS n_escaped FROM stepped)
+SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(SUM(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       SUM(n_escaped + coalesce(marks, length('<<TURN>>.') + coalesce(1 + length(url_encode(role)), 0) + length('.<</TURN>>')))::BIGINT AS formatted_chars,
+       bool_and(marks IS NOT NULL) AND coalesce(arg_max(role, place), '') = 'assistant' AS valid
+FROM marked GROUP BY conv_id
+"""
+
+VARIANTS = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+         FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)),
+counted AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS keyed, run, COUNT(*) AS c FROM runs WHERE length(run) >= 6 GROUP BY 1, 2),
+hashed AS (SELECT run, c, {_crc("keyed")} AS h FROM counted, crc),
+words AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, SUM(c)::BIGINT AS n
+          FROM hashed GROUP BY 1 HAVING length(word) >= 6 AND SUM(c) >= 5),
+cuts AS (SELECT word, n, p, substr(word, 1, p) || substr(word, p + 2) AS cut FROM (SELECT word, n, unnest(range(length(word))) AS p FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word),
+best AS (SELECT word, COUNT(*) AS n_near, MAX(n) AS form_n FROM near GROUP BY word),
+forms AS (SELECT w.word, MIN(near.other) AS form, b.form_n FROM words w JOIN best b USING (word) JOIN near ON near.word = w.word AND near.n = b.form_n
+          WHERE b.form_n >= 5 * w.n GROUP BY w.word, b.form_n),
+walk AS (SELECT word, form AS root FROM forms UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.root),
+roots AS (SELECT word, root FROM walk WHERE root NOT IN (SELECT word FROM forms))
+SELECT w.word, f.form, coalesce(r.root, w.word) AS root, w.n, coalesce(b.n_near, 0) AS n_near, f.form_n
+FROM words w LEFT JOIN forms f USING (word) LEFT JOIN roots r USING (word) LEFT JOIN best b USING (word)
+"""
+
+SQL: dict[str, str] = {"op3_decontaminate": DECONTAMINATE, "op8_neardup": NEARDUP, "op10_quality": QUALITY, "op11_merkle": MERKLE, "op12_chat": CHAT, "op13_variants": VARIANTS}

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm import bpe, decontaminate, html_extract, licenses, neardup, pii, quality, secrets, sharding, spans, tokenfile
-from vitalis.llm.scratch import folder
+from vitalis.llm import bpe, chat, decontaminate, html_extract, licenses, merkle, neardup, pii, quality, secrets, sharding, spans, tokenfile, variants
+from vitalis.llm.scratch import folder, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +98,36 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), folder(spark, "manifest")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.digest(*fields, lowered))
+    merkle.write(docs, path, carry={"tampered": tampered})
+    proved = merkle.proofs(spark, path).withColumn("folded_root", merkle.folded(F.coalesce("tampered", "node"), F.col("proof")))
+    return proved.select(
+        F.col("key").alias("doc_id"),
+        F.col("node").alias("leaf"),
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    formatted = written(chat.formatted(turns.union(extra), chat.INST), "chat")
+    return chat.read_back(formatted, chat.INST).select(F.col("key").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid")
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(variants.words(table(spark, sf_dir, "documents"), typo=199))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_secrets": op2_secrets,
@@ -109,4 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neardup": op8_neardup,
     "op9_tokenfile": op9_tokenfile,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
+    "op12_chat": op12_chat,
+    "op13_variants": op13_variants,
 }
