@@ -4,7 +4,10 @@
 import hashlib
 import math
 import os
+import subprocess
+import sys
 
+import __spark_entry__ as entry
 import duckdb
 import pandas as pd
 import pytest
@@ -66,3 +69,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns[:2] == ["patientid", "hour"]
     assert df.count() > 0
+
+
+def test_entry_without_the_training_data_operators():
+    """The entry still has every sensor key where the subpackage, or a library it needs, cannot be imported."""
+    code = "import sys; sys.modules['{}'] = None; import __spark_entry__ as e; from vitalis.plans import registry as r; assert set(e.queries()) == set(r.queries()) == set(e.oracle_sql()) and not e.HAS_LLM"
+    for missing in ("vitalis.llm", "corpus_pipeline", *(["tokenizers"] if entry.HAS_LLM else [])):
+        subprocess.run([sys.executable, "-c", code.format(missing)], cwd=os.path.dirname(entry.__file__), check=True)
+
+
+def test_queries_and_oracle_of_the_entry():
+    assert set(registry.queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
