@@ -106,10 +106,37 @@ def test_ranks_that_no_merges_make(tmp_path):
 def test_memo_stays_bounded(vocabulary):
     calls = []
     memo = pieces.Memo(lambda found: (calls.append(p) or p.encode() for p in found), limit=3)
-    assert memo.ids("a b c d e") == b"a b c d e" and memo.ids("x y") == b"x y" and len(memo.known) <= 5
+    assert memo.ids("a b c d e") == b"a b c d e" and memo.ids("x y") == b"x y" and memo.held <= 5
     assert b"".join(memo.ids(t) for t in ("a b c", "x y z")) == b"a b cx y z"
 
 
+def test_pieces_that_share_a_hash(monkeypatch):
+    monkeypatch.setattr(pieces.Memo, "_hashes", staticmethod(lambda data, at: (at[1:] - at[:-1]).astype(np.uint64) % 3))
+    memo = pieces.Memo(lambda found: (f"<{p}>".encode() for p in found), limit=200)
+    for t in texts(3000, 9):
+        assert memo.ids(t).decode() == "".join(f"<{p}>" for p in pieces.split(t)), t
+
+
+def test_many_texts_and_long_sections(monkeypatch):
+    """Chunks and sections of any size give what each text gives alone."""
+    found = texts(2000, 10, 40) + ["word " * 3000 + "'s 1 a  b", "", "x"]
+    whole = [pieces.split(t) for t in found]
+    for chunk, section in ((1, 1), (50, 7), (1000, 100)):
+        monkeypatch.setattr(pieces.Memo, "CHUNK", chunk)
+        monkeypatch.setattr(pieces.Memo, "SECTION", section)
+        memo = pieces.Memo(lambda new: (f"<{p}>".encode() for p in new), limit=500)
+        ids, counts = memo.ids_of(found)
+        assert [x.tobytes().decode() for x in np.split(ids, np.cumsum(counts)[:-1])] == ["".join(f"<{p}>" for p in ps) for ps in whole]
+
+
+def test_added_tokens_as_the_library(spark):
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert model.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    known = tokenfile.memo(public_tokenizers.path("byte_bpe_50k.json"))
+    for t in ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> x", "<|endoftext|><|endoftext|>", "<|endoftext", *texts(3000, 11)]:
+        assert known.ids_of([t])[0].tolist() == model.encode(t, add_special_tokens=False).ids, t
+
+
 def data(spark, tmp_path, rows):
     spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, start string, key long").write.parquet(str(tmp_path / "documents.parquet"))
     return str(tmp_path)
@@ -129,7 +156,6 @@ def test_op9(spark, tmp_path):
     rows = [(i * 3, t, 1, "x", 2) for i, t in enumerate([None, "", "word " * 20_000, *texts(300, 5, 60)])]
     random.Random(1).shuffle(rows)
     model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
     got = {r.doc_id: tuple(r)[1:] for r in queries.op9_tokenfile(spark, data(spark, tmp_path, rows)).collect()}
     start = 0
     for i, t, *_ in sorted(rows, key=lambda r: r[0]):

@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from vitalis.llm.pieces import Memo
+from vitalis.llm.pieces import Memo, _Store
 from vitalis.llm.scratch import map_arrow, ship
 
 NONE = -1
@@ -87,7 +87,13 @@ class Vocabulary:
 
     @functools.cached_property
     def memo(self) -> Memo:
-        return Memo(lambda found: (np.array(self.encode_piece(p.encode()), "<u4").tobytes() for p in found))
+        return Memo(lambda found: (np.array(self.encode_piece(p.encode()), "<u4").tobytes() for p in found), unit="<u4")
+
+    @functools.cached_property
+    def bytes_of(self) -> _Store:
+        out = _Store("u1")
+        out.add(self.entries)
+        return out
 
     def fits(self, a: int, b: int) -> bool:
         """Whether entries a and b can be neighbours in an encoding."""
@@ -145,7 +151,13 @@ class Vocabulary:
         return self.memo.ids(text)
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.entries.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.decoded(np.frombuffer(ids, "<u4"))[0].tobytes()
+
+    def decoded(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of ``ids`` one behind the other, and where those of each end."""
+        if len(ids) and int(ids.max()) >= len(self.entries):
+            raise IndexError("id outside the vocabulary")
+        return self.bytes_of.gather(ids.astype(np.int64))
 
 
 def read_ranks(path: str) -> Vocabulary:
@@ -166,6 +178,11 @@ def broadcast(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(read_ranks(path))
 
 
+def _binary(flat: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Binary values that lie one behind the other, ``at`` their bounds in bytes; in blocks of less than 2 GB by the caller."""
+    return pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
 def with_ids(docs: DataFrame, vocabulary: Broadcast, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """``docs`` with the encoded ``text`` as binary column ``ids``; with ``decoded``, in the same pass, what these ids decode to
     (``with_decoded`` does so for stored ids)."""
@@ -180,9 +197,13 @@ def with_ids(docs: DataFrame, vocabulary: Broadcast, text: str = "text", ids: st
         for batch in batches:
             for i in range(0, len(batch), ROWS_AT_ONCE):
                 part = batch.slice(i, ROWS_AT_ONCE)
-                found = [voc.encode(t or "") for t in part.column(at).to_pylist()]
-                back = [pa.array([voc.decode(x) for x in found], pa.binary())] if decoded else []
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary()), *back], names=schema.fieldNames())
+                found, counts = voc.memo.ids_of([t or "" for t in part.column(at).to_pylist()])
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                made = [_binary(found, ends * 4)]
+                if decoded:
+                    back, upto = voc.decoded(found)
+                    made.append(_binary(back, np.concatenate([[0], upto])[ends]))
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=schema.fieldNames())
 
     return map_arrow(docs, run, schema)
 

@@ -12,15 +12,18 @@ seven contractions are found where an apostrophe begins a piece.
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import regex
 from tokenizers.pre_tokenizers import ByteLevel
 
+from vitalis.llm import wordhash
+
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
-_TAILS = {"s": 1, "t": 1, "m": 1, "d": 1, "re": 2, "ve": 2, "ll": 2}
+_SAFE = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
 
 @functools.cache
@@ -40,28 +43,48 @@ def classes() -> np.ndarray:
     return out
 
 
-def starts(text: str) -> list[int]:
-    """Where the pieces of ``text`` begin."""
-    n = len(text)
-    if not n:
-        return []
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+_ONE = np.frombuffer("stmd".encode("utf-32-le"), np.uint32)
+_TWO = [tuple(map(ord, t)) for t in ("re", "ve", "ll")]
+
+
+def _begins(points: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Marks where a piece begins, for sections of text that lie one behind the other from ``heads`` on; none is empty."""
+    n = len(points)
     kind = classes()[points]
     begin = np.ones(n, bool)
     np.not_equal(kind[1:], kind[:-1], out=begin[1:])
+    head = np.zeros(n + 1, bool)
+    head[heads] = True
+    begin |= head[:n]
     space = kind == SPACE
     # the last space of a run, when a non-space follows: a blank goes to that piece, another space stands alone
-    last = np.flatnonzero(space[:-1] & ~space[1:])
+    last = np.flatnonzero(space[:-1] & ~space[1:] & ~head[1:n])
     begin[last] = True
-    blank = last[points[last] == 0x20]
-    begin[blank + 1] = False
-    for i in np.flatnonzero((points == 0x27) & begin).tolist():
-        tail = _TAILS.get(text[i + 1 : i + 2]) or _TAILS.get(text[i + 1 : i + 3])
-        if tail:
-            begin[i + 1] = False
-            if i + 1 + tail < n:
-                begin[i + 1 + tail] = True
-    return np.flatnonzero(begin).tolist()
+    begin[last[points[last] == 0x20] + 1] = False
+    quotes = np.flatnonzero((points == 0x27) & begin)
+    if len(quotes):
+        first, second = quotes + 1, quotes + 2
+        inside = (first < n) & ~head[np.minimum(first, n)]
+        c1 = points[np.minimum(first, n - 1)]
+        one = inside & np.isin(c1, _ONE)
+        inside &= (second < n) & ~head[np.minimum(second, n)]
+        c2 = points[np.minimum(second, n - 1)]
+        two = np.zeros(len(quotes), bool)
+        for a, b in _TWO:
+            two |= (c1 == a) & (c2 == b)
+        two &= inside
+        begin[first[one | two]] = False
+        after = np.concatenate([quotes[one] + 2, quotes[two] + 3])
+        begin[after[after < n]] = True
+    return begin
+
+
+def starts(text: str) -> list[int]:
+    """Where the pieces of ``text`` begin."""
+    if not text:
+        return []
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.flatnonzero(_begins(points, np.zeros(1, np.int64))).tolist()
 
 
 def split(text: str) -> list[str]:
@@ -69,22 +92,193 @@ def split(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(at, [*at[1:], len(text)], strict=True)] if at else []
 
 
+class _Store:
+    """Byte strings or ids of many entries in one array that grows."""
+
+    def __init__(self, unit: str):
+        self.flat, self.used = np.zeros(1 << 12, unit), 0
+        self.at, self.size, self.count = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64), 0
+
+    def add(self, parts: list[bytes]) -> None:
+        new = np.frombuffer(b"".join(parts), self.flat.dtype)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.flat.itemsize
+        while self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.count + len(parts) > len(self.at):
+            self.at, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size))
+        self.flat[self.used : self.used + len(new)] = new
+        here = slice(self.count, self.count + len(parts))
+        self.size[here] = sizes
+        self.at[here] = self.used + np.cumsum(sizes) - sizes
+        self.used += len(new)
+        self.count += len(parts)
+
+    def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of ``entries`` one behind the other, and where each ends."""
+        sizes = self.size[entries]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.flat[np.repeat(self.at[entries] - (ends - sizes), sizes) + np.arange(total)], ends
+
+
 class Memo:
-    """piece -> little-endian ids, computed by ``encode`` for pieces not seen yet.  Emptied when ``limit`` pieces are held,
-    so that it stays bounded; every piece is encoded in full either way."""
+    """piece -> ids, computed by ``encode`` (pieces to the bytes of their ids) for pieces not seen yet.
+
+    Pieces of many texts are found, hashed and looked up with numpy: a hash table with open places from a hash of the
+    piece's bytes to its entry.  The bytes of an entry are compared with those of the piece, so a hash that two pieces
+    share changes nothing.  Emptied when more than ``limit`` pieces would be held, so that it stays bounded; every piece is
+    encoded in full either way.  ``unit``: the type of an id.  ``special``: strings that are one piece wherever they stand;
+    the leftmost, then the longest one counts."""
+
+    CHUNK, SECTION = 1 << 17, 1 << 20
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = 400_000):
-        self.encode, self.limit, self.known = encode, limit, {}
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = 400_000, unit: str = "u1", special: Iterable[str] = ()):
+        self.encode, self.limit, self.unit = encode, limit, unit
+        self.special = sorted(special, key=len, reverse=True)
+        self._cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.bits = max(10, (4 * limit).bit_length())
+        self._clear()
+
+    def _clear(self) -> None:
+        self.held = 0
+        self.slot_hash, self.slot_entry = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int64)
+        self.pieces, self.values = _Store("u1"), _Store(self.unit)
+        self.odd: dict[str, int] = {}  # pieces whose hash another piece has
 
     def ids(self, text: str) -> bytes:
-        found = split(text)
-        known = self.known
-        try:
-            return b"".join([known[p] for p in found])
-        except KeyError:
-            new = list({p for p in found if p not in known})
-            if len(known) + len(new) > self.limit:
-                known.clear()
-                new = list(set(found))
-            known.update(zip(new, self.encode(new), strict=True))
-            return b"".join([known[p] for p in found])
+        return self.ids_of([text])[0].tobytes()
+
+    def ids_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``texts`` one behind the other, and how many each text has."""
+        counts = np.zeros(len(texts), np.int64)
+        out, held, owners, forced, total = [], [], [], [], 0
+
+        def flush() -> None:
+            nonlocal held, owners, forced, total
+            if held:
+                ids, sizes = self._chunk(held, np.array(forced, bool))
+                np.add.at(counts, owners, sizes)
+                out.append(ids)
+            held, owners, forced, total = [], [], [], 0
+
+        for i, t in enumerate(texts):
+            for section, special in self._sections(t):
+                held.append(section)
+                owners.append(i)
+                forced.append(special)
+                total += len(section)
+                if total >= self.CHUNK:
+                    flush()
+        flush()
+        return np.concatenate(out) if out else np.zeros(0, self.unit), counts
+
+    def _sections(self, text: str) -> Iterator[tuple[str, bool]]:
+        """Parts of a text that can be split on their own: special strings, and long texts cut before a blank between two letters
+        or digits, where a piece always ends."""
+        cut = self._cut is not None and any(s in text for s in self.special)
+        for k, part in enumerate(self._cut.split(text) if cut else (text,)):
+            if k % 2:
+                yield part, True
+                continue
+            at = 0
+            while len(part) - at > self.SECTION and (m := _SAFE.search(part, at + self.SECTION)):
+                yield part[at : m.start()], False
+                at = m.start()
+            if at < len(part):
+                yield part[at:] if at else part, False
+
+    def _chunk(self, sections: list[str], forced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of sections one behind the other, and how many each has."""
+        text = "".join(sections)
+        sizes = np.fromiter(map(len, sections), np.int64, len(sections))
+        ends = np.cumsum(sizes)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        begin = _begins(points, ends - sizes)
+        for k in np.flatnonzero(forced):
+            begin[ends[k] - sizes[k] + 1 : ends[k]] = False
+        at = np.flatnonzero(begin)
+        at = np.append(at, len(points))
+        if len(data) == len(points):
+            byte_at = at
+        else:
+            width = np.ones(len(points), np.int64)
+            for least in (0x80, 0x800, 0x10000):
+                width += points >= least
+            byte_at = np.concatenate([[0], np.cumsum(width)])[at]
+        hashes = self._hashes(data, byte_at)
+        entries = self._found(hashes)
+        self._compare(entries, data, byte_at)
+        new = np.flatnonzero(entries < 0)
+        if len(new):
+            self._learn(text, at, hashes, entries, new)
+        ids, id_ends = self.values.gather(entries)
+        upto = np.concatenate([[0], id_ends])[np.searchsorted(at, ends)]
+        return ids, np.diff(upto, prepend=0)
+
+    @staticmethod
+    def _hashes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return wordhash.ranges(data, at[:-1], at[1:])
+
+    def _found(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry with each hash, -1 for none."""
+        mask = np.uint64((1 << self.bits) - 1)
+        slot = (hashes & mask).astype(np.int64)
+        entries = self.slot_entry[slot]
+        open_ = np.flatnonzero((entries >= 0) & (self.slot_hash[slot] != hashes))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & int(mask)
+            entries[open_] = self.slot_entry[slot[open_]]
+            open_ = open_[(entries[open_] >= 0) & (self.slot_hash[slot[open_]] != hashes[open_])]
+        return entries
+
+    def _compare(self, entries: np.ndarray, data: np.ndarray, at: np.ndarray) -> None:
+        """Sets entries whose bytes are not the piece's to -1."""
+        sizes = np.diff(at)
+        entries[(entries >= 0) & (self.pieces.size[entries] != sizes)] = -1
+        known = np.flatnonzero(entries >= 0)
+        held, ends = self.pieces.gather(entries[known])
+        if len(known) < len(entries):
+            data = data[np.repeat(entries >= 0, sizes)]
+        wrong = np.flatnonzero(held != data)
+        if len(wrong):
+            entries[known[np.unique(np.searchsorted(ends, wrong, side="right"))]] = -1
+
+    def _learn(self, text: str, at: np.ndarray, hashes: np.ndarray, entries: np.ndarray, new: np.ndarray) -> None:
+        """Encodes the pieces at ``new`` that are not known, keeps them and sets their entries."""
+        found = {int(i): text[at[i] : at[i + 1]] for i in new}
+        if self.held + len(fresh := dict.fromkeys(p for p in found.values() if p not in self.odd)) > self.limit:
+            self._clear()
+            found = {i: text[at[i] : at[i + 1]] for i in range(len(entries))}
+            fresh = dict.fromkeys(found.values())
+        names = list(fresh)
+        place = {p: self.held + k for k, p in enumerate(names)}
+        self.pieces.add([p.encode("utf-8", "surrogatepass") for p in names])
+        self.values.add(list(self.encode(names)))
+        self.held += len(names)
+        own = {}
+        for i, p in found.items():
+            if p in place:
+                entries[i] = place[p]
+                own[p] = i
+            else:
+                entries[i] = self.odd[p]
+        if own:
+            self._insert(list(own), hashes[list(own.values())], place)
+
+    def _insert(self, names: list[str], hashes: np.ndarray, place: dict[str, int]) -> None:
+        taken = self._found(hashes) >= 0
+        _, first = np.unique(hashes, return_index=True)
+        taken[np.setdiff1d(np.arange(len(names)), first)] = True
+        for k in np.flatnonzero(taken):
+            self.odd[names[k]] = place[names[k]]
+        waiting = np.flatnonzero(~taken)
+        entry = np.fromiter((place[p] for p in names), np.int64, len(names))
+        slot = (hashes & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+        while len(waiting):
+            free = waiting[self.slot_entry[slot[waiting]] < 0]
+            _, first = np.unique(slot[free], return_index=True)
+            free = free[first]
+            self.slot_entry[slot[free]], self.slot_hash[slot[free]] = entry[free], hashes[free]
+            waiting = np.setdiff1d(waiting, free)
+            slot[waiting] = (slot[waiting] + 1) & ((1 << self.bits) - 1)

@@ -35,6 +35,7 @@ from vitalis.llm.pieces import Memo
 from vitalis.llm.scratch import folder, map_arrow
 
 BLOCK_TOKENS = 1 << 18
+TEXTS_AT_ONCE = 256
 _MEMOS: dict[str, Memo] = {}
 
 
@@ -48,18 +49,27 @@ def _byte_letters() -> list[str]:
 
 def memo(path: str) -> Memo:
     """The library's model behind a memo of pieces; one for each worker process.  The piece bounds are those of the file's
-    byte-level pre-tokenizer; strings of special tokens in a text are ordinary text."""
+    byte-level pre-tokenizer; the file's added tokens are one id each, as the library has them by default."""
     if path not in _MEMOS:
-        model, letters = Tokenizer.from_file(path).model, _byte_letters()
+        library, letters = Tokenizer.from_file(path), _byte_letters()
+        model, added = library.model, {t.content: i for i, t in library.get_added_tokens_decoder().items()}
 
         def encode(found: list[str]) -> Iterator[bytes]:
             for p in found:
-                yield np.array([t.id for t in model.tokenize("".join([letters[b] for b in p.encode()]))], "<u4").tobytes()
+                ids = [added[p]] if p in added else [t.id for t in model.tokenize("".join([letters[b] for b in p.encode()]))]
+                yield np.array(ids, "<u4").tobytes()
 
-        _MEMOS[path] = Memo(encode, 800_000)
+        _MEMOS[path] = Memo(encode, 800_000, "<u4", added)
     return _MEMOS[path]
 
 
+def _ids(known: Memo, column: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of each text, some hundred texts at a time."""
+    for i in range(0, len(column), TEXTS_AT_ONCE):
+        found, counts = known.ids_of([t or "" for t in column.slice(i, TEXTS_AT_ONCE).to_pylist()])
+        yield from np.split(found, np.cumsum(counts)[:-1])
+
+
 def _plain_blocks(docs: DataFrame, key: str, text: str, path: str, end_id: int) -> DataFrame:
     """Rows part, block, keys, n_tokens, ids (little-endian; two bytes an id where the vocabulary allows)."""
     kind = docs.schema[key].dataType
@@ -67,23 +77,22 @@ def _plain_blocks(docs: DataFrame, key: str, text: str, path: str, end_id: int)
     small = max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1) <= 1 << 16
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = memo(path).ids, np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
         part, block = TaskContext.get().partitionId(), 0
         keys, sizes, held, total = [], [], [], 0
 
         def row(like: pa.Array) -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
+            ids = np.concatenate(held)
             packed = ids.astype("<u2") if small else ids
             columns = [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), pa.array(keys, like.type)), pa.array([sizes], pa.list_(pa.int64())), pa.array([packed.tobytes()], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
         for batch in batches:
             like = batch.column(0)
-            for k, t in zip(like.to_pylist(), batch.column(1), strict=True):
-                ids = ids_of(t.as_py() or "") + end
+            for k, ids in zip(like.to_pylist(), _ids(memo(path), batch.column(1)), strict=True):
                 keys.append(k)
-                sizes.append(len(ids) // 4)
-                held.append(ids)
+                sizes.append(len(ids) + 1)
+                held += ids, end
                 total += sizes[-1]
                 if total >= BLOCK_TOKENS:
                     yield row(like)

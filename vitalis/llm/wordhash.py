@@ -132,6 +132,15 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         i = j
 
 
+def ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ranges of bytes, none of which is empty."""
+    n = len(data)
+    up, down = _powers(max(n, 1))
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up[:n] if n else np.zeros(0, np.uint64), out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts])
+
+
 def words(column: pa.Array, byte_map: np.ndarray) -> Iterator[Words]:
     for first, data, at in chunks(column):
         n = len(data)
@@ -147,8 +156,5 @@ def words(column: pa.Array, byte_map: np.ndarray) -> Iterator[Words]:
             stop[:-1] = inside[:-1] & (~inside[1:] | begin[1:])
             stop[-1] = inside[-1]
         ends = np.flatnonzero(stop) + 1
-        up, down = _powers(max(n, 1))
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[b] * up[:n] if n else np.zeros(0, np.uint64), out=total[1:])
-        hashes = mix((total[ends] - total[starts]) * down[starts])
+        hashes = ranges(b, starts, ends)
         yield Words(first, hashes, np.searchsorted(starts, at), starts, ends, data, at)
