@@ -3,10 +3,11 @@
 import random
 
 import brute
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from vitalis.llm import decontaminate, licenses, pii, quality, queries, secrets, spans
+from vitalis.llm import decontaminate, licenses, oracle, pii, quality, queries, secrets, spans
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words long, hits int, email string"
 LONG = "word " * 30_000
@@ -77,6 +78,32 @@ def test_quality_rejects_junk_and_keeps_good(spark, folder):
     assert ids == set(range(3000))
 
 
+def strata(spark):
+    """English and null texts prove cutoffs, five French ones and one text in 3,000 copies (Spanish) do not, Greek has no labels."""
+    rng = random.Random(6)
+    words = lambda n: [rng.choice(["then", "other", "words", "stand", "here", "again", "and", "there"]) + str(rng.randint(0, 99)) for _ in range(n)]
+    plain, junk = (lambda: " ".join(words(60))), (lambda: " ".join(w + "##" for w in words(60)))
+    rows = [("en", plain(), 1) for _ in range(1500)] + [("en", junk(), 0) for _ in range(200)] + [(None, plain(), 1) for _ in range(1500)] + [(None, junk(), 0) for _ in range(200)]
+    rows += [("fr", junk(), 1) for _ in range(5)] + [("es", good := plain(), 1)] * 3000 + [("es", junk(), 0) for _ in range(300)] + [("el", junk(), None) for _ in range(20)] + [("*", junk(), None)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t, _) in enumerate(rows)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, q) for i, (_, _, q) in enumerate(rows) if q is not None], "doc_id long, quality int")
+    return rows, docs, labels
+
+
+def test_quality_strata_stand_on_their_own(spark, tmp_path):
+    rows, docs, labels = strata(spark)
+    want = {i for i, (lang, t, _) in enumerate(rows) if "##" not in t or lang not in ("en", None)}
+    assert {r.doc_id for r in quality.keep_good(docs.withColumn("__n_words", F.lit("x")), labels).collect()} == want
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    got = {tuple(r) for r in queries.op10_quality(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert got == set(con.execute(oracle.SQL["op10_quality"]).fetchall())
+    assert {r[0] for r in got if r[-1]} == want
+
+
 def test_decontamination(spark, folder):
     words = [f"w{i}" for i in range(12)]
     rng = random.Random(2)

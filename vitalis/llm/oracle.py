@@ -57,14 +57,14 @@ grams AS (SELECT rid, k, COUNT(*) OVER (PARTITION BY rid, g) AS c
 repeated AS (SELECT rid, COUNT(DISTINCT p) AS n FROM (SELECT rid, unnest(range(k, k + 3)) AS p FROM grams WHERE c > 1) GROUP BY rid),
 line_list AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM raw),
 lines AS (SELECT rid, COUNT(*) AS n, COUNT(DISTINCT line) AS d FROM line_list WHERE regexp_matches(line, '{_SPACED}') GROUP BY rid),
-stats AS (SELECT raw.rid, doc_id, lang, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+stats AS (SELECT raw.rid, doc_id, lang, sha256(t) AS same, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
                  len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(lines.n, 0) AS n_lines, coalesce(lines.n - lines.d, 0) AS n_dup_lines,
                  coalesce(repeated.n, 0) AS n_repeat_words, len(regexp_extract_all(t, '[A-Z]')) AS n_upper
           FROM raw LEFT JOIN lines USING (rid) LEFT JOIN repeated USING (rid)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM stats),
-measured AS (SELECT rid, doc_id, lang, base_failed, unnest([{_MEASURES}], recursive := true) FROM judged),
+measured AS (SELECT rid, doc_id, coalesce('=' || lang, '') AS stratum, same, base_failed, unnest([{_MEASURES}], recursive := true) FROM judged),
 known AS (SELECT doc_id, MAX(quality) > 0 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
-held AS (SELECT coalesce(lang, '*') AS stratum, good, rule, v FROM measured JOIN known USING (doc_id) WHERE NOT base_failed),
+held AS (SELECT stratum, rule, bool_or(good) AS good, any_value(v) AS v FROM measured JOIN known USING (doc_id) WHERE NOT base_failed GROUP BY stratum, same, rule),
 grid AS (SELECT * FROM (VALUES {_GRID}) g(rule, i, cut)),
 counted AS (SELECT stratum, rule, i, cut, COUNT(*) FILTER (good) AS n, COUNT(*) FILTER (good AND v > cut) AS k, COUNT(*) FILTER (NOT good AND v > cut) AS caught
             FROM held JOIN grid USING (rule) GROUP BY ALL),
@@ -73,7 +73,7 @@ tested AS (SELECT *, CASE WHEN k >= n THEN 1.0 ELSE list_sum(list_transform(rang
 proved AS (SELECT *, bool_and(k <= {_LIMIT} * n AND p <= 0.05 / ((SELECT COUNT(DISTINCT stratum) FROM held) * {len(RULES)}))
                      OVER (PARTITION BY stratum, rule ORDER BY i) AS ok FROM tested),
 cutoffs AS (SELECT stratum, rule, arg_max(cut, (caught - 20 * k, -i)) AS cut FROM proved WHERE ok AND caught - 20 * k > 0 GROUP BY 1, 2),
-rejected AS (SELECT DISTINCT rid FROM measured m JOIN cutoffs c ON c.rule = m.rule AND c.stratum = coalesce(m.lang, '*') WHERE m.v > c.cut)
+rejected AS (SELECT DISTINCT rid FROM measured JOIN cutoffs USING (stratum, rule) WHERE v > cut)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rid NOT IN (SELECT rid FROM rejected) AS kept
 FROM judged
 """

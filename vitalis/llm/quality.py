@@ -10,9 +10,11 @@ proved cutoffs hold at once, so the one used is free to choose: the one with the
 ``bad rejected - cost * good rejected``, the mildest of equals.  A rule that is not proved in a stratum, or that catches
 nothing there, rejects nothing there.
 
-Defined cases: a null or empty text has no words and fails the base rule; a null stratum is the pooled stratum; labels with
+Defined cases: a null or empty text has no words and fails the base rule; a null stratum is a stratum like any other; labels with
 a null id or null quality are ignored and an id labelled twice counts as good if any of its labels is good; a labelled id
-found on several rows counts once for each row.  Empty tables give empty results.
+found on several rows counts for each of its texts; copies of a text in a stratum are one trial, good if any of them is.  A
+stratum without labels has only the base rule.  Other columns are kept as they are, whatever their names (``keep_good``).  Empty
+tables give empty results.
 """
 
 from __future__ import annotations
@@ -22,17 +24,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalis.llm import wordhash
-from vitalis.llm.scratch import map_arrow, written
+from vitalis.llm.scratch import free_prefix, map_arrow, ship, written
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper")
 SYMBOLS = b"#*$%&|<>"
-POOLED = "*"
 
 
 @dataclass(frozen=True)
@@ -150,9 +152,10 @@ class Counts:
     bad_above: list[int]
 
 
-def select_cutoffs(counts: dict[tuple[str, str], Counts], risk: float, delta: float, cost: float, rules: tuple[Rule, ...] = RULES) -> dict[tuple[str, str], float]:
-    """Cutoff by (stratum, rule) for those that are proved and catch something."""
-    strata = len({s for s, _ in counts}) or 1
+def select_cutoffs(counts: dict[tuple[str, str], Counts], risk: float, delta: float, cost: float, rules: tuple[Rule, ...] = RULES, strata: int | None = None) -> dict[tuple[str, str], float]:
+    """Cutoff by (stratum, rule) for those that are proved and catch something.  ``strata``: how many there are in all, if
+    ``counts`` has only some of them."""
+    strata = strata or len({s for s, _ in counts}) or 1
     level, limit = delta / (strata * len(rules)), risk / len(rules)
     out = {}
     for (stratum, name), c in counts.items():
@@ -166,57 +169,69 @@ def select_cutoffs(counts: dict[tuple[str, str], Counts], risk: float, delta: fl
     return out
 
 
-def fit_cutoffs(stats: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", quality: str = "quality", prefix: str = "", risk: float = 0.05, delta: float = 0.05, cost: float = 20.0, max_strata: int = 64, rules: tuple[Rule, ...] = RULES) -> dict[tuple[str, str], float]:
-    """Cutoffs by (stratum, rule) from the labelled rows of ``stats`` (see ``with_stats``).
+def _stratum(stratum: str) -> Column:
+    """The stratum as a string without nulls."""
+    return F.when(F.col(stratum).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(stratum).cast("string")))
 
-    Every label is used.  The ``max_strata`` values of ``stratum`` with the most labels are strata of their own; all
-    others and nulls are pooled as one stratum, so what reaches the driver is bounded: strata * rules * grid counts."""
+
+def fit_cutoffs(stats: DataFrame, labels: DataFrame, same: str, key: str = "doc_id", stratum: str = "lang", quality: str = "quality", prefix: str = "", risk: float = 0.05, delta: float = 0.05, cost: float = 20.0, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """One row per stratum with a proved cutoff: stratum (see ``_stratum``) and the cutoff of each rule, null where it has none.
+
+    Every label is used and every labelled value of ``stratum`` is a stratum of its own.  ``same`` is the column of ``stats`` that
+    tells texts apart: copies of a text are one trial, not many."""
     known = labels.where(F.col(key).isNotNull() & F.col(quality).isNotNull()).groupBy(F.col(key).alias("__key")).agg((F.max(quality) > 0).alias("__good"))
-    held = stats.select(F.col(key).alias("__key"), F.col(stratum).alias("__stratum"), *(_value(r, prefix).alias(r.name) for r in rules), base_failed(prefix).alias("__base"))
-    held = written(held.join(known, "__key").where(~F.col("__base")).drop("__key", "__base"), "holdout")
-    top = held.where(F.col("__stratum").isNotNull()).groupBy("__stratum").count().orderBy(F.desc("count"), "__stratum").limit(max_strata)
-    own = sorted(r[0] for r in top.collect())
+    held = stats.where(~base_failed(prefix)).select(F.col(key).alias("__key"), _stratum(stratum).alias("stratum"), F.col(same).alias("__same"), *(_value(r, prefix).alias(r.name) for r in rules))
+    trials = held.join(known, "__key").groupBy("stratum", "__same").agg(F.max("__good").alias("good"), *(F.first(r.name).alias(r.name) for r in rules))
 
     def passes(rule: Rule) -> Column:
         """How many cutoffs of the grid the measure lies above."""
         return F.size(F.filter(F.array(*map(F.lit, rule.grid)), lambda cutoff: F.col(rule.name) > cutoff))
 
     passed = [F.struct(F.lit(r.name).alias("rule"), passes(r).alias("passed")) for r in rules]
-    counted = held.select(F.when(F.col("__stratum").isin(own), F.col("__stratum")).otherwise(F.lit(POOLED)).alias("stratum"), "__good", F.explode(F.array(*passed)).alias("x"))
-    counts: dict[tuple[str, str], Counts] = {}
-    for r in counted.groupBy("stratum", "x.rule", "x.passed", "__good").count().collect():
-        size = next(len(x.grid) for x in rules if x.name == r["rule"])
-        c = counts.setdefault((r["stratum"], r["rule"]), Counts(0, [0] * size, [0] * size))
-        if r["__good"]:
-            c.good += r["count"]
-        above = c.good_above if r["__good"] else c.bad_above
-        for i in range(size - r["passed"], size):  # the last cutoffs of a grid are the lowest
-            above[i] += r["count"]
-    return select_cutoffs(counts, risk, delta, cost, rules)
-
-
-def rejected(cutoffs: dict[tuple[str, str], float], stratum: str = "lang", prefix: str = "", rules: tuple[Rule, ...] = RULES) -> Column:
-    """True where any rule's measure lies above its cutoff; ``POOLED`` cutoffs hold for every value without its own."""
-    named = sorted({s for s, _ in cutoffs if s != POOLED})
-    out = F.lit(False)
+    counted = written(trials.select("stratum", "good", F.explode(F.array(*passed)).alias("x")).groupBy("stratum", "x.rule", "x.passed", "good").count(), "trials")
+    strata = counted.select("stratum").distinct().count()
+    schema = T.StructType([T.StructField("stratum", T.StringType()), *(T.StructField(r.name, T.DoubleType()) for r in rules)])
+
+    def choose(part: pd.DataFrame) -> pd.DataFrame:
+        """Of one stratum: at most two rows for each cutoff."""
+        counts: dict[tuple[str, str], Counts] = {}
+        for s, name, beyond, good, c in part[["stratum", "rule", "passed", "good", "count"]].itertuples(index=False):
+            size = next(len(x.grid) for x in rules if x.name == name)
+            one = counts.setdefault((s, name), Counts(0, [0] * size, [0] * size))
+            if good:
+                one.good += c
+            above = one.good_above if good else one.bad_above
+            for i in range(size - beyond, size):  # the last cutoffs of a grid are the lowest
+                above[i] += c
+        cut = select_cutoffs(counts, risk, delta, cost, rules, strata)
+        return pd.DataFrame([[s, *(cut.get((s, r.name)) for r in rules)] for s in {s for s, _ in cut}], columns=schema.fieldNames())
+
+    ship(stats.sparkSession)
+    return written(counted.groupBy("stratum").applyInPandas(choose, schema), "cutoffs")
+
+
+def with_rejected(stats: DataFrame, cutoffs: DataFrame, name: str, stratum: str = "lang", prefix: str = "", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``stats`` with a column ``name``: whether any rule's measure lies above its cutoff in the row's stratum.  Without labels a
+    stratum has no cutoffs.  The table of cutoffs is stored, so Spark knows its size and broadcasts it only if it is small."""
+    cut = cutoffs.select(F.col("stratum").alias(name + "_at"), *(F.col(r.name).alias(f"{name}_{r.name}") for r in rules))
+    above = F.lit(False)
     for r in rules:
-        cut = F.when(F.lit(False), F.lit(0.0))
-        for s in named:
-            cut = cut.when(F.col(stratum) == s, F.lit(cutoffs.get((s, r.name))).cast("double"))
-        cut = cut.otherwise(F.lit(cutoffs.get((POOLED, r.name))).cast("double"))
-        out = out | F.coalesce(_value(r, prefix) > cut, F.lit(False))
-    return out
+        above = above | F.coalesce(_value(r, prefix) > F.col(f"{name}_{r.name}"), F.lit(False))
+    return stats.join(cut, _stratum(stratum) == F.col(name + "_at"), "left").withColumn(name, above).drop(*cut.columns)
 
 
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = 0.05, delta: float = 0.05) -> DataFrame:
     """One row per row of ``docs``: key, stratum, STATS, base_failed, kept."""
-    stats = written(with_stats(docs.select(key, stratum, text), text).drop(text), "quality")
-    cutoffs = fit_cutoffs(stats, labels, key, stratum, risk=risk, delta=delta)
-    return stats.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejected(cutoffs, stratum))
+    stats = written(with_stats(docs.select(key, stratum, text, F.md5(text).alias("__same")), text).drop(text), "quality")
+    cutoffs = fit_cutoffs(stats, labels, "__same", key, stratum, risk=risk, delta=delta)
+    return with_rejected(stats.drop("__same"), cutoffs, "__rejected", stratum).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~F.col("__rejected")).drop("__rejected")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = 0.05, delta: float = 0.05) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns: statistics for the cutoffs first, then one filtering pass."""
-    stats = with_stats(docs.select(key, stratum, text), text, "__").drop(text)
-    cutoffs = fit_cutoffs(stats, labels, key, stratum, prefix="__", risk=risk, delta=delta)
-    return with_stats(docs, text, "__").where(~base_failed("__") & ~rejected(cutoffs, stratum, "__")).drop(*("__" + s for s in STATS))
+    own = free_prefix(docs)
+    same = own + "same"
+    stats = with_stats(docs.select(key, stratum, text, F.md5(text).alias(same)), text, own).drop(text)
+    cutoffs = fit_cutoffs(stats, labels, same, key, stratum, prefix=own, risk=risk, delta=delta)
+    measured = with_stats(docs, text, own).where(~base_failed(own))
+    return with_rejected(measured, cutoffs, own + "rejected", stratum, own).where(~F.col(own + "rejected")).select(docs.columns)

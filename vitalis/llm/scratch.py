@@ -31,6 +31,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_prefix(df: DataFrame) -> str:
+    """Underscores that no column of ``df`` begins with, for columns that an operator adds on the way."""
+    out = "__"
+    while any(c.startswith(out) for c in df.columns):
+        out += "_"
+    return out
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers once per application, as ``--py-files`` would."""
     app = spark.sparkContext.applicationId
