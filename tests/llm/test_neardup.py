@@ -6,6 +6,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from vitalis.llm import neardup, queries, wordhash
 
@@ -72,6 +73,19 @@ def test_keep_one_with_five_words(spark):
     assert got == sorted([(False, i) for i, (_, c) in want.items() if c == i] + [(True, 0)])
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(7, a), (7, b), (7, None), (7, None), (7, ""), (8, b + " more"), (9, c), (9, c), (9, c), (3, c + " end"), (-5, "few words"), (4, "few words"), (None, a), (None, None)]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, __node int, node string")
+    kept = neardup.keep_one(docs)
+    assert kept.columns == docs.columns
+    want = [(7, a), (7, b), (7, None), (7, ""), (3, c + " end"), (-5, "few words"), (None, a), (None, None)]
+    plain = lambda rs: sorted((r[0] is None, r[0] or 0, r[1] is None, r[1] or "") for r in rs)
+    assert plain(kept.collect()) == plain(want)
+    named = docs.withColumn("doc_id", F.concat(F.lit("id"), F.col("doc_id").cast("string")))
+    assert sorted((r[0] or "", r[1] or "") for r in neardup.keep_one(named).collect()) == sorted((f"id{i}" if i is not None else "", t or "") for i, t in want)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(400, 450)]

@@ -25,15 +25,16 @@ linked by any of its texts.  An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalis.llm import wordhash
-from vitalis.llm.scratch import map_arrow, written
+from vitalis.llm.scratch import free_prefix, map_arrow, written
 
 _U = np.uint64
 
@@ -222,14 +223,27 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("component") == F.col("key"), F.lit(True)).alias("kept"))
 
 
+def _node(docs: DataFrame, key: str, text: str) -> Column:
+    """A node for each text of an id, in the order of the ids: the id, then 63 bits of the text's hash.  Null for a null id."""
+    h = F.xxhash64(text)
+    if isinstance(docs.schema[key].dataType, T.IntegralType):
+        shifted = F.col(key).cast("decimal(19,0)") * F.lit(Decimal(1 << 63)).cast("decimal(19,0)")
+        return (shifted + F.shiftrightunsigned(h, 1).cast("decimal(19,0)")).cast("decimal(38,0)")
+    return F.concat(F.col(key).cast("string"), F.lit("\x00"), F.hex(h))
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: tuple[int, int] = (80, 100), bands: int = 48, rows: int = 6) -> DataFrame:
-    """``docs`` without the rows whose component has a lesser id, with all their columns.  Of rows with one id the one with
-    the least text stays (a null text is least); rows with a null id stay."""
-    gone = link(docs, key, text, shingle, similarity, bands, rows).where(~F.col("kept")).select(key).distinct()
-    kept = docs.join(gone, key, "leftanti").select(docs.columns)
+    """One row of each component of ``docs``, the one with the least id, with all its columns.  Rows of one id are documents of
+    their own: they are linked by their texts like any others, and rows equal in id and text are one.  Rows without words are
+    linked with nothing and stay, once for each id and text; rows with a null id stay."""
+    own = free_prefix(docs)
     repeated = written(docs.groupBy(key).count().where(F.col(key).isNotNull() & (F.col("count") > 1)).select(key), "repeated")
     if repeated.isEmpty():
-        return kept
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.col(text).asc_nulls_first()))
-    first = kept.join(repeated, key, "leftsemi").select(docs.columns).withColumn("__rank", rank).where("__rank = 1").drop("__rank")
-    return kept.join(repeated, key, "leftanti").select(docs.columns).union(first)
+        gone = link(docs, key, text, shingle, similarity, bands, rows).where(~F.col("kept")).select(key).distinct()
+        return docs.join(gone, key, "leftanti").select(docs.columns)
+    noded = docs.withColumn(own + "node", _node(docs, key, text))
+    gone = link(noded.select(own + "node", text), own + "node", text, shingle, similarity, bands, rows).where(~F.col("kept")).select(own + "node").distinct()
+    kept = noded.join(gone, own + "node", "leftanti").select(noded.columns)
+    # equal rows of an id: one each, chosen by a partial aggregation
+    one = kept.join(repeated, key, "leftsemi").groupBy(own + "node").agg(F.first(F.struct(*docs.columns)).alias("row"))
+    return kept.join(repeated, key, "leftanti").select(docs.columns).union(one.select(*(F.col("row")[c].alias(c) for c in docs.columns)))
