@@ -87,12 +87,12 @@ class Vocabulary:
 
     @functools.cached_property
     def memo(self) -> Memo:
-        return Memo(lambda found: (np.array(self.encode_piece(p.encode()), "<u4").tobytes() for p in found), unit="<u4")
+        return Memo(lambda found: (self.encode_piece(p.encode()) for p in found), unit="<u4")
 
     @functools.cached_property
     def bytes_of(self) -> _Store:
         out = _Store("u1")
-        out.add(self.entries)
+        out.add(np.frombuffer(b"".join(self.entries), np.uint8), np.array(list(map(len, self.entries)), np.int64))
         return out
 
     def fits(self, a: int, b: int) -> bool:

@@ -14,7 +14,8 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import regex
@@ -99,19 +100,18 @@ class _Store:
         self.flat, self.used = np.zeros(1 << 12, unit), 0
         self.at, self.size, self.count = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64), 0
 
-    def add(self, parts: list[bytes]) -> None:
-        new = np.frombuffer(b"".join(parts), self.flat.dtype)
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.flat.itemsize
+    def add(self, new: np.ndarray, sizes: np.ndarray) -> None:
+        """Entries that lie one behind the other in ``new``."""
         while self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.count + len(parts) > len(self.at):
+        while self.count + len(sizes) > len(self.at):
             self.at, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size))
         self.flat[self.used : self.used + len(new)] = new
-        here = slice(self.count, self.count + len(parts))
+        here = slice(self.count, self.count + len(sizes))
         self.size[here] = sizes
         self.at[here] = self.used + np.cumsum(sizes) - sizes
         self.used += len(new)
-        self.count += len(parts)
+        self.count += len(sizes)
 
     def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The values of ``entries`` one behind the other, and where each ends."""
@@ -121,8 +121,14 @@ class _Store:
         return self.flat[np.repeat(self.at[entries] - (ends - sizes), sizes) + np.arange(total)], ends
 
 
+def _ranges(data: np.ndarray, lo: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The values of ranges of ``data`` one behind the other."""
+    ends = np.cumsum(sizes)
+    return data[np.repeat(lo - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class Memo:
-    """piece -> ids, computed by ``encode`` (pieces to the bytes of their ids) for pieces not seen yet.
+    """piece -> ids, computed by ``encode`` (pieces to a sequence of ids each) for pieces not seen yet.
 
     Pieces of many texts are found, hashed and looked up with numpy: a hash table with open places from a hash of the
     piece's bytes to its entry.  The bytes of an entry are compared with those of the piece, so a hash that two pieces
@@ -132,16 +138,16 @@ class Memo:
 
     CHUNK, SECTION = 1 << 17, 1 << 20
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], limit: int = 400_000, unit: str = "u1", special: Iterable[str] = ()):
+    def __init__(self, encode: Callable[[list[str]], Iterable[Sequence[int]]], limit: int = 400_000, unit: str = "u1", special: Iterable[str] = ()):
         self.encode, self.limit, self.unit = encode, limit, unit
         self.special = sorted(special, key=len, reverse=True)
         self._cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.bits = max(10, (4 * limit).bit_length())
+        self.bits = max(10, (2 * limit).bit_length())
         self._clear()
 
     def _clear(self) -> None:
         self.held = 0
-        self.slot_hash, self.slot_entry = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int64)
+        self.slot_hash, self.slot_entry = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32)
         self.pieces, self.values = _Store("u1"), _Store(self.unit)
         self.odd: dict[str, int] = {}  # pieces whose hash another piece has
 
@@ -211,7 +217,7 @@ class Memo:
         self._compare(entries, data, byte_at)
         new = np.flatnonzero(entries < 0)
         if len(new):
-            self._learn(text, at, hashes, entries, new)
+            self._learn(text, at, data, byte_at, hashes, entries, new)
         ids, id_ends = self.values.gather(entries)
         upto = np.concatenate([[0], id_ends])[np.searchsorted(at, ends)]
         return ids, np.diff(upto, prepend=0)
@@ -224,7 +230,7 @@ class Memo:
         """The entry with each hash, -1 for none."""
         mask = np.uint64((1 << self.bits) - 1)
         slot = (hashes & mask).astype(np.int64)
-        entries = self.slot_entry[slot]
+        entries = self.slot_entry[slot].astype(np.int64)
         open_ = np.flatnonzero((entries >= 0) & (self.slot_hash[slot] != hashes))
         while len(open_):
             slot[open_] = (slot[open_] + 1) & int(mask)
@@ -244,41 +250,42 @@ class Memo:
         if len(wrong):
             entries[known[np.unique(np.searchsorted(ends, wrong, side="right"))]] = -1
 
-    def _learn(self, text: str, at: np.ndarray, hashes: np.ndarray, entries: np.ndarray, new: np.ndarray) -> None:
+    def _learn(self, text: str, at: np.ndarray, data: np.ndarray, byte_at: np.ndarray, hashes: np.ndarray, entries: np.ndarray, new: np.ndarray) -> None:
         """Encodes the pieces at ``new`` that are not known, keeps them and sets their entries."""
-        found = {int(i): text[at[i] : at[i + 1]] for i in new}
-        if self.held + len(fresh := dict.fromkeys(p for p in found.values() if p not in self.odd)) > self.limit:
+        names = [text[a:b] for a, b in zip(at[new].tolist(), at[new + 1].tolist(), strict=True)]
+        if self.odd:
+            kept = np.array([self.odd.get(p, -1) for p in names])
+            entries[new[kept >= 0]] = kept[kept >= 0]
+            new, names = new[kept < 0], [p for p, k in zip(names, kept, strict=True) if k < 0]
+        place: dict[str, int] = {}
+        which = np.fromiter((place.setdefault(p, len(place)) for p in names), np.int64, len(names))
+        if self.held + len(place) > self.limit and self.held:
             self._clear()
-            found = {i: text[at[i] : at[i + 1]] for i in range(len(entries))}
-            fresh = dict.fromkeys(found.values())
-        names = list(fresh)
-        place = {p: self.held + k for k, p in enumerate(names)}
-        self.pieces.add([p.encode("utf-8", "surrogatepass") for p in names])
-        self.values.add(list(self.encode(names)))
-        self.held += len(names)
-        own = {}
-        for i, p in found.items():
-            if p in place:
-                entries[i] = place[p]
-                own[p] = i
-            else:
-                entries[i] = self.odd[p]
-        if own:
-            self._insert(list(own), hashes[list(own.values())], place)
-
-    def _insert(self, names: list[str], hashes: np.ndarray, place: dict[str, int]) -> None:
+            return self._learn(text, at, data, byte_at, hashes, entries, np.arange(len(entries)))
+        first = np.zeros(len(place), np.int64)
+        first[which[::-1]] = new[::-1]
+        found = list(self.encode(list(place)))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.values.add(np.fromiter(chain.from_iterable(found), self.unit, int(sizes.sum())), sizes)
+        sizes = byte_at[first + 1] - byte_at[first]
+        self.pieces.add(_ranges(data, byte_at[first], sizes), sizes)
+        entries[new] = self.held + which
+        self._insert(list(place), hashes[first], self.held + np.arange(len(place)))
+        self.held += len(place)
+
+    def _insert(self, names: list[str], hashes: np.ndarray, entry: np.ndarray) -> None:
         taken = self._found(hashes) >= 0
         _, first = np.unique(hashes, return_index=True)
-        taken[np.setdiff1d(np.arange(len(names)), first)] = True
-        for k in np.flatnonzero(taken):
-            self.odd[names[k]] = place[names[k]]
-        waiting = np.flatnonzero(~taken)
-        entry = np.fromiter((place[p] for p in names), np.int64, len(names))
+        again = np.ones(len(names), bool)
+        again[first] = False
+        for k in np.flatnonzero(taken | again):
+            self.odd[names[k]] = int(entry[k])
+        waiting = np.flatnonzero(~taken & ~again)
         slot = (hashes & np.uint64((1 << self.bits) - 1)).astype(np.int64)
         while len(waiting):
             free = waiting[self.slot_entry[slot[waiting]] < 0]
             _, first = np.unique(slot[free], return_index=True)
             free = free[first]
             self.slot_entry[slot[free]], self.slot_hash[slot[free]] = entry[free], hashes[free]
-            waiting = np.setdiff1d(waiting, free)
+            waiting = waiting[self.slot_entry[slot[waiting]] != entry[waiting]]
             slot[waiting] = (slot[waiting] + 1) & ((1 << self.bits) - 1)

@@ -36,6 +36,7 @@ from vitalis.llm.scratch import folder, map_arrow
 
 BLOCK_TOKENS = 1 << 18
 TEXTS_AT_ONCE = 256
+PIECES_KEPT = 1_600_000
 _MEMOS: dict[str, Memo] = {}
 
 
@@ -51,15 +52,15 @@ def memo(path: str) -> Memo:
     """The library's model behind a memo of pieces; one for each worker process.  The piece bounds are those of the file's
     byte-level pre-tokenizer; the file's added tokens are one id each, as the library has them by default."""
     if path not in _MEMOS:
-        library, letters = Tokenizer.from_file(path), _byte_letters()
-        model, added = library.model, {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+        library, letters = Tokenizer.from_file(path), dict(enumerate(_byte_letters()))
+        tokenize, added = library.model.tokenize, {t.content: i for i, t in library.get_added_tokens_decoder().items()}
 
-        def encode(found: list[str]) -> Iterator[bytes]:
+        def encode(found: list[str]) -> Iterator[list[int]]:
             for p in found:
-                ids = [added[p]] if p in added else [t.id for t in model.tokenize("".join([letters[b] for b in p.encode()]))]
-                yield np.array(ids, "<u4").tobytes()
+                # bytes as Latin-1 characters, these as the vocabulary's letters
+                yield [added[p]] if p in added else [t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))]
 
-        _MEMOS[path] = Memo(encode, 800_000, "<u4", added)
+        _MEMOS[path] = Memo(encode, PIECES_KEPT, "<u4", added)
     return _MEMOS[path]
 
 
