@@ -17,6 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vitalis.functions.time import micros_between, trunc_hour
+from vitalis.operators import scan
 from vitalis.operators.windows import segment_of
 
 
@@ -116,14 +117,14 @@ def asof_backward(
     values: Sequence[str],
     strict: bool = True,
     prefix: str = "prev_",
-    segment: str = "day",
+    segment: str | None = None,
 ) -> DataFrame:
     """For each left row, the latest right row with ``right_ts < left_ts``
     (``<=`` when ``strict`` is False) of the same key - a LATERAL ... ORDER BY
     ... DESC LIMIT 1 without the nested loop.  Among right rows with equal
-    times the one with the largest values is taken.
+    times the one with the largest values is taken.  NULL keys match nothing.
 
-    Day-segmented so that a heavy key is not one task: (1) within each
+    By default one ordered scan over the union of both sides (``scan.asof``).  With ``segment``, day-segmented: (1) within each
     (key, day) the left and right rows are merged in time order and the last
     right value is carried forward; (2) left rows that found nothing that day
     take the last right row of the nearest earlier day that has one, read from
@@ -131,6 +132,9 @@ def asof_backward(
     and ``prefix``+right_ts.
     """
     keys = _keys(key)
+    right = right.dropna(subset=keys)
+    if segment is None:
+        return scan.asof(left, right, keys, left_ts, right_ts, values, strict, prefix)
     cols = [right_ts, *values]
     out_names = [prefix + c for c in cols]
     lcols = left.columns
@@ -206,3 +210,28 @@ def first_in_window(
         *keys, left_ts, F.col("_b._rts").alias(prefix + right_ts), *[F.col("_b._v_" + v).alias(prefix + v) for v in values]
     )
     return left.join(best, on=keys + [left_ts], how="left")
+
+
+def around_events(events: DataFrame, readings: DataFrame, key, event_ts: str, ts: str, value: str, grain, after: timedelta, salts: int = 16,
+                  before_name: str = "before", after_name: str = "after") -> DataFrame:
+    """O36 and O37 for a few events per key in one pass: ``events`` with the mean ``value`` of the last ``grain`` bin that begins before
+    ``event_ts`` and of the first that begins in ``[event_ts, event_ts + after]``; NULL where there is none.
+
+    Every reading meets its key's events, so ``events`` must be distinct and hold a handful per key (the product is never larger than that
+    times the readings).  A key's readings are dealt over ``salts`` parts by their bin and its events are copied to each, so a heavy
+    key is ``salts`` tasks; a part keeps one bin before and one after for each event, and only these meet."""
+    keys = _keys(key)
+    e = events.withColumn("_event", F.struct(*events.columns))
+    copies = e.select(*keys, "_event", F.col(event_ts).alias("_t"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    r = readings.select(*keys, grain(ts).alias("_bin"), F.col(value).alias("_v")).withColumn("_salt", F.pmod(F.xxhash64("_bin"), F.lit(salts)).cast("int"))
+    gap = micros_between(F.col("_t"), F.col("_bin"))
+    met = r.join(copies, [*keys, "_salt"]).where(gap <= _us(after))
+    # grouping by what the join is partitioned by: no further shuffle up to here
+    bins = met.groupBy(*keys, "_salt", "_event", "_t", "_bin").agg(F.avg("_v").alias("_v"))
+    early, late = gap < 0, gap >= 0
+    one = bins.groupBy(*keys, "_salt", "_event").agg(
+        F.max(F.when(early, F.struct("_bin", "_v"))).alias("_b"), F.min(F.when(late, F.struct("_bin", "_v"))).alias("_a"))
+    # events that no reading meets come in by themselves
+    none = e.select(*keys, "_event", *(F.lit(None).cast(one.schema[c].dataType).alias(c) for c in ("_b", "_a")))
+    best = one.select(none.columns).unionByName(none).groupBy(*keys, "_event").agg(F.max("_b").alias("_b"), F.min("_a").alias("_a"))
+    return best.select("_event.*", F.col("_b._v").alias(before_name), F.col("_a._v").alias(after_name))

@@ -2,9 +2,11 @@
 
 Per-patient windows over raw readings are the skew hazard of this domain: a
 handful of patients own all rows, so ``Window.partitionBy(patient)`` puts a
-third of the data in one task.  ``shift_over_time`` therefore segments by
-(key, day) and repairs the first row of each segment from a small per-day
-summary - same result as the plain per-key window, with day-sized tasks.
+third of the data in one task.  Lag, gaps, sessions and row frames therefore run
+over the even segments of ``operators.scan`` - same result as the plain per-key
+window.  With ``segment="day"`` or ``"hour"`` they run in calendar segments
+instead and repair the first row of each from a small summary: a cheaper plan
+where no calendar unit of a key is large.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalis.functions.time import micros_between, trunc_hour
+from vitalis.operators import scan
 
 
 def _keys(key) -> list[str]:
@@ -44,12 +47,12 @@ def shift_over_time(
     direction: str = "lag",
     prefix: str | None = None,
     tiebreak: Sequence[str] = (),
-    segment: str = "day",
+    segment: str | None = None,
 ) -> DataFrame:
     """``LAG(c) / LEAD(c) OVER (PARTITION BY key ORDER BY ts, tiebreak)`` for each c.
 
-    Exact equivalent of the per-key window, computed in (key, day) segments:
-    inside a segment a plain lag/lead; for the first (lag) or last (lead) row
+    Exact equivalent of the per-key window, computed in even segments
+    (``scan.shift``) or, with ``segment``, in calendar segments: inside a segment a plain lag/lead; for the first (lag) or last (lead) row
     of a segment the value comes from the nearest non-empty neighbouring day,
     found with a window over the per-(key, day) summary (a few rows per key).
     Equal timestamps are ordered by ``tiebreak`` then by the shifted columns,
@@ -59,6 +62,8 @@ def shift_over_time(
     lag = direction == "lag"
     prefix = prefix if prefix is not None else ("prev_" if lag else "next_")
     order_cols = [ts, *tiebreak, *[c for c in cols if c != ts and c not in tiebreak]]
+    if segment is None:
+        return scan.shift(df, keys, order_cols, cols, direction, prefix)
     seg = "_seg_day"
     d = df.withColumn(seg, segment_of(ts, segment))
     w = Window.partitionBy(*keys, seg).orderBy(*order_cols)
@@ -84,7 +89,7 @@ def shift_over_time(
 
 def time_gaps(
     df: DataFrame, key, ts: str, min_gap_minutes: float, strict: bool = True, prev_name: str = "previous_time",
-    segment: str = "day",
+    segment: str | None = None,
 ) -> DataFrame:
     """Rows whose distance to the previous reading exceeds ``min_gap_minutes``.
     Adds ``prev_name`` and ``gap_seconds``."""
@@ -128,12 +133,13 @@ def moving_avg_rows(df: DataFrame, key, order: Sequence, value: str, preceding:
 def moving_avg_rows_blocked(
     df: DataFrame, key, ts: str, value: str, preceding: int, name: str, tiebreak: Sequence[str] = (),
     block: int | None = None,
-    segment: str = "day",
+    segment: str | None = None,
 ) -> DataFrame:
     """O63 on raw readings without one task per key.
 
-    Rows get a global row number within the key (offset of earlier days from
-    a small per-day count table + row number inside the day); blocks of
+    Rows get a row number within the key (``scan.ranked``; with ``segment``, the
+    offset of earlier days from a small per-day count table + the row number
+    inside the day); blocks of
     ``block`` consecutive row numbers are windowed independently, and the
     last ``preceding`` rows of each block are copied into the next block so
     every frame is complete.  Result equals the per-key ROWS frame.
@@ -141,12 +147,15 @@ def moving_avg_rows_blocked(
     keys = _keys(key)
     order_cols = [ts, *tiebreak, value]
     seg = "_seg_day"
-    d = df.withColumn(seg, segment_of(ts, segment))
-    counts = d.groupBy(*keys, seg).agg(F.count(F.lit(1)).alias("_n"))
-    wc = Window.partitionBy(*keys).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wc), F.lit(0))).drop("_n")
-    d = join_null_safe(d, counts, keys + [seg])
-    d = d.withColumn("_rn", F.col("_off") + F.row_number().over(Window.partitionBy(*keys, seg).orderBy(*order_cols)) - 1)
+    if segment is None:
+        d = scan.ranked(df, keys, order_cols, "_rn", "row_number").withColumn("_rn", F.col("_rn") - 1)
+    else:
+        d = df.withColumn(seg, segment_of(ts, segment))
+        counts = d.groupBy(*keys, seg).agg(F.count(F.lit(1)).alias("_n"))
+        wc = Window.partitionBy(*keys).orderBy(seg).rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(wc), F.lit(0))).drop("_n")
+        d = join_null_safe(d, counts, keys + [seg])
+        d = d.withColumn("_rn", F.col("_off") + F.row_number().over(Window.partitionBy(*keys, seg).orderBy(*order_cols)) - 1)
     block = block or max(preceding * 64, 4096)
     block = max(block, preceding + 1)
     d = d.withColumn("_blk", F.floor(F.col("_rn") / block))
@@ -225,14 +234,18 @@ def top_n_rows(df: DataFrame, key, order: Sequence[Column], n: int, segment: Col
     return out.drop("_seg", "_r0")
 
 
-def session_starts(df: DataFrame, key, ts: str, gap_minutes: float, inclusive: bool = False, segment: str = "day") -> DataFrame:
+def session_starts(df: DataFrame, key, ts: str, gap_minutes: float, inclusive: bool = False, segment: str | None = None) -> DataFrame:
     """``df`` with ``previous_time`` and ``session_start``: the first time of the row's session.  A session ends where the
     next reading is more than ``gap_minutes`` away (or, ``inclusive``, that far or more).
 
-    Gaps come from the segmented lag; a row's session is the last start in its
+    By default one pass over even segments (``scan.sessions_from``).  With ``segment``, gaps come from the segmented lag; a row's session is the last start in its
     segment, or the last one of the segments before (a small table), so no
     task holds a whole key.  Rows without a time belong to no session."""
     keys = _keys(key)
+    if segment is None:
+        limit = int(gap_minutes * 60_000_000)
+        opens = lambda before, at: (micros_between(before, at) >= limit) if inclusive else (micros_between(before, at) > limit)
+        return scan.sessions_from(df.where(F.col(ts).isNotNull()), keys, ts, opens)
     seg = "_seg_day"
     d = shift_over_time(df.where(F.col(ts).isNotNull()), keys, ts, [ts], "lag", prefix="_p_", segment=segment)
     d = d.withColumnRenamed("_p_" + ts, "previous_time")
@@ -247,7 +260,7 @@ def session_starts(df: DataFrame, key, ts: str, gap_minutes: float, inclusive: b
     return d.drop(seg, "_new", "_inside", "_carry")
 
 
-def sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Column] = (), segment: str = "day") -> DataFrame:
+def sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Sequence[Column] = (), segment: str | None = None) -> DataFrame:
     """O80 islands of readings separated by more than ``gap_minutes``: one row
     per session with its start, end and row count."""
     d = session_starts(df, key, ts, gap_minutes, segment=segment)
@@ -265,27 +278,9 @@ def stream_sessions(df: DataFrame, key, ts: str, gap_minutes: float, aggs: Seque
 
 
 def rank_over_values(df: DataFrame, value: str, name: str = "rank", descending: bool = True, segments: int = 64) -> DataFrame:
-    """``RANK() OVER (ORDER BY value DESC NULLS FIRST)`` (or ASC NULLS LAST)
-    with no single-partition sort, and no job while the plan is built.
-
-    Approximate global quantiles (a scalar subquery) cut the value range; equal values always share a segment, so a row's rank is the row count of
-    the segments ahead of it plus its RANK inside its own segment."""
+    """``RANK() OVER (ORDER BY value DESC NULLS FIRST)`` (or ASC NULLS LAST) of a numeric column
+    with no single-partition sort, and no job while the plan is built: ``scan.ranked`` over 64 or so even segments of
+    values (rows of one value share a segment)."""
     v = F.col(value)
-    probs = [i / segments for i in range(1, segments)]
-    bounds = df.agg(F.percentile_approx(value, probs, segments * 10).alias("_b"))  # one row of segments - 1 numbers
-    d = df.withColumn("_b", bounds.scalar())
-    if descending:
-        seg = F.when(v.isNull(), F.lit(-1)).otherwise(F.size(F.filter("_b", lambda b: b > v)))
-        order = v.desc_nulls_first()
-    else:
-        seg = F.when(v.isNull(), F.lit(segments + 1)).otherwise(F.size(F.filter("_b", lambda b: b < v)))
-        order = v.asc_nulls_last()
-    d = d.withColumn("_seg", seg).drop("_b")
-    counts = d.groupBy("_seg").agg(F.count(F.lit(1)).alias("_c"))
-    # at most segments + 1 rows: the running offset is computed over a tiny table
-    counts = counts.withColumn(
-        "_off", F.coalesce(F.sum("_c").over(Window.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).drop("_c")
-    d = d.join(F.broadcast(counts), "_seg")
-    d = d.withColumn(name, (F.col("_off") + F.rank().over(Window.partitionBy("_seg").orderBy(order))).cast("int"))
-    return d.drop("_seg", "_off")
+    order = [v.isNotNull(), -v] if descending else [v.isNull(), v]
+    return scan.ranked(df, [], order, name, "rank", bits=max(segments - 1, 0).bit_length())

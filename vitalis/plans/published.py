@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalis.functions.time import micros_between
-from vitalis.operators.joins import hour_bin_join
+from vitalis.operators.joins import asof_backward, first_in_window, hour_bin_join
 from vitalis.operators.windows import sessions
 from vitalis.plans import advanced as A
 from vitalis.plans import beginner as B
@@ -132,6 +133,34 @@ def a15_hour_range_join(t):
     return j.select("patientid", "date_time", F.col("glucosevalue").cast("double").alias("glucosevalue"), round_half_up(F.col("m"), 2).alias("hour_hr"))
 
 
+# --------------------------------------------------------------- O36, O37
+@query("t36_last_before_meal", """
+SELECT f.patientid, f.time_begin, f.logged_food, CAST(f.calorie AS DOUBLE) AS calorie, d.date_time AS reading_time, CAST(d.glucosevalue AS DOUBLE) AS glucosevalue
+FROM foodlog f ASOF LEFT JOIN (SELECT patientid, date_time, MAX(glucosevalue) AS glucosevalue FROM dexcom GROUP BY ALL) d
+  ON d.patientid = f.patientid AND f.time_begin > d.date_time
+""")
+def t36_last_before_meal(t):
+    """Every meal with the patient's last glucose reading before it."""
+    meals = t.foodlog.select("patientid", "time_begin", "logged_food", F.col("calorie").cast("double").alias("calorie"))
+    j = asof_backward(meals, t.dexcom, "patientid", "time_begin", "date_time", ["glucosevalue"], prefix="")
+    return j.withColumnRenamed("date_time", "reading_time").withColumn("glucosevalue", F.col("glucosevalue").cast("double"))
+
+
+@query("t37_first_after_meal", """
+, nearest AS (
+  SELECT f.patientid, f.time_begin, MIN((d.date_time, d.glucosevalue)) AS m
+  FROM (SELECT DISTINCT patientid, time_begin FROM foodlog) f
+  JOIN dexcom d ON d.patientid = f.patientid AND d.date_time BETWEEN f.time_begin AND f.time_begin + INTERVAL 2 HOUR GROUP BY ALL)
+SELECT f.patientid, f.time_begin, f.logged_food, CAST(f.calorie AS DOUBLE) AS calorie, m[1] AS reading_time, CAST(m[2] AS DOUBLE) AS glucosevalue
+FROM foodlog f LEFT JOIN nearest n ON n.patientid = f.patientid AND n.time_begin = f.time_begin
+""")
+def t37_first_after_meal(t):
+    """Every meal with the patient's first glucose reading in the two hours from it."""
+    meals = t.foodlog.select("patientid", "time_begin", "logged_food", F.col("calorie").cast("double").alias("calorie"))
+    j = first_in_window(meals, t.dexcom, "patientid", "time_begin", "date_time", ["glucosevalue"], timedelta(0), timedelta(hours=2), prefix="")
+    return j.withColumnRenamed("date_time", "reading_time").withColumn("glucosevalue", F.col("glucosevalue").cast("double"))
+
+
 # --------------------------------------------------------------- O80
 @query("i19_sessions", f"""
 , steps AS (SELECT patientid, date_time, lag(date_time) OVER (PARTITION BY patientid ORDER BY date_time) AS before FROM dexcom),
