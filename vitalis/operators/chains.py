@@ -6,20 +6,19 @@ duration = deepest level and the row average = sum(P_{n-1} S_n) / sum(P_n).
 Running sums of log c over islands of consecutive hours give every hour the
 log of its row count and its mean from there on; a meal looks up one hour.
 
-``food_chain`` (meals leading up to a spike) is a bounded-step graph walk: a
-loop of bucketed interval joins that carries path multiplicities instead of
-duplicated rows, checkpointing each step to the cluster's checkpoint folder.
+``food_chain`` (meals leading up to a spike) counts chains by a dynamic program
+over islands of meals that follow one another within the look-back.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalis.functions.time import micros_between, shift, trunc_hour, trunc_minute
+from vitalis.operators import scan
 from vitalis.operators.joins import interval_join
 
 
@@ -81,97 +80,91 @@ def spike_chain(
     return g
 
 
-def food_chain(
+#: Path counts: whole numbers; a count beyond 38 digits is an arithmetic error (ANSI), never a wrong number.
+_COUNT = "decimal(38,0)"
+_WALK = f"array<struct<t:timestamp_ntz,paths:array<{_COUNT}>,ends:array<{_COUNT}>>>"
+
+
+def _walked(times, start, lookback_us: int):
+    """Paths from the meal time ``start`` back through ``times`` (descending structs of t and c, its number of meals): for each time,
+    ``paths[d - 1]`` the number of chains of d meals that reach it, and ``ends`` these times its meals.  A time is reached
+    from every later one at most the look-back away, one meal deeper."""
+    none = F.array().cast(f"array<{_COUNT}>")
+    one = F.array(F.lit(1).cast(_COUNT))
+    first = F.array(F.struct(start.alias("t"), one.alias("paths"), one.alias("ends"))).cast(_WALK)
+
+    def add(a, b):
+        return F.zip_with(a, b, lambda x, y: (F.coalesce(x, F.lit(0).cast(_COUNT)) + F.coalesce(y, F.lit(0).cast(_COUNT))).cast(_COUNT))
+
+    def step(done, at):
+        near = F.filter(done, lambda d: micros_between(at["t"], d["t"]) <= lookback_us)
+        paths = F.concat(F.array(F.lit(0).cast(_COUNT)), F.aggregate(near, none, lambda s, d: add(s, d["ends"])))
+        ends = F.transform(paths, lambda n: (n * at["c"].cast(_COUNT)).cast(_COUNT))
+        return F.concat(done, F.array(F.struct(at["t"].alias("t"), paths.alias("paths"), ends.alias("ends"))).cast(_WALK))
+
+    return F.aggregate(F.filter(times, lambda x: x["t"] < start), first, step)
+
+
+def food_chain_counts(
     dexcom: DataFrame,
     foodlog: DataFrame,
     min_glucose: float = 140,
     lookback: timedelta = timedelta(hours=2),
-    checkpoint: bool = True,
     anchor_key: tuple[str, ...] = ("food_time",),
 ) -> DataFrame:
-    """O71 / a13: for each spike reading, the meal in the look-back window
+    """O71 / a13 with counts: for each spike reading, the meal in the look-back window
     (one anchor per meal time, as DISTINCT ON (time_begin) does; the earliest
     spike, then the smallest food row, is kept), then every earlier meal
-    within ``lookback`` of the previous one, recursively.
-
-    Each step is a bucketed interval join of the current frontier against the
-    food log.  Rows that continue identically are merged and carry a path
-    count, so the frontier never holds duplicate rows; the result re-expands
-    the counts so every path row of the recursive query is present.
-    The loop runs until the frontier is empty (steps are bounded by the meals
-    that follow one another within ``lookback``).
-    """
-    from vitalis.session import checkpoint_dir
-
-    spikes = dexcom.where(F.col("glucosevalue") > min_glucose).select(
-        "patientid", F.col("date_time").alias("spike_at")
-    )
-    food = foodlog.select(
-        "patientid", F.col("time_begin").alias("food_time"), "logged_food", "calorie", "sugar", "dietary_fiber"
-    )
-    # every step joins the food log again: keep the projection materialised for the
-    # loop (only when the levels are checkpointed, so it can be released afterwards)
-    if checkpoint:
-        food = food.persist(StorageLevel.MEMORY_AND_DISK)
+    within ``lookback`` of the previous one, recursively.  One row per anchor,
+    meal and depth, with ``paths``: how many rows of the recursive query it stands for.
+
+    One plan, no loop.  A chain cannot cross a pause longer than ``lookback``, so a patient's meal times (equal ones
+    merged, with their number) are cut into islands there (``scan.sessions_from``); an anchor meets the times of
+    its own island only, and a dynamic program over them, from the anchor back, counts the chains by depth.  Each of these
+    times is in the result, so no anchor holds more than it puts out.  NULL times belong to no chain."""
+    reach = int(lookback / timedelta(microseconds=1))
+    spikes = dexcom.where(F.col("glucosevalue") > min_glucose).select("patientid", F.col("date_time").alias("spike_at"))
+    food = foodlog.select("patientid", F.col("time_begin").alias("food_time"), "logged_food", "calorie", "sugar", "dietary_fiber")
     pairs = interval_join(spikes, food, "patientid", "spike_at", "food_time", -lookback, timedelta(0), closed="left")
     order = F.struct("spike_at", "patientid", "logged_food", "calorie", "sugar", "dietary_fiber")
     row = F.struct("patientid", "spike_at", "logged_food", "calorie", "sugar", "dietary_fiber")
     # as written the anchor is DISTINCT ON (time_begin) alone; ("patientid", "food_time") is the intended key
     anchors = pairs.groupBy(*anchor_key).agg(F.min_by(row, order).alias("r")).select(
-        F.col("r.patientid").alias("patientid"),
-        trunc_minute(F.col("r.spike_at")).alias("spike_time"),
-        "food_time",
-        F.col("r.logged_food").alias("logged_food"),
-        F.col("r.calorie").alias("calorie"),
-        F.col("r.sugar").alias("sugar"),
-        F.col("r.dietary_fiber").alias("dietary_fiber"),
-    )
-    level = anchors.withColumn("depth", F.lit(1)).withColumn("mult", F.lit(1).cast("long"))
-    spark = dexcom.sparkSession
-    if checkpoint:
-        checkpoint_dir(spark)
-
-    def materialise(df):
-        # persist first so the checkpoint write reads the computed rows instead of
-        # recomputing the step; the checkpoint (shared folder) then cuts the lineage
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        if checkpoint:
-            out_df = cached.checkpoint(eager=True)
-            cached.unpersist()
-            return out_df
-        return cached
-
-    level = materialise(level)
-    out = [level]
-    depth = 1
-    while True:
-        frontier = level.groupBy("patientid", "spike_time", "food_time").agg(F.sum("mult").alias("mult"))
-        nxt = interval_join(
-            frontier,
-            food.withColumnRenamed("food_time", "prev_time"),
-            "patientid",
-            "food_time",
-            "prev_time",
-            -lookback,
-            timedelta(0),
-            closed="left",
-        )
-        depth += 1
-        level = materialise(nxt.select(
-            "patientid", "spike_time", F.col("prev_time").alias("food_time"), "logged_food", "calorie", "sugar",
-            "dietary_fiber", F.lit(depth).alias("depth"), "mult",
-        ))
-        if level.isEmpty():
-            break
-        out.append(level)
-    if checkpoint:
-        food.unpersist()  # the levels are checkpointed and no longer depend on it
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    # re-expand path multiplicities into rows (the recursive query's result multiset)
-    res = res.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mult")))).drop("_k", "mult")
-    return res
+        F.col("r.patientid").alias("patientid"), trunc_minute(F.col("r.spike_at")).alias("spike_time"), "food_time",
+        F.col("r.logged_food").alias("logged_food"), F.col("r.calorie").alias("calorie"), F.col("r.sugar").alias("sugar"),
+        F.col("r.dietary_fiber").alias("dietary_fiber"))
+    merged = food.where("patientid IS NOT NULL AND food_time IS NOT NULL").groupBy("patientid", "food_time").agg(F.count("*").alias("c"))
+    times = scan.sessions_from(merged, "patientid", "food_time", lambda a, b: micros_between(a, b) > reach, start="island").drop("previous_time")
+    begun = anchors.groupBy("patientid", "food_time").agg(F.collect_list("spike_time").alias("spikes"))
+    island = F.sort_array(F.collect_list(F.struct(F.col("food_time").alias("t"), "c", "spikes")), asc=False)
+    islands = times.join(begun, ["patientid", "food_time"], "left").groupBy("patientid", "island").agg(island.alias("times"))
+    starts = islands.select("patientid", "times", F.explode(F.filter("times", lambda x: x["spikes"].isNotNull())).alias("from"))
+    walks = starts.select("patientid", "from.spikes", F.explode(_walked(F.col("times"), F.col("from.t"), reach)).alias("w")).select("patientid", F.explode("spikes").alias("spike_time"), "w")
+    reached = walks.select("patientid", "spike_time", F.col("w.t").alias("food_time"), F.posexplode("w.paths").alias("d", "paths")).where("d > 0 AND paths > 0")
+    deeper = reached.select("patientid", "spike_time", "food_time", (F.col("d") + 1).alias("depth"), "paths").join(food, ["patientid", "food_time"])
+    columns = ["patientid", "spike_time", "food_time", "logged_food", "calorie", "sugar", "dietary_fiber", "depth", "paths"]
+    own = anchors.withColumn("depth", F.lit(1)).withColumn("paths", F.lit(1).cast(_COUNT))
+    # anchors of one spike minute and one meal at one depth are one row
+    return own.select(columns).unionByName(deeper.select(columns)).groupBy(*columns[:-1]).agg(F.sum("paths").cast(_COUNT).alias("paths"))
+
+
+def repeated(df: DataFrame, times: str, step: int = 10_000) -> DataFrame:
+    """Each row as often as its column ``times`` says, without that column.  Copies are made in two steps, so that no row
+    carries a list longer than ``step`` or times / step."""
+    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / step).cast("long"))))
+    here = F.least(F.lit(step).cast("long"), (F.col(times) - F.col("_block") * step).cast("long"))
+    return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), here))).drop("_copy", "_block", times)
+
+
+def food_chain(
+    dexcom: DataFrame,
+    foodlog: DataFrame,
+    min_glucose: float = 140,
+    lookback: timedelta = timedelta(hours=2),
+    anchor_key: tuple[str, ...] = ("food_time",),
+) -> DataFrame:
+    """O71 / a13: the rows of the recursive query, each path's meal on its own row (``food_chain_counts`` expanded)."""
+    return repeated(food_chain_counts(dexcom, foodlog, min_glucose, lookback, anchor_key), "paths")
 
 
 def spike_chain_contiguous(
@@ -189,16 +182,14 @@ def spike_chain_contiguous(
     between them), so readings are cut into islands there.  Inside an island a
     run can only end at a gap of an hour or more, or with the island: a meal
     meets those few gaps, not the readings.  The runs of a day are merged to
-    disjoint stretches before their readings are averaged.  The islands and the
-    runs are used several times and are checkpointed."""
+    disjoint stretches before their readings are averaged.  The islands are used
+    several times; their shuffle is the same subplan each time, which Spark runs
+    once (reused exchanges)."""
     from vitalis.operators.windows import session_starts
-    from vitalis.session import checkpoint_dir
-
-    checkpoint_dir(dexcom.sparkSession)
     hour = F.lit(3_600_000_000)
     meals = foodlog.where(F.col("calorie") > min_calorie).select("patientid", "time_begin").distinct()
     high = dexcom.where(F.col("glucosevalue") > min_glucose).select("patientid", "date_time", "glucosevalue")
-    tagged = session_starts(high, "patientid", "date_time", 120, inclusive=True).withColumnRenamed("session_start", "isl").checkpoint(eager=True)
+    tagged = session_starts(high, "patientid", "date_time", 120, inclusive=True).withColumnRenamed("session_start", "isl")
     # the island holding the first reading in [t, t + 1h)
     first = interval_join(meals, tagged.select("patientid", F.col("date_time").alias("_rt"), "isl"), "patientid", "time_begin", "_rt",
                           timedelta(0), timedelta(hours=1), closed="left").groupBy("patientid", "time_begin").agg(F.min("isl").alias("isl"))
@@ -212,7 +203,7 @@ def spike_chain_contiguous(
     ended = (F.col("before") >= F.col("time_begin")) & (number("after") - number("before") >= 2)
     runs = first.join(ends, ["patientid", "isl"]).join(gaps, ["patientid", "isl"], "left").groupBy("patientid", "isl", "time_begin").agg(
         F.coalesce(F.min(F.when(ended, number("before"))), F.min(number("last"))).alias("k"))
-    runs = runs.select("patientid", "isl", "time_begin", F.to_date("time_begin").alias("day"), (F.col("k") + 1).cast("int").alias("run")).checkpoint(eager=True)
+    runs = runs.select("patientid", "isl", "time_begin", F.to_date("time_begin").alias("day"), (F.col("k") + 1).cast("int").alias("run"))
     dur = runs.groupBy("patientid", "day").agg(F.max("run").alias("spike_duration"))
     # the day's stretches of an island: a new one begins where no earlier one reaches
     w = Window.partitionBy("patientid", "day", "isl").orderBy("time_begin")

@@ -7,7 +7,7 @@ count); the carries of a key are put together in order; and the rows take what a
 
 * The splitters are a scalar subquery over the rows with the least hashes of (key, order columns): a bounded sample that is
   the same however the rows lie, so every part of a plan cuts alike, and no job runs while a plan is built.  A row finds
-  its segment by a binary search of ``bits`` comparisons, inside generated code.
+  its segment by a search in ``bits / 2`` steps of three comparisons, inside generated code.
 * Rows are moved once, by (segment, key).  Only folds are grouped besides.
 * A boundary lies inside one key at most, so at most ``2 ** bits - 1`` pairs of segment and key have anything carried to
   them: the join with the carries is a broadcast of a proven size, whatever the number of rows or keys.
@@ -56,9 +56,15 @@ def segmented(df: DataFrame, key: Sequence[str] | str, order: Sequence[Column |
     """``df`` with the number of its segment: how many splitters are before the row."""
     cuts = splitters(df, key, order, bits)
     out = df.withColumn("_scan_point", _point(_keys(key), _columns(order))).withColumn("_scan_cuts", cuts.scalar()).withColumn(name, F.lit(0))
-    for b in reversed(range(bits)):
-        before = F.get("_scan_cuts", F.col(name) + ((1 << b) - 1)) < F.col("_scan_point")
-        out = out.withColumn(name, F.col(name) + F.when(F.coalesce(before, F.lit(False)), 1 << b).otherwise(0))
+    left = bits
+    while left:  # four ways at a time
+        ways = 2 if left % 2 else 4
+        left -= ways // 2
+        here = F.col(name)
+        for i in range(1, ways):
+            before = F.get("_scan_cuts", F.col(name) + ((i << left) - 1)) < F.col("_scan_point")
+            here = here + F.when(before, 1 << left).otherwise(0)
+        out = out.withColumn(name, here)
     return out.drop("_scan_point", "_scan_cuts")
 
 

@@ -192,7 +192,7 @@ SELECT patientid, log_date, logged_food, first_match FROM (
 """)
 def a02_food_risk_of_day(t):
     """check_logged_food_risk(1, first day on which patient 1 logged a meal)."""
-    day = t.foodlog.where("patientid = 1").agg(F.to_date(F.min("time_begin"))).first()[0]
+    day = t.foodlog.where("patientid = 1").agg(F.to_date(F.min("time_begin"))).scalar()
     return A.high_risk_food(t.foodlog, A.A02_KEYWORDS, patientid=1, day=day)
 
 
