@@ -22,6 +22,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from vitalis.functions.time import trunc_hour
 from vitalis.plans.advanced import fasting_alerts, high_risk_food
+from vitalis.streaming.intervals import merged
 
 
 def with_event_time(df: DataFrame, ts: str = "date_time", watermark: str = "2 hours") -> DataFrame:
@@ -98,7 +99,7 @@ _GAP_STATE = "last_time timestamp_ntz"
 
 
 def _gap_fn(min_gap_minutes: float, idle_ms: int | None = None):
-    lim = pd.Timedelta(minutes=min_gap_minutes)
+    reach = int(min_gap_minutes * 60e6)
 
     def fn(key, pdfs, state):
         if state.hasTimedOut:
@@ -106,24 +107,28 @@ def _gap_fn(min_gap_minutes: float, idle_ms: int | None = None):
             last = pd.Timestamp(state.get[0])
             yield pd.DataFrame({"patientid": [key[0]], "previous_time": [last], "date_time": [pd.NaT], "gap_minutes": [float("nan")]})
             return
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        times = batch["date_time"].dropna().sort_values().reset_index(drop=True)
-        if state.exists:
-            prev = pd.Series([pd.Timestamp(state.get[0])])
-            older = times[times < prev.iloc[0]]  # late rows: compared among themselves only
-            times = pd.concat([older, prev, times[times >= prev.iloc[0]]], ignore_index=True)
-        gaps = times.diff()
-        mask = gaps > lim
+        # the rows come in Arrow batches; of each only the intervals without a gap are kept
+        starts = ends = np.zeros(0, "int64")
+        if state.exists:  # late rows: compared among themselves and with the last time
+            starts = ends = np.array([pd.Timestamp(state.get[0])], "datetime64[us]").astype("int64")
+        latest_ms = None
+        for batch in pdfs:
+            t = np.unique(batch["date_time"].dropna().to_numpy("datetime64[us]").astype("int64"))
+            cut = np.flatnonzero(np.diff(t) > reach)
+            if len(t):
+                starts, ends = merged(np.concatenate([starts, t[np.append(0, cut + 1)]]), np.concatenate([ends, t[np.append(cut, len(t) - 1)]]), reach)
+            if "_ems" in batch and len(batch):
+                latest_ms = max(latest_ms or 0, int(batch["_ems"].max()))
         out = pd.DataFrame({
             "patientid": key[0],
-            "previous_time": times.shift(1)[mask].to_numpy(),
-            "date_time": times[mask].to_numpy(),
-            "gap_minutes": (gaps[mask].dt.total_seconds() / 60.0).round(2).to_numpy(),
+            "previous_time": ends[:-1].astype("datetime64[us]"),
+            "date_time": starts[1:].astype("datetime64[us]"),
+            "gap_minutes": ((starts[1:] - ends[:-1]) / 60e6).round(2),
         })
-        if len(times):
-            state.update((times.max().to_pydatetime(),))
-            if idle_ms is not None and "_ems" in batch and len(batch):
-                state.setTimeoutTimestamp(max(int(batch["_ems"].max()) + idle_ms, state.getCurrentWatermarkMs() + 1))
+        if len(ends):
+            state.update((pd.Timestamp(int(ends[-1]), unit="us").to_pydatetime(),))
+            if idle_ms is not None and latest_ms is not None:
+                state.setTimeoutTimestamp(max(latest_ms + idle_ms, state.getCurrentWatermarkMs() + 1))
         yield out
 
     return fn
@@ -132,8 +137,9 @@ def _gap_fn(min_gap_minutes: float, idle_ms: int | None = None):
 def stream_gap_alerts(readings: DataFrame, min_gap_minutes: float = 10, idle_timeout: str | None = None,
                       watermark: str = "2 hours") -> DataFrame:
     """Sync-gap alert - a reading more than ``min_gap_minutes`` after the
-    patient's previous one.  State per patient is one timestamp; the batch
-    twin is ``operators.windows.time_gaps``.  With ``idle_timeout`` (e.g.
+    patient's previous one, told in the micro-batch it comes in (``intervals.stream_sync_gaps``
+    waits for the watermark and is exact for any order).  State per patient is one timestamp; a micro-batch is taken
+    Arrow batch by Arrow batch.  The batch twin is ``operators.windows.time_gaps``.  With ``idle_timeout`` (e.g.
     "7 days") a patient silent that long past the watermark gets an alert with
     an open end (NULL ``date_time`` and ``gap_minutes``) at once; the gap is
     alerted with its end when the patient returns, however late."""
