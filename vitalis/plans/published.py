@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from datetime import timedelta
+from datetime import date, timedelta
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ from vitalis.sources import schemas
 from vitalis.sources.etl import all_null_columns, cast_schema, clean_table, publish
 from vitalis.sources.partitions import partition_counts, read_partitioned, write_year_partitioned
 from vitalis.sources.tables import append_rows, insert_by_position, temp_table
-from vitalis.streaming.hourly import refresh_summary
+from vitalis.streaming import maintained
+from vitalis.streaming.hourly import SUMMARY_SENSORS, refresh_summary
 
 
 def _path(t, name: str) -> str:
@@ -110,13 +112,32 @@ SELECT CAST(hour AS DATE) AS day, COUNT(*) AS hours, {R('SUM(CAST(ROUND(CAST(g A
 def a14_refreshed(t, since="2024-01-15"):
     """The hourly summary stored in full, then refreshed from a day on, and read back by day."""
     path = _path(t, "summary")
-    summary = A.hourly_sensor_summary(t)
-    refresh_summary(t.spark, summary, path)
-    refresh_summary(t.spark, summary, path, since=since)
+    refresh_summary(t.spark, A.hourly_sensor_summary(t), path)
+    recent = SimpleNamespace(**{name: getattr(t, name).where(F.col("date_time") >= F.lit(since).cast("timestamp_ntz")) for name, _, _ in SUMMARY_SENSORS.values()})
+    refresh_summary(t.spark, A.hourly_sensor_summary(recent), path, since=since)
     back = t.spark.read.parquet(path)
     return back.groupBy("day").agg(F.count("*").alias("hours"), F.sum(F.col("avg_glucose").cast("decimal(18,2)")).cast("double").alias("glucose"))
 
 
+@query("a14_maintained", f"""
+, whole AS (SELECT patientid, date_trunc('hour', date_time) AS hour, {', '.join(f"{R(f'AVG(v_{n})', 2)} AS avg_{n}, {R(f'stddev_pop(v_{n})', 2)} AS sd_{n}" for _, _, n in A._A14_PARTS)}
+  FROM ({' UNION ALL BY NAME '.join(f"SELECT '{n}' AS part, patientid, date_time, {c} AS v_{n} FROM {tb}" for tb, c, n in A._A14_PARTS)})
+  GROUP BY 1, 2 HAVING bool_or(part = 'glucose'))
+SELECT * FROM whole WHERE CAST(hour AS DATE) <> DATE '2024-01-10'
+""")
+def a14_maintained(t, gone=date(2024, 1, 10)):
+    """The hourly summary kept by moments: two thirds of the readings at first, the others folded in as a delta (twice, as after a
+    restart), then a day whose readings are deleted made anew."""
+    path, readings = _path(t, "moments"), maintained.sensors(t)
+    late = F.second("date_time") % 3 == 0
+    maintained.create({k: df.where(~late) for k, df in readings.items()}, path)
+    for _ in range(2):
+        maintained.merge_delta(t.spark, {k: df.where(late) for k, df in readings.items()}, path, batch=1)
+    left = {k: df.where(F.to_date("date_time") != F.lit(gone)) for k, df in readings.items()}
+    maintained.refresh_days(t.spark, left, path, [gone, gone + timedelta(days=1)])
+    return maintained.summary(t.spark, path)
+
+
 # --------------------------------------------------------------- O32
 @query("a15_hour_range_join", f"""
 , beats AS (SELECT patientid, date_trunc('hour', date_time) AS h, AVG(hr) AS m FROM heartrate GROUP BY 1, 2)

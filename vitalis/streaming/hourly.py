@@ -11,7 +11,8 @@ overwrite, so only touched days are rewritten).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,10 +59,29 @@ def stream_hourly_summary(streams: Mapping[str, DataFrame], watermark: str = "2
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` is there, on any file system Spark knows."""
+def _place(spark: SparkSession, path: str):
+    """A path and its file system, any that Spark knows."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, system = _place(spark, path)
+    return system.exists(at)
+
+
+def stored_days(spark: SparkSession, path: str) -> set[date]:
+    """The days that a table has a partition of, from its folders' names."""
+    at, system = _place(spark, path)
+    names = [f.getPath().getName() for f in system.listStatus(at)] if system.exists(at) else []
+    return {date.fromisoformat(n[4:]) for n in names if n.startswith("day=") and n[4:5].isdigit()}
+
+
+def drop_days(spark: SparkSession, path: str, days: Iterable[date]) -> None:
+    """Removes the partitions of ``days`` from a table of this module."""
+    for d in days:
+        at, system = _place(spark, f"{path.rstrip('/')}/day={d.isoformat()}")
+        system.delete(at, True)
 
 
 def _write_days(df: DataFrame, path: str, mode: str) -> None:
@@ -79,7 +99,7 @@ def upsert_hours(batch: DataFrame, path: str) -> None:
     checkpoint_dir(spark)
     # the stateful query behind the batch runs once: the batch is written before it is used twice
     b = batch.withColumn("day", F.to_date("hour")).checkpoint(eager=True)
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return _write_days(b, path, "dynamic")
     days = [r["day"] for r in b.select("day").distinct().collect()]  # a handful of dates per trigger
     old = spark.read.parquet(path).where(F.col("day").isin(days))
@@ -89,12 +109,23 @@ def upsert_hours(batch: DataFrame, path: str) -> None:
 
 
 def refresh_summary(spark: SparkSession, summary: DataFrame, path: str, since=None) -> None:
-    """O16 REFRESH: the whole table anew (``since=None``), days that are no
-    longer there included, or only the days from ``since`` on."""
+    """O16 REFRESH: the whole table anew (``since=None``), or only the days from ``since`` on; days that are no longer there
+    go in both cases.  Build ``summary`` over tables that are cut at ``since`` themselves (``maintained.on_days``, or a
+    filter on ``date_time``), so that the raw scan skips what is before it; ``maintained`` keeps moments and needs no
+    recomputation of a day for new readings."""
+    from vitalis.session import checkpoint_dir
+
     out = summary.withColumn("day", F.to_date("hour"))
     if since is None:
         return _write_days(out, path, "static")
-    _write_days(out.where(F.col("day") >= F.lit(since).cast("date")), path, "dynamic")
+    first = since if isinstance(since, date) else date.fromisoformat(str(since))
+    checkpoint_dir(spark)
+    # used twice: once written, once for its days
+    out = out.where(F.col("day") >= F.lit(first)).checkpoint(eager=True)
+    days = {r["day"] for r in out.select("day").distinct().collect()}
+    if days:
+        _write_days(out, path, "dynamic")
+    drop_days(spark, path, {d for d in stored_days(spark, path) if d >= first} - days)
 
 
 def stream_dedup(stream: DataFrame, keys, watermark: str = "10 minutes", ts: str = "date_time") -> DataFrame:
