@@ -77,9 +77,11 @@ def test_only_the_days_asked_for_are_read(spark, tmp_path, days):
     rows = [(1, T0 + timedelta(hours=i), float(i)) for i in range(24 * 12)]
     spark.createDataFrame(rows, "patientid int, date_time timestamp_ntz, hr double").write.parquet(str(tmp_path / "hr"))
     raw = {"hr": spark.read.parquet(str(tmp_path / "hr"))}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     plan = maintained.moments(maintained.on_days(raw, days))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = next(x for x in plan.splitlines() if "PushedFilters" in x).split("PushedFilters")[1]
-    assert f"GreaterThanOrEqual(date_time,{days[0]}" in pushed and "LessThan(date_time,2024-01-0" in pushed and ("Or(" in pushed) == (len(days) > 1)
+    assert pushed.count("GreaterThanOrEqual(date_time") == pushed.count("LessThan(date_time") == (1 if len(days) == 1 else 2)
     got = maintained.moments(maintained.on_days(raw, days)).select("day").distinct().collect()
     assert {r["day"] for r in got} == set(days)
 
