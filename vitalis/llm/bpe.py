@@ -35,6 +35,7 @@ from vitalis.llm.scratch import map_arrow, ship
 
 NONE = -1
 PAIRS_KEPT = 200_000
+PIECES_KEPT = 1_600_000
 ROWS_AT_ONCE = 256
 
 
@@ -87,7 +88,7 @@ class Vocabulary:
 
     @functools.cached_property
     def memo(self) -> Memo:
-        return Memo(lambda found: (self.encode_piece(p.encode()) for p in found), unit="<u4")
+        return Memo(lambda found: (self.encode_piece(p.encode()) for p in found), PIECES_KEPT, "<u4")
 
     @functools.cached_property
     def bytes_of(self) -> _Store:
