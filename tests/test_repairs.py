@@ -179,3 +179,26 @@ def test_contiguous_chain_against_brute_force(spark):
     assert got.keys() == want.keys() and max(n for n, _ in got.values()) > 3
     for k, (n, found) in want.items():
         assert got[k][0] == n and abs(got[k][1] - sum(found.values()) / len(found)) < 1e-9
+
+
+def test_first_surplus_rows_go(spark):
+    """``limit`` surplus rows in the order of key and other columns (nulls last), whatever the copies; a key with a third of all rows."""
+    import collections
+    import random
+
+    from vitalis.sources.etl import deduplicate
+
+    rng = random.Random(11)
+    rows = [(rng.choice([1, 2, 3, None]), rng.choice(["a", "b", None]), rng.choice([1, 2, None])) for _ in range(60)] + [(2, "a", 1)] * 40
+    df = spark.createDataFrame(rows, "p int, f string, v int")
+    last = lambda r: tuple((x is None, x or 0 if not isinstance(x, str) else x) for x in r)
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups[r[:2]].append(r)
+    surplus = sorted((r for g in groups.values() for r in sorted(g, key=last)[1:]), key=last)
+    for k in (1, 2, 17, 55, len(surplus), 10_000):
+        want = collections.Counter(rows) - collections.Counter(surplus[:k])
+        assert collections.Counter(map(tuple, deduplicate(df, ["p", "f"], limit=k).collect())) == want, k
+    assert deduplicate(df.limit(0), ["p", "f"], limit=1).collect() == []
+    plan = deduplicate(df, ["p", "f"], limit=1)
+    assert plan.columns == df.columns

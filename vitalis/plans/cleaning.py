@@ -38,7 +38,8 @@ def raw_table(t, table: str) -> DataFrame:
         return raw
     src = F.col(_raw_name(table, ts)).cast("timestamp_ntz")
     dup_rule = (F.minute(src) < 6) if table == "foodlog" else (F.second(src) < 6)
-    return raw.unionByName(raw.where(dup_rule))
+    # a second copy of some rows, in the same scan
+    return raw.withColumn("_copy", F.explode(F.when(dup_rule, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_copy")
 
 
 # integer columns that can hold NULL in the cleaned tables
@@ -102,16 +103,14 @@ def _sql_clean(table: str, dedup=None) -> str:
     body = f", raw_{table} AS ({_sql_raw(table)}), typed AS ({typed_sql})"
     if mode is None:
         return body + f" SELECT {', '.join(names)} FROM typed"
-    body += f", ranked AS (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) AS rn FROM typed)"
     if mode == "all":
+        body += f", ranked AS (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) AS rn FROM typed)"
         return body + f" SELECT {', '.join(names)} FROM ranked WHERE rn = 1"
-    all_order = ", ".join(f"{c} ASC NULLS LAST" for c in [*keys, *others]) + ", rn"
-    return body + (
-        f", doomed AS (SELECT * FROM ranked WHERE rn > 1 ORDER BY {all_order} LIMIT {mode})"
-        f" SELECT {', '.join(names)} FROM ranked r WHERE NOT EXISTS (SELECT 1 FROM doomed d WHERE "
-        + " AND ".join(f"r.{k} IS NOT DISTINCT FROM d.{k}" for k in keys)
-        + " AND r.rn = d.rn)"
-    )
+    # one pass: the place of a row in its key group, and its place among all surplus rows
+    all_order = ", ".join(f"{c} ASC NULLS LAST" for c in [*keys, *others])
+    body += f", placed AS (SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) AS rn FROM typed)"
+    body += f", surplus AS (SELECT *, row_number() OVER (PARTITION BY rn > 1 ORDER BY {all_order}, rn) AS nth FROM placed)"
+    return body + f" SELECT {', '.join(names)} FROM surplus WHERE rn = 1 OR nth > {mode}"
 
 
 for _table in ["demography", "dexcom", "eda", "foodlog", "heartrate", "ibinterval", "temperature"]:

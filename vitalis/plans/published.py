@@ -40,14 +40,17 @@ def etl_publish(t):
     return C._typed_out(t.spark.read.parquet(path), "foodlog")
 
 
-@query("etl_all_null_columns", "SELECT * FROM (VALUES " + ", ".join(f"('{tb}', '{c}')" for tb in sorted(schemas.RAW_DROPS) for c in sorted(schemas.RAW_DROPS[tb])) + ") v(table_name, column_name)")
+_RAW = {tb: [C._raw_name(tb, f.name) for f in schemas.TYPED[tb].fields] + list(schemas.RAW_DROPS.get(tb, [])) for tb in sorted(schemas.TYPED)}
+
+
+@query("etl_all_null_columns", "".join(f", raw_{tb} AS ({C._sql_raw(tb)})" for tb in _RAW) + " " + " UNION ALL ".join(
+    f"SELECT '{tb}' AS table_name, '{c}' AS column_name FROM raw_{tb} HAVING COUNT({c}) = 0" for tb, cols in _RAW.items() for c in cols))
 def etl_all_null_columns(t):
-    """O4 over the raw tables that have dropped columns: of those, the ones without a value (``find_all_null_columns`` as rows)."""
+    """O4 over every column of the seven raw tables: the columns without a value, one aggregation a table."""
     out = None
-    for tb in sorted(schemas.RAW_DROPS):
-        for part in [all_null_columns(C.raw_table(t, tb).select(*schemas.RAW_DROPS[tb]))] if schemas.RAW_DROPS[tb] else []:
-            part = part.select(F.lit(tb).alias("table_name"), "column_name")
-            out = part if out is None else out.unionByName(part)
+    for tb in _RAW:
+        part = all_null_columns(C.raw_table(t, tb)).select(F.lit(tb).alias("table_name"), "column_name")
+        out = part if out is None else out.unionByName(part)
     return out
 
 

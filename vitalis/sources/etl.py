@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalis.functions.time import round_ms
+from vitalis.operators.chains import repeated
 from vitalis.sources import schemas
 
 
@@ -37,7 +38,7 @@ def find_all_null_columns(df: DataFrame) -> list[str]:
 
 def all_null_columns(df: DataFrame) -> DataFrame:
     """O4 as rows (column_name): one aggregation, unpivoted; an empty table has all its columns."""
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])  # values of each column
     return counts.unpivot([], list(df.columns), "column_name", "n").where("n = 0").select("column_name")
 
 
@@ -106,15 +107,26 @@ def deduplicate(df: DataFrame, keys: Sequence[str], limit: int | None = None) ->
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in others or keys])
     if limit is None:
         return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    # the k smallest surplus rows lie in the k smallest repeated key groups: a top-k over counts, and only those groups are ranked
-    order = [F.col(c).asc_nulls_last() for c in keys]
-    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).orderBy(*order).limit(limit)
-    heavy = heavy.withColumn("_before", F.coalesce(F.sum(F.col("_n") - 1).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    heavy = F.broadcast(heavy.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_before").withColumn("_heavy", F.lit(True)))  # k rows
-    marked = df.join(heavy, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], "left").drop(*[f"_k_{k}" for k in keys])
-    few = marked.where("_heavy").withColumn("_rn", F.row_number().over(w))
-    few = few.where((F.col("_rn") == 1) | (F.col("_before") + F.col("_rn") - 1 > limit)).drop("_rn")
-    return marked.where("_heavy IS NULL").unionByName(few).drop("_heavy", "_before")
+    return _without_first_surplus(df, list(keys), others, limit)
+
+
+def _without_first_surplus(df: DataFrame, keys: list[str], others: list[str], limit: int) -> DataFrame:
+    """Equal rows are one row with a count first (added up before the shuffle, so copies are no hot group); the count of what
+    precedes a row in its key group tells how many of its copies are surplus.  The first ``limit`` of these are at most
+    ``limit`` rows, a bounded broadcast, whose counts are lowered; then every row stands as often as its count."""
+    def nulls_last(cols: Sequence[str]) -> list[Column]:
+        return [F.col(c).asc_nulls_last() for c in cols]
+
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy(*keys).orderBy(*nulls_last(others or keys)).rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("_surplus", F.col("_n") - F.when(F.sum("_n").over(ahead).isNull(), 1).otherwise(0))
+    first = counted.where(F.col("_surplus") > 0).orderBy(*nulls_last([*keys, *others])).limit(limit)
+    before = F.coalesce(F.sum("_surplus").over(Window.orderBy(*nulls_last([*keys, *others])).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = first.withColumn("_gone", F.greatest(F.lit(0), F.least(F.col("_surplus"), F.lit(limit) - before)))
+    doomed = F.broadcast(first.select(*(F.col(c).alias(f"_k_{c}") for c in df.columns), "_gone"))  # limit rows at most
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in df.columns]
+    left = counted.join(doomed, same, "left").withColumn("_n", F.col("_n") - F.coalesce("_gone", F.lit(0)))
+    return repeated(left.where(F.col("_n") > 0).select(*df.columns, "_n"), "_n")
 
 
 def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
