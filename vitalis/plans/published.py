@@ -16,6 +16,7 @@ from vitalis.plans import advanced as A
 from vitalis.plans import beginner as B
 from vitalis.plans import cleaning as C
 from vitalis.plans.registry import query
+from vitalis.plans.sql_functions import register_sql
 from vitalis.plans.sqlhelp import SECS, R
 from vitalis.session import checkpoint_dir
 from vitalis.sources import schemas
@@ -206,6 +207,34 @@ def a03_hourly_hr_glucose_patient(t):
     return A.hourly_hr_glucose(t, 3)
 
 
+@query("a09_hrv_after_crash_two_hours", A.a09_sql(2, "AND c.patientid % 3 = 0"))
+def a09_hrv_after_crash_two_hours(t, hours=2):
+    """get_hrv_after_glucose_crash with two hours, for every third patient."""
+    third = SimpleNamespace(dexcom=t.dexcom.where("patientid % 3 = 0"), ibinterval=t.ibinterval)
+    return A.hrv_after_crash(third, hours)
+
+
+def _sql(t, text: str) -> DataFrame:
+    register_sql(t.spark, t)
+    return t.spark.sql(text)
+
+
+@query("a09_hrv_after_crash_sql", A.a09_sql(3))
+def a09_hrv_after_crash_sql(t):
+    """The SQL table function with three hours, all patients."""
+    return _sql(t, "SELECT * FROM get_hrv_after_glucose_crash(p_hours => 3)").withColumn("glucosevalue", F.col("glucosevalue").cast(t.dexcom.schema["glucosevalue"].dataType))
+
+
+@query("a10_nutrient_alerts_sql", A.a10_sql())
+def a10_nutrient_alerts_sql(t):
+    return _sql(t, "SELECT * FROM get_nutrient_alerts()")
+
+
+@query("a15_hourly_stress_sql", A.a15_sql())
+def a15_hourly_stress_sql(t):
+    return _sql(t, "SELECT * FROM summarize_hourly_glucose_hr()")
+
+
 @query("a02_food_risk_of_day", """
 , kw AS (SELECT * FROM (VALUES (0, 'anvil'), (1, 'widget'), (2, 'ring')) v(pos, k))
 SELECT patientid, log_date, logged_food, first_match FROM (
