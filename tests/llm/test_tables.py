@@ -2,6 +2,7 @@
 
 import collections
 import random
+import time
 import re
 import zlib
 
@@ -182,3 +183,10 @@ def test_pipeline(spark):
     for i, r in last.items():
         assert bytes(r.ids) == vocabulary.encode(kept[i] or "") and r.n_tokens == len(r.ids) // 4
         assert r.decoded_sha256 == brute.sha(kept[i] or "")
+
+
+def test_100_000_stray_tags():
+    """An end tag of nothing that is open costs no search, however deep the stack."""
+    begin = time.monotonic()
+    page = html_extract.Page("<div>x</i></b></p>" * 100_000 + "<p>end")
+    assert time.monotonic() - begin < 30 and page.runs[-1][1] == "end" and len(page.nodes) == 100_002

@@ -79,6 +79,7 @@ class Page(HTMLParser):
         self.nodes = [Node("html", -1, 0, ())]
         self.runs: list[tuple[int, str]] = []
         self.open = [("html", 0)]  # element names and the block each lies in or is
+        self.named = Counter()  # how many of each name are open, html at the bottom apart
         self.held: list[str] = []
         self.links = self.silent = 0
         self.feed(html)
@@ -110,7 +111,7 @@ class Page(HTMLParser):
             self.end_run_for(tag)
             if tag not in VOID:
                 self.silent += 1
-                self.open.append((tag, self.open[-1][1]))
+                self.begin(tag, self.open[-1][1])
             return
         here = self.open[-1][1]
         if tag in INLINE:
@@ -119,7 +120,7 @@ class Page(HTMLParser):
                 self.held.append(" ")
             elif tag not in VOID:
                 self.links += tag == "a"
-                self.open.append((tag, here))
+                self.begin(tag, here)
             return
         self.end_run()
         if tag in ("html", "body") and any(name == tag for name, _ in self.open):
@@ -137,7 +138,7 @@ class Page(HTMLParser):
         up = self.nodes[here]
         up.children.append(len(self.nodes))
         self.nodes.append(Node(tag, here, up.depth + 1, tokens, KEEP in values))
-        self.open.append((tag, len(self.nodes) - 1))
+        self.begin(tag, len(self.nodes) - 1)
 
     def end_run_for(self, tag: str) -> None:
         if tag not in ("svg", "object", "canvas"):
@@ -151,7 +152,8 @@ class Page(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE:
             self.end_run()
-        at = next((i for i in range(len(self.open) - 1, 0, -1) if self.open[i][0] == tag), None)
+        # the stack is searched only for a name that is open: stray end tags cost nothing
+        at = next((i for i in range(len(self.open) - 1, 0, -1) if self.open[i][0] == tag), None) if self.named[tag] else None
         if at is not None and tag not in ("html", "body"):
             # an inline end does not close blocks
             if tag in INLINE and any(name not in INLINE for name, _ in self.open[at + 1 :]):
@@ -160,6 +162,8 @@ class Page(HTMLParser):
 
     def leave_head(self, wherever: bool = False) -> None:
         """Closes a head whose end tag is left out: ``wherever`` it is open, or if nothing is open inside it."""
+        if not self.named["head"]:
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] == "head":
                 self.drop(i)
@@ -168,6 +172,8 @@ class Page(HTMLParser):
 
     def close_open(self, names: tuple[str, ...]) -> None:
         """Closes the innermost open element of these names, if no list or table begins inside it."""
+        if not any(self.named[n] for n in names):
+            return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] in names:
                 self.drop(i)
@@ -175,8 +181,13 @@ class Page(HTMLParser):
             if self.open[i][0] in SCOPE or (names == ("p",) and self.open[i][0] not in INLINE):
                 return
 
+    def begin(self, name: str, block: int) -> None:
+        self.open.append((name, block))
+        self.named[name] += 1
+
     def drop(self, at: int) -> None:
         for name, _ in self.open[at:]:
+            self.named[name] -= 1
             self.links -= name == "a"
             self.silent -= name in SILENT
         del self.open[at:]
