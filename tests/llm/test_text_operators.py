@@ -1,6 +1,7 @@
 """Operators 1, 2, 3, 7 and 10 against plain Python."""
 
 import random
+import time
 
 import brute
 import duckdb
@@ -301,3 +302,18 @@ def test_spans_of_groups(spark):
 @pytest.mark.parametrize("query", ["op1_licenses", "op2_secrets", "op3_decontaminate", "op7_pii", "op10_quality"])
 def test_empty_tables(spark, folder, query):
     assert queries.QUERIES[query](spark, folder([])).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["licenses", "secrets", "pii"])
+def test_100_000_matches_in_one_text(spark, kind):
+    """In time linear in the matches: a minute is many times what it takes, and a tenth of what a quadratic fold takes."""
+    n = 100_000
+    unit, count = {
+        "licenses": ("under the mit license we %d ", lambda d: licenses.scan(d).select(F.size("base"), F.size("detections"))),
+        "secrets": ("secret: %032x and ", lambda d: d.select(F.size(secrets.known(F.col("text"))["assign"]), F.lit(n))),
+        "pii": ("a%d@ex.com see ", lambda d: d.select(F.size(pii.entities(F.col("text"))["email"]), F.lit(n))),
+    }[kind]
+    docs = spark.createDataFrame([(1, "".join(unit % i for i in range(n)))], "doc_id long, text string")
+    begin = time.monotonic()
+    assert tuple(count(docs).first()) == (n, n)
+    assert time.monotonic() - begin < 60

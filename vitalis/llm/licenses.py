@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitalis.llm import spans
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BOUND = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases that are always reported, with their labels.
@@ -196,17 +198,14 @@ def _bounded(regex: str) -> str:
 def _places(words: Column, regex: Column) -> Column:
     """Spans (start, stop) in words of all matches in a normalised string."""
     matches = F.regexp_extract_all(words, regex, F.lit(0))
-    pieces = F.split(words, regex, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int>>").alias("out"))
+    items = F.filter(F.arrays_zip(matches.alias("match"), F.split(words, regex, -1).alias("before")), lambda x: x["match"].isNotNull())
 
-    def step(state: Column, x: Column) -> Column:
+    def span(at: Column, x: Column) -> Column:
         # blanks before the match, less the one that opens the string, are the words before it
-        begin = state["at"] + _blanks(x["before"])
-        end = begin + _blanks(x["match"])
-        more = F.concat(state["out"], F.array(F.struct((begin - 1).alias("start"), end.alias("stop"))))
-        return F.when(x["match"].isNull(), state).otherwise(F.struct(end.alias("at"), more.alias("out")))
+        begin = at + _blanks(x["before"])
+        return F.array(F.struct((begin - 1).alias("start"), (begin + _blanks(x["match"])).alias("stop")))
 
-    return F.aggregate(F.arrays_zip(matches.alias("match"), pieces.alias("before")), start, step, lambda s: s["out"])
+    return spans.along(items, lambda x: _blanks(x["before"]) + _blanks(x["match"]), span, "array<struct<start:int,stop:int>>")
 
 
 DETECTION = "array<struct<start:int,stop:int,rank:int,priority:int,label:string,weight:double>>"
@@ -219,15 +218,15 @@ def _suppressed(found: Column) -> Column:
     furthest end so far for each priority and above."""
     ordered = F.array_sort(F.transform(found, lambda d: F.struct(d["start"].alias("start"), (-d["stop"]).alias("minus"), d["rank"].alias("rank"), d.alias("d"))))
     levels = len(PRIORITY)
-    start = F.struct(F.array(*[F.lit(-1)] * levels).alias("reach"), F.array().cast(DETECTION).alias("out"))
 
-    def step(state: Column, x: Column) -> Column:
-        d = x["d"]
-        held = F.get(state["reach"], d["priority"]) >= d["stop"]
-        reach = F.transform(state["reach"], lambda r, p: F.when(p <= d["priority"], F.greatest(r, d["stop"])).otherwise(r))
-        return F.struct(reach.alias("reach"), F.when(held, state["out"]).otherwise(F.concat(state["out"], F.array(d))).alias("out"))
+    def further(reach: Column, x: Column) -> Column:
+        """The furthest ends by priority with this detection's."""
+        return F.transform(reach, lambda r, p: F.when(p <= x["d"]["priority"], F.greatest(r, x["d"]["stop"])).otherwise(r))
+
+    def kept(reach: Column, x: Column) -> Column:
+        return F.when(F.get(reach, x["d"]["priority"]) >= x["d"]["stop"], F.array().cast(DETECTION)).otherwise(F.array(x["d"]))
 
-    return F.aggregate(ordered, start, step, lambda s: s["out"])
+    return spans.carried(ordered, F.array(*[F.lit(-1)] * levels), further, lambda a, b: F.zip_with(a, b, lambda x, y: F.greatest(x, y)), kept, DETECTION)
 
 
 def _stem(keyword: str) -> str:

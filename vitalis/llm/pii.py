@@ -116,18 +116,14 @@ def disclosing(scanned: DataFrame, docs: DataFrame, text: str = "text", support:
 def _occurrences(text: Column, terms: Column, whole: Column) -> Column:
     """Spans of every occurrence of ``terms`` in a text; their text says "whole" where the term is one of ``whole``."""
     matches = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), spans.none().alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.length(x["before"])
-        end = begin + F.length(x["match"])
-        term = F.lower(x["match"])
-        one = F.struct(begin.alias("start"), end.alias("stop"), F.when(F.array_contains(whole, term), F.lit("whole")).otherwise(F.lit("part")).alias("text"))
-        out = F.when(F.array_contains(terms, term), F.concat(state["out"], F.array(one))).otherwise(state["out"])
-        # behind the last match there is one more piece
-        return F.when(x["match"].isNull(), state).otherwise(F.struct(end.alias("at"), out.alias("out")))
-
-    return F.aggregate(F.arrays_zip(matches.alias("match"), F.split(text, TERM, -1).alias("before")), start, step, lambda s: s["out"])
+    items = F.filter(F.arrays_zip(matches.alias("match"), F.split(text, TERM, -1).alias("before")), lambda x: x["match"].isNotNull())
+
+    def span(at: Column, x: Column) -> Column:
+        begin, term = at + F.length(x["before"]), F.lower(x["match"])
+        one = F.struct(begin.alias("start"), (begin + F.length(x["match"])).alias("stop"), F.when(F.array_contains(whole, term), F.lit("whole")).otherwise(F.lit("part")).alias("text"))
+        return F.when(F.array_contains(terms, term), F.array(one)).otherwise(spans.none())
+
+    return spans.along(items, lambda x: F.length(x["before"]) + F.length(x["match"]), span, spans.SPAN)
 
 
 def find(docs: DataFrame, key: str = "doc_id", text: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
