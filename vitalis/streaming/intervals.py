@@ -8,6 +8,7 @@ passed what can be told: rows up to the watermark come no more (Spark drops them
 
 The jobs use ``transformWithState``, whose timers and map state need the RocksDB state store:
 ``spark.sql.streaming.stateStore.providerClass`` must name it (``ROCKSDB`` below; ``use_rocksdb`` sets it for a session).
+The processors are classes of this package, so it must be importable where Python workers run (installed, or ``--py-files``).
 
 Defined cases: rows with a NULL time are left out; repeated rows change nothing; a NULL key is a key; an empty stream gives
 nothing.  Times are told in microseconds; the watermark has milliseconds, so rows that share its millisecond may still arrive
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -46,7 +47,10 @@ def merged(starts: np.ndarray, ends: np.ndarray, reach: int) -> tuple[np.ndarray
 
 
 class _Intervals(StatefulProcessor):
-    """Keeps a key's intervals and calls ``told`` with those that the watermark has settled."""
+    """Keeps a key's intervals and calls ``settle`` with those that the watermark has reached.
+
+    The handlers work when they are called and return what they have; a generator would run later, when Spark may have
+    turned the state to another key."""
 
     def __init__(self, reach: int, unit_us: int):
         self.reach, self.unit_us = reach, unit_us  # in units of the times; microseconds of a unit
@@ -89,7 +93,7 @@ class _Intervals(StatefulProcessor):
                 starts, ends = merged(np.concatenate([starts, t[np.append(0, cut + 1)]]), np.concatenate([ends, t[np.append(cut, len(t) - 1)]]), self.reach)
         self._save(held, (starts, ends))
         self._wake(self.wakes(starts, ends))
-        yield from ()
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held = starts, ends = self._load()
@@ -98,8 +102,7 @@ class _Intervals(StatefulProcessor):
         kept, out = self.settle(key, starts, ends, mark, head)
         self._save(held, (starts[kept:], ends[kept:]))
         self._wake(self.wakes(starts[kept:], ends[kept:]))
-        if len(out):
-            yield out
+        return iter([out] if len(out) else [])
 
     def close(self) -> None:
         pass
@@ -134,7 +137,7 @@ class _Gaps(_Intervals):
             self.warned.update((int(ends[-1]),))
             rows.append((ends[-1], None, None))
         out = pd.DataFrame(rows, columns=["previous", "at", "gap_minutes"]).astype({"previous": "Int64", "at": "Int64", "gap_minutes": "float64"})
-        out.insert(0, "key", pd.Series([key[0]] * len(out), dtype="object"))
+        out.insert(0, "key", key[0])
         return max(n - 1, 0), out
 
 
@@ -150,15 +153,26 @@ class _Streaks(_Intervals):
     def settle(self, key, starts, ends, mark, head) -> tuple[int, pd.DataFrame]:
         n = int(np.searchsorted(ends + 2, mark, side="right"))
         out = pd.DataFrame({"first": starts[:n], "days": ends[:n] - starts[:n] + 1})
-        out.insert(0, "key", pd.Series([key[0]] * n, dtype="object"))
+        out.insert(0, "key", key[0])
         return n, out
 
 
-def _ready(stream: DataFrame, key: str, ts: str, unit, watermark: str) -> DataFrame:
+def named(key: str) -> Column:
+    """The key as a string without nulls.  Rows reach a processor through pandas, which makes floats of an integer key as soon as a
+    batch has a null one, and a key of 1.0 is another state than 1."""
+    return F.when(F.col(key).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(key).cast("string")))
+
+
+def unnamed(text: Column, kind: str) -> Column:
+    return F.when(text != "", F.substring(text, F.lit(2), F.length(text))).cast(kind)
+
+
+def _ready(stream: DataFrame, keep: Column | list, ts: str, unit: Column, watermark: str) -> DataFrame:
+    """The columns ``keep``, the time in units as ``t`` and the watermarked event time."""
     spark = stream.sparkSession
     if spark.conf.get(_PROVIDER, "") != ROCKSDB:
         raise ValueError(f"set {_PROVIDER} to the RocksDB provider (use_rocksdb)")
-    marked = stream.select(key, unit.alias("t"), F.col(ts).cast("timestamp").alias("event_time")).where(F.col("t").isNotNull())
+    marked = stream.select(*(keep if isinstance(keep, list) else [keep]), unit.alias("t"), F.col(ts).cast("timestamp").alias("event_time")).where(F.col("t").isNotNull())
     return marked.withWatermark("event_time", watermark)
 
 
@@ -176,17 +190,17 @@ def stream_sync_gaps(readings: DataFrame, min_gap_minutes: float = 10, idle_minu
     in time.  ``idle_minutes``: a key without a reading for so long behind the watermark is told once with an open end
     (NULL ``ts`` and gap_minutes); the gap itself follows when the key returns."""
     idle = None if idle_minutes is None else int(idle_minutes * 60e6)
-    ready = _ready(readings, key, ts, _micros(ts), watermark)
+    ready = _ready(readings, named(key).alias("key"), ts, _micros(ts), watermark)
     kind = readings.schema[key].dataType.simpleString()
-    out = ready.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=_Gaps(int(min_gap_minutes * 60e6), idle), outputStructType=f"key {kind}, previous long, at long, gap_minutes double", outputMode="Append", timeMode="eventTime")
-    return out.select(F.col("key").alias(key), _time("previous").alias("previous_time"), _time("at").alias(ts), "gap_minutes")
+    out = ready.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=_Gaps(int(min_gap_minutes * 60e6), idle), outputStructType="key string, previous long, at long, gap_minutes double", outputMode="Append", timeMode="eventTime")
+    return out.select(unnamed(F.col("key"), kind).alias(key), _time("previous").alias("previous_time"), _time("at").alias(ts), "gap_minutes")
 
 
 def stream_streaks(days: DataFrame, min_len: int = 2, watermark: str = "2 days", key: str = "patientid", day: str = "day") -> DataFrame:
     """Runs of consecutive days (rows of ``days``: a key and a date, once or more) as key, first_day, consecutive_days, told when
     the watermark has passed the day after a run; a late day joins two runs until then."""
-    ready = _ready(days, key, day, F.datediff(F.col(day), F.lit("1970-01-01").cast("date")).cast("long"), watermark)
+    ready = _ready(days, named(key).alias("key"), day, F.datediff(F.col(day), F.lit("1970-01-01").cast("date")).cast("long"), watermark)
     kind = days.schema[key].dataType.simpleString()
-    out = ready.groupBy(key).transformWithStateInPandas(statefulProcessor=_Streaks(), outputStructType=f"key {kind}, first long, days long", outputMode="Append", timeMode="eventTime")
-    return out.where(F.col("days") >= min_len).select(F.col("key").alias(key), F.date_add(F.lit("1970-01-01").cast("date"), F.col("first").cast("int")).alias("first_day"), F.col("days").alias("consecutive_days"))
+    out = ready.groupBy("key").transformWithStateInPandas(statefulProcessor=_Streaks(), outputStructType="key string, first long, days long", outputMode="Append", timeMode="eventTime")
+    return out.where(F.col("days") >= min_len).select(unnamed(F.col("key"), kind).alias(key), F.date_add(F.lit("1970-01-01").cast("date"), F.col("first").cast("int")).alias("first_day"), F.col("days").alias("consecutive_days"))
