@@ -18,10 +18,9 @@ def test_plan_shape(spark, key):
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
     scans = re.findall(r"FileScan parquet [^\[]*\[([^\]]*)\]", plan)
-    # a13 reads its checkpointed chain levels, a08 as intended its islands (derived from the given tables)
-    assert scans or key.startswith("a13_") or key == "a08_spike_chain_intended", "every key reads the given tables"
-    # etl_publish reads back the table that it has published, all columns of it
-    assert key == "etl_publish" or max((len(s.split(",")) for s in scans), default=0) <= 8
+    assert scans, "every key reads the given tables"
+    # these read back the table that they have written, all columns of it
+    assert key in ("etl_publish", "a14_maintained") or max((len(s.split(",")) for s in scans), default=0) <= 8
     for line in plan.splitlines():
         cols = re.search(r"FileScan parquet [^\[]*\[([^\]]*)\]", line)
         if cols and "events.parquet" in line and "event_type" in cols.group(1):
