@@ -1,9 +1,12 @@
 """Operators 6 and 9 against the libraries, exact round trips, and the Huffman code against the optimum."""
 
 import base64
+import gc
 import hashlib
 import heapq
+import pickle
 import random
+import weakref
 import zlib
 
 import numpy as np
@@ -14,7 +17,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from vitalis.llm import bpe, pieces, queries, tokenfile
+from vitalis.llm import bpe, pieces, queries, scratch, tokenfile
 from vitalis.llm.huffman import EVERY, Code, code_lengths
 from vitalis.llm.scratch import folder as scratch_folder
 
@@ -117,6 +120,56 @@ def test_pieces_that_share_a_hash(monkeypatch):
         assert memo.ids(t).decode() == "".join(f"<{p}>" for p in pieces.split(t)), t
 
 
+def test_memo_is_as_large_as_its_pieces():
+    """A generous limit costs nothing before the pieces are there, and widening loses none of them."""
+    calls = []
+    memo = pieces.Memo(lambda found: (calls.append(p) or p.encode() for p in found), limit=1_600_000)
+
+    def held() -> int:
+        return sum(x.nbytes for x in (memo.slot_hash, memo.slot_entry, memo.pieces.flat, memo.pieces.at, memo.values.flat, memo.values.at))
+
+    assert memo.ids("a b") == b"a b" and held() < 100_000
+    found = [" ".join(f"p{i:x}q" for i in range(k, k + 500)) for k in range(0, 40_000, 500)]
+    for _ in range(2):
+        assert [memo.ids(t).decode() for t in found] == found
+    assert len(calls) == len(set(calls)) == memo.held and held() < 150 * memo.held
+
+
+def test_memo_goes_with_its_vocabulary(vocabulary):
+    """At once, by reference counts: the next task of a reused Python worker must not stand beside it."""
+    own = pickle.loads(pickle.dumps(vocabulary))
+    own.encode("some text")
+    memo = weakref.ref(own.memo)
+    gc.disable()
+    try:
+        del own
+        assert memo() is None
+    finally:
+        gc.enable()
+
+
+def test_free_memory_goes_back_around_a_task(spark, monkeypatch):
+    """What earlier tasks left free in a reused worker is given back before the rows of a task and after them."""
+    said = []
+
+    class Frame:
+        """Stands for a DataFrame: gives the function that a worker would run."""
+
+        sparkSession = spark
+
+        def mapInArrow(self, f, schema):
+            return f
+
+    def noted(batches):
+        for b in batches:
+            said.append(b)
+            yield b
+
+    monkeypatch.setattr(scratch, "release", lambda: said.append("release"), raising=False)
+    assert list(scratch.map_arrow(Frame(), noted, None)(iter([1, 2]))) == [1, 2]
+    assert said == ["release", 1, 2, "release"]
+
+
 def test_many_texts_and_long_sections(monkeypatch):
     """Chunks and sections of any size give what each text gives alone."""
     found = texts(2000, 10, 40) + ["word " * 3000 + "'s 1 a  b", "", "x"]

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import weakref
 from collections.abc import Iterator
 
 import ahocorasick
@@ -88,7 +89,8 @@ class Vocabulary:
 
     @functools.cached_property
     def memo(self) -> Memo:
-        return Memo(lambda found: (self.encode_piece(p.encode()) for p in found), PIECES_KEPT, "<u4")
+        own = weakref.ref(self)  # no cycle: a worker's memo goes with its broadcast, not at some later collection
+        return Memo(lambda found: map(own().encode_piece, map(str.encode, found)), PIECES_KEPT, "<u4")
 
     @functools.cached_property
     def bytes_of(self) -> _Store:

@@ -93,32 +93,37 @@ def split(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(at, [*at[1:], len(text)], strict=True)] if at else []
 
 
+def _room(x: np.ndarray, used: int, need: int) -> np.ndarray:
+    """``x`` with places for ``need`` values; new places are not written, so they take no memory yet."""
+    if need <= len(x):
+        return x
+    out = np.empty(max(need, 2 * len(x)), x.dtype)
+    out[:used] = x[:used]
+    return out
+
+
 class _Store:
-    """Byte strings or ids of many entries in one array that grows."""
+    """Byte strings or ids of many entries in one array that grows; entry i is ``flat[at[i]:at[i + 1]]``."""
 
     def __init__(self, unit: str):
-        self.flat, self.used = np.zeros(1 << 12, unit), 0
-        self.at, self.size, self.count = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64), 0
+        self.flat, self.at, self.count = np.zeros(1 << 12, unit), np.zeros(1 << 10, np.int64), 0
 
     def add(self, new: np.ndarray, sizes: np.ndarray) -> None:
         """Entries that lie one behind the other in ``new``."""
-        while self.used + len(new) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.count + len(sizes) > len(self.at):
-            self.at, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size))
-        self.flat[self.used : self.used + len(new)] = new
-        here = slice(self.count, self.count + len(sizes))
-        self.size[here] = sizes
-        self.at[here] = self.used + np.cumsum(sizes) - sizes
-        self.used += len(new)
-        self.count += len(sizes)
+        used, count = int(self.at[self.count]), self.count + len(sizes)
+        self.flat = _room(self.flat, used, used + len(new))
+        self.at = _room(self.at, self.count + 1, count + 1)
+        self.flat[used : used + len(new)] = new
+        self.at[self.count + 1 : count + 1] = used + np.cumsum(sizes)
+        self.count = count
+
+    def sizes(self, entries: np.ndarray) -> np.ndarray:
+        return self.at[entries + 1] - self.at[entries]
 
     def gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The values of ``entries`` one behind the other, and where each ends."""
-        sizes = self.size[entries]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.at[entries] - (ends - sizes), sizes) + np.arange(total)], ends
+        sizes = self.sizes(entries)
+        return _ranges(self.flat, self.at[entries], sizes), np.cumsum(sizes)
 
 
 def _ranges(data: np.ndarray, lo: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -131,7 +136,7 @@ class Memo:
     """piece -> ids, computed by ``encode`` (pieces to a sequence of ids each) for pieces not seen yet.
 
     Pieces of many texts are found, hashed and looked up with numpy: a hash table with open places from a hash of the
-    piece's bytes to its entry.  The bytes of an entry are compared with those of the piece, so a hash that two pieces
+    piece's bytes to its entry, widened as pieces come.  The bytes of an entry are compared with those of the piece, so a hash that two pieces
     share changes nothing.  Emptied when more than ``limit`` pieces would be held, so that it stays bounded; every piece is
     encoded in full either way.  ``unit``: the type of an id.  ``special``: strings that are one piece wherever they stand;
     the leftmost, then the longest one counts."""
@@ -142,15 +147,18 @@ class Memo:
         self.encode, self.limit, self.unit = encode, limit, unit
         self.special = sorted(special, key=len, reverse=True)
         self._cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.bits = max(10, (2 * limit).bit_length())
         self._clear()
 
     def _clear(self) -> None:
         self.held = 0
-        self.slot_hash, self.slot_entry = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32)
+        self._open(10)
         self.pieces, self.values = _Store("u1"), _Store(self.unit)
         self.odd: dict[str, int] = {}  # pieces whose hash another piece has
 
+    def _open(self, bits: int) -> None:
+        self.bits = bits
+        self.slot_hash, self.slot_entry = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+
     def ids(self, text: str) -> bytes:
         return self.ids_of([text])[0].tobytes()
 
@@ -241,7 +249,7 @@ class Memo:
     def _compare(self, entries: np.ndarray, data: np.ndarray, at: np.ndarray) -> None:
         """Sets entries whose bytes are not the piece's to -1."""
         sizes = np.diff(at)
-        entries[(entries >= 0) & (self.pieces.size[entries] != sizes)] = -1
+        entries[(entries >= 0) & (self.pieces.sizes(entries) != sizes)] = -1
         known = np.flatnonzero(entries >= 0)
         held, ends = self.pieces.gather(entries[known])
         if len(known) < len(entries):
@@ -280,7 +288,17 @@ class Memo:
         again[first] = False
         for k in np.flatnonzero(taken | again):
             self.odd[names[k]] = int(entry[k])
-        waiting = np.flatnonzero(~taken & ~again)
+        fresh = ~taken & ~again
+        if (bits := (2 * (self.held + len(names))).bit_length()) > self.bits:
+            full = np.flatnonzero(self.slot_entry >= 0)
+            known, at = self.slot_hash[full], self.slot_entry[full]
+            self._open(bits)
+            self._place(known, at)
+        self._place(hashes[fresh], entry[fresh])
+
+    def _place(self, hashes: np.ndarray, entry: np.ndarray) -> None:
+        """Gives each entry the next free slot from its hash on."""
+        waiting = np.arange(len(entry))
         slot = (hashes & np.uint64((1 << self.bits) - 1)).astype(np.int64)
         while len(waiting):
             free = waiting[self.slot_entry[slot[waiting]] < 0]
